@@ -7,13 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import exact_dedup, language_id, mixing, near_dedup, pieces
+from lakemill.llm import chat, exact_dedup, language_id, mixing, near_dedup, pieces, quality
 from lakemill.llm.common import table
 
 #: The vocabulary file that op10 and the pipeline encode with.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judged(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: A conversation whose texts hold the template's own control strings.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, as read back from the formatted text and its loss mask."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
+    probe = probe.select(*[F.col(c).cast(turns.schema[c].dataType).alias(c) for c in turns.columns])
+    convs = chat.formatted(turns.union(probe))
+    convs = convs.withColumns({"turns": chat.read_back("formatted"), "loss": F.transform(F.filter("segments", lambda x: x["loss"]), lambda x: chat.unescape(x["text"]))})
+    written = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return convs.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(written, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "valid",
+    )
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.learned_and_predicted(table(spark, sf_dir, "documents"))
 
@@ -45,7 +69,44 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    stop_words = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
     return {
+        "op1_quality_rules": rf"""
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+            w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+                         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+            places AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM w WHERE len(w) >= 5),
+            windows AS (SELECT doc_id, i, w[i:i+4] AS five FROM places),
+            twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM windows),
+            covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice WHERE n > 1) GROUP BY doc_id),
+            s AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+                         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
+                         coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+                         len(list_filter(w, lambda x: list_contains([{stop_words}], lower(x)))) AS n_stop_words,
+                         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_adjacent
+                  FROM w d LEFT JOIN covered c USING (doc_id)),
+            b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s)
+            SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+                   NOT base_failed AND 100 * word_chars BETWEEN 100 * n_words AND 2500 * n_words AND 100 * n_symbols <= 25 * n_words
+                   AND 100 * n_adjacent <= 20 * n_words AND (n_words < 100 OR 100 * n_stop_words >= n_words) AND 100 * n_dup_lines <= 60 * n_lines AS kept
+            FROM b""",
+        "op2_chat_format": """
+            WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                           UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+                           UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+            escaped AS (SELECT *, replace(replace(text, '\\', '\\\\'), '<|', '<\\|') AS safe,
+                               lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+                               lead(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS after FROM turns)
+            SELECT conv_id, count(*) AS n_turns,
+                   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+                   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+                   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+                   sum(12 + length(role) + 1 + length(safe) + 11)::BIGINT AS formatted_chars,
+                   bool_and(CASE role WHEN 'system' THEN before IS NULL WHEN 'user' THEN before IS NULL OR before IN ('system', 'assistant')
+                                      WHEN 'assistant' THEN before = 'user' AND before IS NOT NULL ELSE false END
+                            AND (after IS NOT NULL OR role = 'assistant')) AS valid
+            FROM escaped GROUP BY conv_id""",
         "op8_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
