@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, exact_dedup, language_id, mixing, near_dedup, pieces, quality
+from lakemill.llm import chat, exact_dedup, html_extract, language_id, mixing, near_dedup, pieces, quality, toxicity
 from lakemill.llm.common import table
 
 #: The vocabulary file that op10 and the pipeline encode with.
@@ -42,11 +42,20 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.learned_and_predicted(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.learned_and_scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "clauses")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
