@@ -38,6 +38,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Texts reach Python in small Arrow batches, so that workers stay small; a session's own setting is kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def fold(id_col: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds: the split between learning and held-out rows."""
     return F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")) % folds

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import cut, text_or_empty
+from lakemill.llm.common import cut, small_batches, text_or_empty
 
 #: Fixed values of HTML: elements without an end, elements that lay out blocks, elements whose content is no markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -296,6 +296,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     host are one host. Ids and urls are carried through, also null and repeated ones; an empty table gives an empty
     result; other columns are not read. Markup that breaks off is read as far as it goes.
     """
+    small_batches(pages.sparkSession)
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_or_empty(html_col).alias("html"), host.alias("host"))
     known = cut(wrappers(rows))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import fold, text_or_empty
+from lakemill.llm.common import fold, small_batches, text_or_empty
 
 
 @dataclass
@@ -142,6 +142,7 @@ def predicted(network: ByteNetwork | None, docs: DataFrame, text_col: str = "tex
     text = F.when(text_or_empty(text_col).rlike(r"\p{L}"), F.col(text_col))
     if network is None:
         return F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     @F.pandas_udf("lang_pred string, score double")

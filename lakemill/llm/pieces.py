@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemill.llm.common import small_batches
+
 BLANK = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
 
@@ -90,10 +92,11 @@ class PieceModel:
 
 @dataclass
 class Transducer:
-    """A compiled model. words: what the worker remembers, at most `remember` words of at most 64 characters each."""
+    """A compiled model. words and follows are what a worker remembers: at most `remember` words of at most 64
+    characters each, and about as many pairs of pieces."""
 
     model: PieceModel
-    remember: int = 250_000
+    remember: int = 150_000
     words: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -101,6 +104,7 @@ class Transducer:
         self.ids = {p: i for i, p in enumerate(m.pieces) if m.types[i] in (_NORMAL, _USER)}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(m.pieces) if m.types[i] == _BYTE}
         self.unknown = next((i for i, t in enumerate(m.types) if t == _UNKNOWN), 0)
+        self.longest = max(map(len, self.ids), default=1)
         self.values = {p: m.scores[i] for p, i in self.ids.items()}
         self.follows: dict[str, dict[str, bool]] = {}
         self.held = 0
@@ -147,45 +151,54 @@ class Transducer:
         return self.merged(a + b) == [a, b]
 
     def bpe_path(self, word: str) -> tuple[int, ...]:
-        """The ids on the one path of finite cost through one word.
+        """The ids on the one path of finite cost through one word, found depth first with the longest pieces first.
 
-        Every prefix of the word has just one such path, so a position needs its last piece only.
+        A prefix of the word has just one such path, so a position from which the end was not reached is left for good.
         """
-        n = len(word)
-        last: list[str | None] = ["", *[None] * n]
-        begin, follows = [0] * (n + 1), self.follows
-        for i in range(n):
-            a, state = last[i], self.trie
-            allowed = follows.get(a)
+        n, ids, follows, trie = len(word), self.ids, self.follows, self.trie
+        path: list[str] = []
+        choices: list[list[str] | None] = [None] * n
+        left = [False] * (n + 1)
+        i, before = 0, ""
+        while i < n:
+            choice = choices[i]
+            if choice is None:
+                choice = choices[i] = []
+                state = trie
+                for c in word[i : i + self.longest]:
+                    state = state.get(c)
+                    if state is None:
+                        break
+                    if "" in state:
+                        choice.append(state[""])
+                if not choice:  # no piece has this character, so nothing merges across it
+                    choice.append(word[i])
+            allowed = follows.get(before)
             if allowed is None:
-                allowed = follows[a] = {}
-            for j in range(i, n):
-                state = state.get(word[j])
-                if state is None:
-                    if j == i:  # no piece has this character, so nothing merges across it
-                        last[j + 1], begin[j + 1] = "", i
-                    break
-                piece = state.get("")
-                if piece is None or last[j + 1] is not None:
+                allowed = follows[before] = {}
+            while choice:
+                piece = choice.pop()
+                if left[i + len(piece)]:
                     continue
-                if a:
+                if before:
                     free = allowed.get(piece)
                     if free is None:
+                        free = piece not in ids or self.may_follow(before, piece)
                         self.held += 1
-                        free = allowed[piece] = self.may_follow(a, piece)
+                        allowed[piece] = free
                     if not free:
                         continue
-                last[j + 1], begin[j + 1] = piece, i
-        if self.held > 1_500_000:
-            self.held, self.follows = 0, {}
-        out: list[int] = []
-        while n:
-            if last[n]:
-                out.append(self.ids[last[n]])
+                path.append(piece)
+                i += len(piece)
+                before = piece if piece in ids else ""
+                break
             else:
-                out.extend(reversed(self.fallback(word[begin[n] : n])))
-            n = begin[n]
-        return tuple(reversed(out))
+                left[i] = True
+                i -= len(path.pop())
+                before = path[-1] if path and path[-1] in ids else ""
+        if self.held > self.remember:
+            self.held, self.follows = 0, {}
+        return tuple([x for p in path for x in ((ids[p],) if p in ids else self.fallback(p))])
 
     def fallback(self, character: str) -> list[int]:
         """A character without a piece: its bytes, or the unknown piece."""
@@ -236,6 +249,7 @@ class Transducer:
 
 class _Shared:
     def __init__(self, df: DataFrame, model: PieceModel) -> None:
+        small_batches(df.sparkSession)
         self.model = df.sparkSession.sparkContext.broadcast(model)
         self.id = sha256("\n".join(model.pieces).encode()).hexdigest()
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import chat, exact_dedup, html_extract, language_id, mixing, near_dedup, pieces, quality, toxicity
+from lakemill.llm import chat, exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, pieces, quality, toxicity
 from lakemill.llm.common import table
 
 #: The vocabulary file that op10 and the pipeline encode with.
@@ -42,6 +42,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.learned_and_predicted(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its licence lines, the families found in them, in order of name, and the surest line's."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    sure = F.filter("findings", lambda x: x["family"] != "unknown")
+    families = F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",")
+    return found.select(
+        "doc_id", "n_paragraphs", families.alias("families"), F.size(sure).cast("long").alias("n_confirmed"),
+        F.round(F.array_max(F.transform("findings", lambda x: x["probability"])), 6).alias("probability"),
+    )
+
+
 def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import fold
+from lakemill.llm.common import fold, small_batches
 
 #: The closed classes of the grammar in English, German, French and Spanish.
 TARGETS = "you your yours yourself u he him she her they them du dich dir dein ihr euch sie er tu te toi vous il elle ils tú ti usted ustedes él ella ellos".split()
@@ -121,6 +121,7 @@ class Grammar:
 
 def weighed(grammar: Grammar, docs: DataFrame, text_col: str = "text") -> Column:
     """struct<weight: double, clauses: long> of docs' whole texts; null and empty texts weigh 0."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(grammar)
 
     @F.pandas_udf("weight double, clauses long")
