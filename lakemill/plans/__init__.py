@@ -1 +1,3 @@
+"""The queries; importing the package registers them."""
 
+from lakemill.plans import audits, cohesion, dims, views  # noqa: F401
