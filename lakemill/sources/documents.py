@@ -28,7 +28,7 @@ def json_documents(spark: SparkSession, path: str, schema: T.StructType, pattern
     far as their suffix says so.
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
     files = files.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.col("value").alias("raw")).where(~F.startswith("file", F.lit(".")))
     rows = files.withColumn("d", F.from_json("raw", full, {"columnNameOfCorruptRecord": CORRUPT}))
     broken = F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()
