@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,13 +30,19 @@ def words(col: str | Column) -> Column:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder that spark.checkpoint.dir names.
 
-    Only where the session names none (tests, a laptop) a temporary folder is set.
+    Only where the session names none (tests, a laptop) a temporary folder is set. What led to df is not needed any
+    more: the driver collects its garbage, upon which Spark removes the shuffle files and checkpoints that no frame
+    refers to. Else they would stay on the executors' disks until the driver's heap happens to fill.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lakemill-checkpoint-"))
-    return df.checkpoint(eager=True)
+    done, spark = df.checkpoint(eager=True), df.sparkSession
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return done
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
