@@ -337,6 +337,25 @@ def test_near_groups_against_all_pairs(spark, width):
     assert all(found[i].kept == (want[i] == i) for i in range(len(texts)))
 
 
+def hub_texts(copies=2000, n=300, edits=5):
+    """An original and copies with a few words of their own each: 0.84 like it, 0.71 like one another."""
+    rng = random.Random(5)
+    original = [f"w{i}" for i in range(n)]
+    texts = []
+    for c in range(copies):
+        words = list(original)
+        for k, at in enumerate(rng.sample(range(5, n - 5, 6), edits)):
+            words[at] = f"c{c}x{k}"
+        texts.append(" ".join(words))
+    texts.insert(copies // 2, " ".join(original))
+    return texts
+
+
+def test_near_groups_of_a_hub(spark):
+    found = near_dedup.near_groups(docs(spark, hub_texts())).groupBy("component_id").count().collect()
+    assert [(r["component_id"], r["count"]) for r in found] == [(0, 2001)]
+
+
 def test_near_groups_odd_ids(spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f"), (3, "p q r s t u"), (5, "p q r s t u"), (6, "a b c d e f")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash"))
