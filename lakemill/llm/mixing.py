@@ -15,12 +15,22 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import SALTS, cut, every_salt, words
 
 
+#: Of the draws; the same documents are taken in every run.
+SEED = 11
+
+
+def row_draw(twin_of: tuple[str, str, str, str] = ("draw", "doc_id", "size", "source")) -> Column:
+    """The draw of a single row: rows that agree in draw, id and size are told apart by their running number."""
+    draw, *same, source = twin_of
+    return F.xxhash64(draw, F.row_number().over(Window.partitionBy(draw, *same).orderBy(source)))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, limit: float = 2.0) -> DataFrame:
     """(source, source_size, n_docs, target) of sizes(source, size); n_docs counts documents with words.
 
@@ -81,14 +91,15 @@ def landing(p: np.ndarray, x: np.ndarray) -> np.ndarray:
     return p
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = 128, seed: int = 11, **targeting: object) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = 128, seed: int = SEED, keyed: bool = False, **targeting: object) -> DataFrame:
     """How often each document is taken: (doc_id, source, size, source_size, target, copies, taken), a row for each of docs.
 
     size is the number of words, taken = size * copies. Documents without words, null and empty texts among them, are
     never taken. A source whose target is a whole multiple of its words takes all documents equally often. Null
     sources are one source, the last; null ids and repeated rows are documents like any other, and rows that agree in
     id and text are told apart by their running number among themselves. Reruns give the same result: blocks, order
-    and draws follow from hashes of id and text. Texts are not moved, only their sizes.
+    and draws follow from hashes of id and text. Texts are not moved, only their sizes. keyed adds the row's own draw,
+    which is row_draw() over the hash of id, text and seed.
     """
     sizes = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.size(words(text_col)).cast("long").alias("size"), F.xxhash64(id_col, text_col, F.lit(seed)).alias("draw")))
     goal = cut(targets(sizes, **targeting))
@@ -98,9 +109,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = sizes.withColumn("key", key).join(dealt, "key")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(ratio + 1e-12).cast("long")
-    twin = F.row_number().over(Window.partitionBy("draw", "doc_id", "size").orderBy("source"))
     rows = rows.select(
-        "doc_id", "source", "size", "source_size", "target", F.xxhash64("draw", twin).alias("draw"), whole.alias("whole"),
+        "doc_id", "source", "size", "source_size", "target", row_draw().alias("draw"), whole.alias("whole"),
         F.greatest(F.lit(0.0), ratio - whole).alias("p"), F.ceil(F.col("n_docs") / block).alias("blocks"),
     )
     rows = cut(rows)
@@ -114,7 +124,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rounded = [d.where("p = 0 or p = 1").select("draw", F.col("p").cast("long").alias("extra")) for d in decided]
     found = rows.join(reduce(DataFrame.union, rounded), "draw", "left") if rounded else rows.withColumn("extra", F.lit(0).cast("long"))
     copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("extra", F.lit(0))).otherwise(0).cast("long")
-    return found.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return found.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), *(["draw"] if keyed else []))
 
 
 def _decide(block: int, seed: int, landed: int = 10) -> Callable[[pd.DataFrame], pd.DataFrame]:

@@ -427,3 +427,24 @@ def test_encoding_agrees_with_the_library(spark):
 
 def test_html_unescape_is_what_pages_mean():
     assert html.unescape("&am &amp &amp;") == "&am & &"
+
+
+# ---------------------------------------------------------------- stages of the pipeline
+
+
+def test_stages_with_null_and_repeated_ids(spark):
+    import corpus_pipeline as stages
+
+    rows = [(i if i < 40 else None if i < 80 else 7, f"w{i} " * (3 + i % 5), "en", f"s{i % 3}") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    decided = mixing.mix(df).collect()
+    found = stages.mix_sources(spark, df, "").collect()
+    assert len(found) == sum(r.copies for r in decided)
+    assert sum(len(r.text.split()) for r in found) == sum(r.taken for r in decided)
+    assert max(found.count(r) for r in found) <= 2
+
+    equal = [(None, "a"), (None, "b"), (5, "b"), (3, "c"), (4, "c"), (3, "d")]
+    df = spark.createDataFrame(equal, "doc_id long, text string")
+    kept = sorted((str(r.doc_id), r.text) for r in stages.keep_one_of_equal(spark, df, "").collect())
+    assert kept == [("3", "d"), ("4", "c"), ("5", "b"), ("None", "a")]
+    assert stages.keep_one_of_near(spark, df, "").where("doc_id is null").count() == 2
