@@ -2,7 +2,7 @@
 
 Words are first mapped to symbols: insult and threat words, targets (who is spoken to), negations, verbs of reporting.
 Small transducers then rewrite and weigh a clause's symbols, each knowing one thing only: a negation weakens what soon
-follows it, reported speech weakens its clause, a target near an insult strengthens it, a threat needs a target. They
+follows it, reported speech weakens its clause, a target near an insult strengthens it, a threat needs a target, before or after it. They
 are composed into one machine, run over the clauses that hold an insult or a threat, and the weights of a text's clauses
 are turned into a probability that labels calibrate. The insult words are learned: those that labelled toxic texts
 hold so much more often than others that chance does not explain it, given how many words were looked at.
@@ -26,9 +26,19 @@ from lakemill.llm.common import fold, small_batches
 TARGETS = "you your yours yourself u he him she her they them du dich dir dein ihr euch sie er tu te toi vous il elle ils tú ti usted ustedes él ella ellos".split()
 NEGATIONS = "not no never nor without isn't aren't don't nicht kein keine nie ohne pas ne jamais sans nunca sin jamás".split()
 REPORTS = "said says say wrote writes quoted called calls claimed according sagte sagt schrieb nannte dit disait écrit selon dijo dice escribió llamó según".split()
-THREATS = "kill murder hurt destroy attack shoot stab burn töten umbringen schlagen tuer frapper brûler matar golpear quemar".split()
+THREATS = (
+    "kill kills killed killing murder murders murdered murdering hurt hurts hurting destroy destroys destroyed destroying attack attacks attacked attacking "
+    "shoot shoots shot shooting stab stabs stabbed stabbing burn burns burned burnt burning "
+    "töten töte tötest tötet getötet umbringen umgebracht schlagen schlage schlägst schlägt geschlagen "
+    "tuer tue tues tuez tuent tuerai tuerons frapper frappe frappes frappez frapperai brûler brûle brûles brûlez brûlerai "
+    "matar mato matas mata matan mataré mataremos golpear golpeo golpeas golpea golpearé quemar quemo quemas quema quemaré"
+).split()
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, END = "ITYNRO."
+#: What targeted() puts out besides: a threat that waits for its target, a target that releases one, that makes the insult
+#: before it stronger, that does both.
+HELD, RELEASED, BOOST, BOTH = "HLBX"
+_THREATS = frozenset(THREATS)
 _TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;:\n]")
 
 
@@ -58,31 +68,48 @@ def compose(a: Transducer, b: Transducer) -> Transducer:
 def negation(reach: int = 3, factor: float = 0.5) -> Transducer:
     """Insults and threats within reach of a negation count less."""
 
-    def step(left: int, symbol: str) -> tuple[int, str, float]:
-        weak = left > 0 and symbol in (INSULT, THREAT)
-        return (reach if symbol == NEGATION else 0 if symbol == END else max(0, left - 1)), symbol, factor if weak else 1.0
+    def step(state: tuple[int, bool], symbol: str) -> tuple[tuple[int, bool], str, float]:
+        left, held = state
+        weak = held if symbol in (RELEASED, BOTH) else left > 0 and symbol in (INSULT, THREAT)
+        held = left > 0 if symbol == HELD else held
+        return (reach if symbol == NEGATION else 0 if symbol == END else max(0, left - 1), held), symbol, factor if weak else 1.0
 
-    return Transducer(0, step)
+    return Transducer((0, False), step)
 
 
 def reported(factor: float = 0.6) -> Transducer:
     """What follows a verb of reporting in its clause counts less."""
 
     def step(on: bool, symbol: str) -> tuple[bool, str, float]:
-        return (on or symbol == REPORT) and symbol != END, symbol, factor if on and symbol in (INSULT, THREAT) else 1.0
+        return (on or symbol == REPORT) and symbol != END, symbol, factor if on and symbol in (INSULT, THREAT, RELEASED, BOTH) else 1.0
 
     return Transducer(False, step)
 
 
-def targeted(reach: int = 4, factor: float = 1.5) -> Transducer:
-    """An insult soon after a target counts more; a threat without a target soon before it is no threat."""
+def targeted(reach: int = 4, factor: float = 1.5, after: int = 3) -> Transducer:
+    """An insult near a target counts more; a threat without a target near it is no threat.
 
-    def step(left: int, symbol: str) -> tuple[int, str, float]:
-        near = left > 0
-        out = OTHER if symbol == THREAT and not near else symbol
-        return (reach if symbol == TARGET else 0 if symbol == END else max(0, left - 1)), out, factor if near and symbol == INSULT else 1.0
+    The target stands up to reach symbols before in the clause, or up to `after` symbols behind: then the threat is held
+    and the target releases it. A threat that begins its clause has no one who utters it and is not held.
+    """
 
-    return Transducer(0, step)
+    def step(state: tuple[int, int, int, bool], symbol: str) -> tuple[tuple[int, int, int, bool], str, float]:
+        left, held, insulted, begun = state
+        if symbol == END:
+            return (0, 0, 0, False), END, 1.0
+        near, out = left > 0, symbol
+        if symbol == TARGET:
+            out = BOTH if held and insulted else RELEASED if held else BOOST if insulted else TARGET
+            return (reach, 0, 0, True), out, 1.0
+        held, insulted = max(0, held - 1), max(0, insulted - 1)
+        if symbol == THREAT and not near:
+            out = HELD if begun else OTHER
+            held = after if begun else held
+        elif symbol == INSULT:
+            insulted = 0 if near else after
+        return (max(0, left - 1), held, insulted, True), out, factor if near and symbol == INSULT else 1.0
+
+    return Transducer((0, 0, 0, False), step)
 
 
 @dataclass
@@ -91,26 +118,29 @@ class Grammar:
 
     weights: dict[str, float]
     threat: float = 1.0
+    boost: float = 1.5
     slope: float = 4.0
     offset: float = -4.0
     closed: dict[str, str] = field(default_factory=lambda: {w: s for ws, s in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), ([".", "!", "?", ";", ":", "\n"], END)) for w in ws})
 
     def machine(self) -> Transducer:
-        return reduce(compose, (negation(), reported(), targeted()))
+        return reduce(compose, (targeted(factor=self.boost), negation(), reported()))
 
     def weigh(self, text: str, machine: Transducer) -> tuple[float, int]:
         """The total weight of a text's matched clauses, and how many clauses matched."""
         tokens = _TOKEN.findall(text.lower())
-        if self.weights.keys().isdisjoint(tokens) and not any(w in tokens for w in THREATS):
+        if self.weights.keys().isdisjoint(tokens) and _THREATS.isdisjoint(tokens):
             return 0.0, 0
-        total, clauses, own, state = 0.0, 0, 0.0, machine.start
+        total, clauses, own, last, state = 0.0, 0, 0.0, 0.0, machine.start
         for token in [*tokens, "."]:
             symbol = INSULT if token in self.weights else self.closed.get(token, OTHER)
             state, out, factor = machine.step(state, symbol)
             if out == INSULT:
-                own += factor * self.weights[token]
-            elif out == THREAT:
-                own += factor * self.threat
+                last = factor * self.weights[token]
+                own += last
+            elif out in (THREAT, RELEASED, BOOST, BOTH):
+                own += factor * self.threat if out != BOOST else 0.0
+                own += (self.boost - 1) * last if out in (BOOST, BOTH) else 0.0
             elif out == END and own:
                 total, clauses, own = total + own, clauses + 1, 0.0
         return total, clauses

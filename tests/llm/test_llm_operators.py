@@ -249,6 +249,16 @@ def test_threats_need_a_target():
     assert g.weigh("a zonk. Not here. zonk", m) == (2.0, 2)
 
 
+def test_threats_before_their_target():
+    g = toxicity.Grammar({"zonk": 1.0})
+    m = g.machine()
+    for text in ("I will kill you", "I will hurt them", "ich töte dich", "I am killing you", "I will kill all of you", "yo mato a ustedes"):
+        assert g.weigh(text, m) == (1.0, 1), text
+    assert g.weigh("I will not kill you", m)[0] == 0.5
+    assert g.weigh("I will kill time. you wait", m)[0] == 0
+    assert g.weigh("zonk, you are", m)[0] == g.weigh("you zonk", m)[0] == 1.5
+
+
 # ---------------------------------------------------------------- exact copies
 
 
