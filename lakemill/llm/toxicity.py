@@ -1,11 +1,15 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Words are first mapped to symbols: insult and threat words, targets (who is spoken to), negations, verbs of reporting.
-Small transducers then rewrite and weigh a clause's symbols, each knowing one thing only: a negation weakens what soon
-follows it, reported speech weakens its clause, a target near an insult strengthens it, a threat needs a target, before or after it. They
-are composed into one machine, run over the clauses that hold an insult or a threat, and the weights of a text's clauses
-are turned into a probability that labels calibrate. The insult words are learned: those that labelled toxic texts
-hold so much more often than others that chance does not explain it, given how many words were looked at.
+Small transducers then rewrite a clause's symbols and mark what is matched, each knowing one thing only: a negation
+reaches what soon follows it, reported speech its clause, a target the insult near it; a threat without a target is
+none. They are composed into one machine, whose steps multiply the marks. What a mark is worth is learned together with
+the curve that turns the weight of a text's matches into a probability: a factor near 1 if the labels know no
+difference between, say, denied insults and others, near 0 if texts that only deny insults are clean.
+
+Insults are learned as whole words and as beginnings of words, since languages that inflect and compound have them in
+many rare forms: those that labelled toxic texts hold so much more often than others that chance does not explain it,
+given how many were looked at.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import fold, small_batches
+from lakemill.llm.common import cut, fold, small_batches
 
 #: The closed classes of the grammar in English, German, French and Spanish.
 TARGETS = "you your yours yourself u he him she her they them du dich dir dein ihr euch sie er tu te toi vous il elle ils tú ti usted ustedes él ella ellos".split()
@@ -38,176 +42,249 @@ INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, END = "ITYNRO."
 #: What targeted() puts out besides: a threat that waits for its target, a target that releases one, that makes the insult
 #: before it stronger, that does both.
 HELD, RELEASED, BOOST, BOTH = "HLBX"
-_THREATS = frozenset(THREATS)
-_TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;:\n]")
+#: Marks on a match. They multiply as sets: a match has all marks that the machines on its way gave it.
+TARGETED, NEGATED, REPORTED, THREATENED, MARKS = 1, 2, 4, 8, 16
+#: A word, for learning as for scoring: letters and digits, with one apostrophe between them.
+_WORD, _TOKEN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)?", re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;:\n]")
+#: Beginnings of words that are looked at, in letters.
+SHORTEST, LONGEST = 5, 12
 
 
 @dataclass(frozen=True)
 class Transducer:
-    """step(state, symbol) gives the next state, the symbol put out and the factor on the clause's weight so far added."""
+    """step(state, symbol) gives the next state, the symbol put out and the marks on the match that it is part of."""
 
     start: object
-    step: Callable[[object, str], tuple[object, str, float]]
+    step: Callable[[object, str], tuple[object, str, int]]
 
 
 def compose(a: Transducer, b: Transducer) -> Transducer:
-    """The machine that runs b over what a puts out; factors multiply. Steps that were taken once are remembered."""
-    known: dict[tuple[object, str], tuple[object, str, float]] = {}
+    """The machine that runs b over what a puts out; marks multiply. Steps that were taken once are remembered."""
+    known: dict[tuple[object, str], tuple[object, str, int]] = {}
 
-    def step(state: tuple[object, object], symbol: str) -> tuple[object, str, float]:
+    def step(state: tuple[object, object], symbol: str) -> tuple[object, str, int]:
         found = known.get((state, symbol))
         if found is None:
             p, middle, u = a.step(state[0], symbol)
             q, out, v = b.step(state[1], middle)
-            found = known[state, symbol] = ((p, q), out, u * v)
+            found = known[state, symbol] = ((p, q), out, u | v)
         return found
 
     return Transducer((a.start, b.start), step)
 
 
-def negation(reach: int = 3, factor: float = 0.5) -> Transducer:
-    """Insults and threats within reach of a negation count less."""
+def negation(reach: int = 3) -> Transducer:
+    """Marks insults and threats within reach of a negation; a threat that waits for its target is marked where it stood."""
 
-    def step(state: tuple[int, bool], symbol: str) -> tuple[tuple[int, bool], str, float]:
+    def step(state: tuple[int, bool], symbol: str) -> tuple[tuple[int, bool], str, int]:
         left, held = state
-        weak = held if symbol in (RELEASED, BOTH) else left > 0 and symbol in (INSULT, THREAT)
+        denied = held if symbol in (RELEASED, BOTH) else left > 0 and symbol in (INSULT, THREAT)
         held = left > 0 if symbol == HELD else held
-        return (reach if symbol == NEGATION else 0 if symbol == END else max(0, left - 1), held), symbol, factor if weak else 1.0
+        return (reach if symbol == NEGATION else 0 if symbol == END else max(0, left - 1), held), symbol, NEGATED * denied
 
     return Transducer((0, False), step)
 
 
-def reported(factor: float = 0.6) -> Transducer:
-    """What follows a verb of reporting in its clause counts less."""
+def reported() -> Transducer:
+    """Marks what follows a verb of reporting in its clause."""
 
-    def step(on: bool, symbol: str) -> tuple[bool, str, float]:
-        return (on or symbol == REPORT) and symbol != END, symbol, factor if on and symbol in (INSULT, THREAT, RELEASED, BOTH) else 1.0
+    def step(on: bool, symbol: str) -> tuple[bool, str, int]:
+        return (on or symbol == REPORT) and symbol != END, symbol, REPORTED * (on and symbol in (INSULT, THREAT, RELEASED, BOTH))
 
     return Transducer(False, step)
 
 
-def targeted(reach: int = 4, factor: float = 1.5, after: int = 3) -> Transducer:
-    """An insult near a target counts more; a threat without a target near it is no threat.
+def targeted(reach: int = 4, after: int = 3) -> Transducer:
+    """Marks an insult near a target; a threat without a target near it is no threat.
 
     The target stands up to reach symbols before in the clause, or up to `after` symbols behind: then the threat is held
-    and the target releases it. A threat that begins its clause has no one who utters it and is not held.
+    and the target releases it, and an insult is marked late (BOOST). A threat that begins its clause has no one who
+    utters it and is not held.
     """
 
-    def step(state: tuple[int, int, int, bool], symbol: str) -> tuple[tuple[int, int, int, bool], str, float]:
+    def step(state: tuple[int, int, int, bool], symbol: str) -> tuple[tuple[int, int, int, bool], str, int]:
         left, held, insulted, begun = state
         if symbol == END:
-            return (0, 0, 0, False), END, 1.0
+            return (0, 0, 0, False), END, 0
         near, out = left > 0, symbol
         if symbol == TARGET:
             out = BOTH if held and insulted else RELEASED if held else BOOST if insulted else TARGET
-            return (reach, 0, 0, True), out, 1.0
+            return (reach, 0, 0, True), out, THREATENED * bool(held)
         held, insulted = max(0, held - 1), max(0, insulted - 1)
         if symbol == THREAT and not near:
             out = HELD if begun else OTHER
             held = after if begun else held
         elif symbol == INSULT:
             insulted = 0 if near else after
-        return (max(0, left - 1), held, insulted, True), out, factor if near and symbol == INSULT else 1.0
+        return (max(0, left - 1), held, insulted, True), out, TARGETED * (near and symbol == INSULT) | THREATENED * (out == THREAT)
 
     return Transducer((0, 0, 0, False), step)
 
 
 @dataclass
 class Grammar:
-    """weights: by insult word its weight. slope and offset: of the logistic curve over log(1 + weight of a text)."""
+    """weights: by insult its weight; a key that ends in * is the beginning of words. factors: by mark what it multiplies
+    a match's weight with. slope and offset: of the logistic curve over log(1 + weight of a text)."""
 
     weights: dict[str, float]
-    threat: float = 1.0
-    boost: float = 1.5
+    factors: dict[int, float] = field(default_factory=lambda: {TARGETED: 1.5, NEGATED: 0.5, REPORTED: 0.6, THREATENED: 1.0})
     slope: float = 4.0
     offset: float = -4.0
     closed: dict[str, str] = field(default_factory=lambda: {w: s for ws, s in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), ([".", "!", "?", ";", ":", "\n"], END)) for w in ws})
+    known: dict[str, tuple[str, float]] = field(default_factory=dict, repr=False)
 
     def machine(self) -> Transducer:
-        return reduce(compose, (targeted(factor=self.boost), negation(), reported()))
+        return reduce(compose, (targeted(), negation(), reported()))
+
+    def symbol(self, word: str) -> tuple[str, float]:
+        """The symbol of a word, and its weight if it is an insult: that of the word itself, else of its longest known
+        beginning. A bounded number of words is remembered."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= 200_000:
+                self.known.clear()
+            keys = [word, *[word[:n] + "*" for n in range(min(len(word), LONGEST), SHORTEST - 1, -1)]]
+            weight = next((self.weights[k] for k in keys if k in self.weights), None)
+            found = self.known[word] = (self.closed.get(word, OTHER), 0.0) if weight is None else (INSULT, weight)
+        return found
+
+    def features(self, text: str, machine: Transducer) -> tuple[np.ndarray, int]:
+        """By set of marks the weight of a text's matches that have just these marks, and how many clauses matched."""
+        out, clauses = np.zeros(MARKS), 0
+        symbols = [self.known.get(t) or self.symbol(t) for t in _TOKEN.findall(text.lower())]
+        if not any(s == INSULT or s == THREAT for s, _ in symbols):
+            return out, 0
+        state, own, last = machine.start, [], 0
+        for symbol, weight in [*symbols, (END, 0.0)]:
+            state, put, marks = machine.step(state, symbol)
+            if put == INSULT:
+                last = len(own)
+                own.append([marks, weight])
+            elif put in (THREAT, RELEASED, BOTH):
+                own.append([marks, 1.0])
+            if put in (BOOST, BOTH) and own:
+                own[last][0] |= TARGETED
+            if put == END and own:
+                for found, w in own:
+                    out[found] += w
+                clauses, own = clauses + 1, []
+        return out, clauses
+
+    def worth(self) -> np.ndarray:
+        """By set of marks the product of its factors."""
+        return np.array([np.prod([f for m, f in self.factors.items() if s & m]) for s in range(MARKS)])
 
     def weigh(self, text: str, machine: Transducer) -> tuple[float, int]:
         """The total weight of a text's matched clauses, and how many clauses matched."""
-        tokens = _TOKEN.findall(text.lower())
-        if self.weights.keys().isdisjoint(tokens) and _THREATS.isdisjoint(tokens):
-            return 0.0, 0
-        total, clauses, own, last, state = 0.0, 0, 0.0, 0.0, machine.start
-        for token in [*tokens, "."]:
-            symbol = INSULT if token in self.weights else self.closed.get(token, OTHER)
-            state, out, factor = machine.step(state, symbol)
-            if out == INSULT:
-                last = factor * self.weights[token]
-                own += last
-            elif out in (THREAT, RELEASED, BOOST, BOTH):
-                own += factor * self.threat if out != BOOST else 0.0
-                own += (self.boost - 1) * last if out in (BOOST, BOTH) else 0.0
-            elif out == END and own:
-                total, clauses, own = total + own, clauses + 1, 0.0
-        return total, clauses
+        found, clauses = self.features(text, machine)
+        return float(found @ self.worth()), clauses
 
     def probability(self, weight: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.log1p(weight) + self.offset, -30, 30)))
 
 
-def weighed(grammar: Grammar, docs: DataFrame, text_col: str = "text") -> Column:
-    """struct<weight: double, clauses: long> of docs' whole texts; null and empty texts weigh 0."""
+def featured(grammar: Grammar, docs: DataFrame, text_col: str = "text") -> Column:
+    """struct<features: array<double>, weight: double, clauses: long> of docs' whole texts; null and empty texts weigh 0."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(grammar)
 
-    @F.pandas_udf("weight double, clauses long")
+    @F.pandas_udf("features array<double>, weight double, clauses long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        machine = own.machine()
+        machine, worth = own.machine(), own.worth()
         for batch in batches:
-            yield pd.DataFrame([own.weigh(x or "", machine) for x in batch], columns=["weight", "clauses"])
+            found = [own.features(x or "", machine) for x in batch]
+            yield pd.DataFrame({"features": [f for f, _ in found], "weight": [float(f @ worth) for f, _ in found], "clauses": [n for _, n in found]})
 
     return run(F.col(text_col))
 
 
-def lexicon(rows: DataFrame, most: int = 2000, margin: float = 2.0, ratio: float = 5.0) -> dict[str, float]:
-    """Insult words of rows(text, toxic) with their weights, at most so many, the surest first.
+def insults_in(text: Column) -> Column:
+    """The distinct words of a text of two letters or more, and their beginnings, marked by *."""
+    found = F.array_distinct(F.filter(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)), lambda w: F.length(w) > 1))
+    return F.array_distinct(F.flatten(F.transform(found, lambda w: F.concat(F.array(w), beginnings(w)))))
+
+
+def beginnings(word: Column) -> Column:
+    lengths = F.sequence(F.lit(SHORTEST), F.least(F.length(word), F.lit(LONGEST)))
+    none = F.array().cast("array<string>")
+    return F.when(F.length(word) < SHORTEST, none).otherwise(F.transform(lengths, lambda n: F.concat(F.left(word, n), F.lit("*"))))
 
-    A word counts once for a text. It is taken if its log-likelihood ratio against chance is above the logarithm of
-    the number of distinct words plus a margin, and its share among toxic texts is ratio times that among others.
-    Weights are 1 for the word of the median ratio and follow the logarithm of the ratio.
+
+def lexicon(rows: DataFrame, margin: float = 2.0, ratio: float = 3.0, least: int = 3, small: int = 200_000) -> dict[str, float]:
+    """Insults of rows(text, toxic) with their weights: words, and beginnings that two words or more share.
+
+    A word counts once for a text. It is taken if at least `least` toxic texts hold it, its log-likelihood ratio against
+    chance is above the logarithm of the number of distinct words and beginnings plus a margin, and its share among
+    toxic texts is ratio times that among others. Weights are 1 for the word of the median ratio and follow the
+    logarithm of the ratio. Their number is bounded by the rows: each needs about (log of the distinct words) / (log of
+    the share of toxic texts) toxic texts for itself. Those that toxic texts hold are joined by broadcast if they are no more than `small`.
     """
-    word = F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}']+"), lambda w: F.length(w) > 1))).alias("word")
-    counts = rows.select("toxic", word).groupBy("word").agg(F.sum(F.col("toxic").cast("long")).alias("k"), F.count("*").alias("n"))
     sizes = rows.agg(F.sum(F.col("toxic").cast("double")).alias("toxic"), F.count("*").alias("all")).first()
     if not sizes["all"] or not sizes["toxic"] or sizes["toxic"] == sizes["all"]:
         return {}
     r = sizes["toxic"] / sizes["all"]
-    k, n = F.col("k").cast("double"), F.col("n").cast("double")
+    each = rows.select("toxic", F.explode(insults_in(F.col("text"))).alias("word"))
+    bad = each.where("toxic = 1").groupBy("word").agg(F.count("*").alias("k"))
+    bad = cut(bad)
+    shared = bad.where("word not like '%*'").select(F.explode(beginnings(F.col("word"))).alias("word")).groupBy("word").count().where("count > 1")
+    able = bad.where(F.col("k") >= least)
+    able = cut(able.where("word not like '%*'").union(able.join(shared.select("word"), "word", "left_semi")))
+    distinct, candidates = bad.count(), able.count()
+    counts = each.join(F.broadcast(able) if candidates <= small else able, "word").groupBy("word").agg(F.first("k").cast("double").alias("k"), F.count("*").cast("double").alias("n"))
+    k, n = F.col("k"), F.col("n")
     part = lambda x, p: F.when(x > 0, x * F.log(x / (n * p))).otherwise(0.0)
     odds = F.log((k + 0.5) / (sizes["toxic"] + 1)) - F.log((n - k + 0.5) / (sizes["all"] - sizes["toxic"] + 1))
-    scored = counts.where("k >= 2").select("word", (part(k, r) + part(n - k, 1 - r)).alias("sure"), odds.alias("odds")).where(F.col("odds") > float(np.log(ratio)))
-    bound = float(np.log(counts.count() + 1)) + margin
-    found = scored.where(F.col("sure") > bound).orderBy(F.desc("sure"), "word").limit(most).collect()
+    scored = counts.select("word", (part(k, r) + part(n - k, 1 - r)).alias("sure"), odds.alias("odds")).where(F.col("odds") > float(np.log(ratio)))
+    found = scored.where(F.col("sure") > float(np.log(distinct + 1)) + margin).orderBy("word").collect()
     middle = float(np.median([x["odds"] for x in found])) if found else 1.0
     return {x["word"]: x["odds"] / middle for x in found}
 
 
+def calibrated(grammar: Grammar, features: np.ndarray, toxic: np.ndarray, steps: int = 400, trust: float = 1.0) -> Grammar:
+    """The grammar with factors, slope and offset that fit the labels, by gradient steps on the log-likelihood.
+
+    The logarithms of the factors, the slope and the offset are held back by a weak prior around where they start, so
+    what the labels say nothing about stays as the grammar has it.
+    """
+    marks = sorted(grammar.factors)
+    has = np.array([[bool(s & m) for m in marks] for s in range(MARKS)], float)
+    start = np.array([*[np.log(grammar.factors[m]) for m in marks], grammar.slope, grammar.offset])
+    precision = np.array([*[trust] * len(marks), 0.5, 0.5])
+    p, first, second = start.copy(), np.zeros(len(start)), np.zeros(len(start))
+    for t in range(1, steps + 1):
+        worth = np.exp(has @ p[:-2])
+        weight = features @ worth
+        x = np.log1p(weight)
+        wrong = 1 / (1 + np.exp(-np.clip(p[-2] * x + p[-1], -30, 30))) - toxic
+        own = (features * worth) @ has * (p[-2] * wrong / (1 + weight))[:, None]
+        g = np.array([*own.sum(0), (wrong * x).sum(), wrong.sum()]) + precision * (p - start)
+        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
+        p = p - 0.05 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-9)
+    factors = {m: float(np.exp(v)) for m, v in zip(marks, p, strict=False)}
+    return Grammar(grammar.weights, factors, float(max(p[-2], 0.1)), float(p[-1]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = 20_000) -> Grammar:
     """A grammar learned from a sample of about sample_rows labelled rows, drawn by hash of the id.
 
-    Rows without a label, id or text are not used. Without labels of both kinds the grammar has no insult words.
+    Rows without a label, id or text are not used. Without labels of both kinds the grammar has no insult words. The
+    drawn ids are few by their bound, so they are broadcast and texts are read once and not shuffled; the drawn rows are
+    written, and all that is learned is learned from them.
     """
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     n = marked.count()
     draw = F.pmod(F.xxhash64(F.col("__id").cast("string"), F.lit("toxicity")), F.lit(1_000_000_007)) / 1_000_000_007
     drawn = marked.where(draw < min(1.0, sample_rows / max(n, 1)))
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where("text is not null").join(drawn, "__id").select("text", "toxic")
+    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where("text is not null")
+    rows = cut(rows.join(F.broadcast(drawn), "__id").select("text", "toxic"))
     grammar = Grammar(lexicon(rows))
-    learned = rows.select(weighed(grammar, rows)["weight"].alias("weight"), "toxic").groupBy("weight", "toxic").count().orderBy("weight", "toxic").collect()
+    # Where no label speaks of threats, a threat weighs what the heaviest insult does at a target.
+    grammar.factors[THREATENED] = grammar.factors[TARGETED] * max(grammar.weights.values(), default=1.0)
+    learned = rows.select(featured(grammar, rows)["features"].alias("features"), "toxic").groupBy("features", "toxic").count().orderBy("features", "toxic").collect()
     if grammar.weights and learned:
-        x, y, w = (np.array(v, float) for v in zip(*[(np.log1p(r["weight"]), r["toxic"], r["count"]) for r in learned], strict=True))
-        p = np.array([grammar.slope, grammar.offset])
-        for _ in range(50):  # Newton's method, held back by a weak prior around the starting curve
-            z = 1 / (1 + np.exp(-(p[0] * x + p[1])))
-            a = np.stack([x, np.ones_like(x)])
-            gradient = a @ (w * (z - y)) + 0.5 * (p - [grammar.slope, grammar.offset])
-            p = p - np.clip(np.linalg.solve((a * (w * z * (1 - z))) @ a.T + 0.5 * np.eye(2), gradient), -1, 1)
-        grammar.slope, grammar.offset = float(max(p[0], 0.1)), float(p[1])
+        times = np.repeat(np.arange(len(learned)), [r["count"] for r in learned])
+        grammar = calibrated(grammar, np.array([r["features"] for r in learned])[times], np.array([r["toxic"] for r in learned], float)[times])
     return grammar
 
 
@@ -217,7 +294,7 @@ def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: s
     Null and empty texts weigh nothing and get the score of any text without a match. Ids are carried through, also
     null and repeated ones; an empty table gives an empty result; other columns of docs are not read.
     """
-    found = docs.select(F.col(id_col).alias("doc_id"), weighed(grammar, docs, text_col).alias("w")).select("doc_id", "w.weight", "w.clauses")
+    found = docs.select(F.col(id_col).alias("doc_id"), featured(grammar, docs, text_col).alias("w")).select("doc_id", "w.weight", "w.clauses")
     curve = 1 / (1 + F.exp(-(F.lit(grammar.slope) * F.log1p("weight") + F.lit(grammar.offset))))
     return found.select("doc_id", curve.alias("score"), "weight", "clauses").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
