@@ -1,14 +1,17 @@
 """Main text of web pages by wrappers that are inferred for each host.
 
-A page is a stream of tags and text slots. Repeats that stand next to each other are folded into repeated groups, and
-the folded streams of a host are aligned one after the other into one union-free regular expression, its wrapper: what
-only some pages have becomes an optional group, what repeats a repeated one, text a slot. A wrapper's slots are told by
-the elements around them, and those of the article are kept: slots of the article or main element if the wrapper has
-one, else all slots outside navigation, and never those inside page furniture. A page's text is read off with the slots
-of its host's wrapper.
-
-Pages of one host may be a third of all: their streams are merged by value first, then in parts of a host, then the
-parts' wrappers of a host, of which there is a fixed number.
+A page is a stream of tags and texts. Repeats that stand next to each other are folded into repeated groups. The folded
+streams of a host are aligned one after the other into one union-free regular expression, its wrapper: what only some
+pages have becomes an optional group, what repeats a repeated one, and a text that is not the same on all pages a slot.
+A text that stays the same on every page is the host's template, whatever its element is called.
+
+A page is then matched with its host's wrapper, which tells each of its texts the place of the wrapper that it fills.
+Kept are the slots of the article or main element if the page has one, else all slots outside navigation; template text
+and page furniture go. Inside an article element nothing is taken for template, as the element itself says what it is.
+
+A host may hold a third of all pages. Pages of one structure are merged by a plain aggregation first; the structures of
+a host are merged in rounds of bounded groups; wrappers reach the pages by broadcast where their size allows it, which
+is measured, and else by a join that deals hot hosts by salt.
 """
 
 from __future__ import annotations
@@ -17,12 +20,14 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import cut, small_batches, text_or_empty
+from lakemill.llm.common import cut, every_salt, salt_of, small_batches, text_or_empty
 
 #: Fixed values of HTML: elements without an end, elements that lay out blocks, elements whose content is no markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -38,13 +43,18 @@ FURNITURE_WORDS = frozenset(
     "discussion footer form login masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted related "
     "replies respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: What an article element's own class may say of it: that it is not the article, but a reader's or another one.
+OTHERS = frozenset("comment comments replies respond related promo promoted sponsored".split())
 #: Furniture unless it stands inside the article.
 HEADS = frozenset("header".split())
 MAIN = frozenset("article main".split())
 
+#: Attributes up to the end of a tag, which is >, the next <, or the end of the page; a quote that is never closed is a sign
+#: like any other. No part can be read in two ways, so a page is read in one pass.
+_REST = r"(?:\"[^\"]*\"|'[^']*'|[^'\"<>]|[\"'])*+"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|(?P<text>[^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?!(?<=svg)[^<>]*/>){_REST}>?.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-z][^\s/<>]*)(?P<rest>{_REST})>?|(?P<text>[^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
@@ -53,7 +63,7 @@ SLOT = "#"
 
 def read(page: str) -> Iterator[tuple[str, str, str]]:
     """A page's tokens: ("open", symbol, tag), ("close", "/" + tag, tag) or ("text", "#", text). A symbol is the tag with
-    the words of its class, id and role, digits left out."""
+    the words of its class, id and role; numbers of three digits or more, which count pages, are left out."""
     for m in _TOKEN.finditer(page):
         if m["text"] is not None:
             yield "text", SLOT, m["text"]
@@ -62,58 +72,144 @@ def read(page: str) -> Iterator[tuple[str, str, str]]:
             if m["end"]:
                 yield "close", f"/{tag}", tag
             else:
-                names = {w for found in _NAMES.findall(m["rest"]) for w in re.split(r"[^a-z]+", "".join(found).lower()) if w} if "=" in m["rest"] else ()
+                names = {w for found in _NAMES.findall(m["rest"]) for w in re.split(r"[^a-z0-9]+|[0-9]{3,}", "".join(found).lower()) if w} if "=" in m["rest"] else ()
                 yield "open", ".".join([tag, *sorted(names)]), tag
 
 
-def placed(page: str) -> Iterator[tuple[str, tuple[str, ...], str]]:
-    """read(), with the symbols of the elements around each token; ends that HTML implies are made: a block element ends
-    an open paragraph, an item the item before it, an end tag all that is open inside its element."""
-    stack: list[tuple[str, str]] = []
+#: What a text is: furniture or template, outside the article element, or inside it.
+GONE, FREE, ARTICLE = 0, 1, 2
+
+
+class Place:
+    """Where in a page something stands: a name for the elements around it, and what they say of a text in them."""
+
+    __slots__ = ("article", "gone", "inside", "inner", "name")
+
+    def __init__(self, number: int = 0, gone: bool = False, inside: bool = False, article: bool = False) -> None:
+        self.gone, self.inside, self.article = gone, inside, article
+        self.name = f"{number:08x}{GONE if gone else ARTICLE if inside else FREE}{'a' * article}"
+        self.inner: dict[str, Place] = {}
+
+    def into(self, symbol: str) -> Place:
+        """The place inside an element of this symbol."""
+        found = self.inner.get(symbol)
+        if found is None:
+            tag, *words = symbol.split(".")
+            names, gone, inside = set(words), self.gone, self.inside
+            if tag in MAIN and not names & OTHERS:
+                inside = True
+            elif tag not in ("html", "body"):
+                gone = gone or tag in FURNITURE or bool(names & FURNITURE_WORDS) or not inside and (tag in HEADS or bool(names & HEADS))
+                inside = inside or "main" in names
+            found = self.inner[symbol] = Place(crc32(symbol.encode(), crc32(self.name.encode())), gone, inside, self.article or tag == "article" and inside)
+        return found
+
+
+def kind_of(place: str) -> int:
+    """What a text is by the elements around it, as the name of its place says."""
+    return int(place[8])
+
+
+def placed(page: str) -> Iterator[tuple[str, str, str]]:
+    """read(), with the name of the place in which each token stands instead of its kind; ends that HTML implies are
+    made: a block element ends an open paragraph, an item the item before it, an end tag all that is open inside its
+    element. A token takes the same time at any depth, so pages that nest without end are read in one pass too."""
+    stack: list[tuple[str, Place]] = []
+    last: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    here = Place()
+
+    def cut_to(depth: int) -> None:
+        nonlocal here
+        while len(stack) > depth:
+            tag, here = stack.pop()
+            last[tag].pop()
+            if tag in BLOCK:
+                blocks.pop()
+
     for kind, symbol, value in read(page):
         if kind == "open":
-            if value in BLOCK:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p" or stack[k][0] == value in ("li", "dt", "dd", "tr", "td", "th"):
-                        del stack[k:]
-                        break
-                    if stack[k][0] in BLOCK:
-                        break
-            yield symbol, tuple(s for _, s in stack), value
+            if value in BLOCK and blocks:
+                top = stack[blocks[-1]][0]
+                if top == "p" or top == value in ("li", "dt", "dd", "tr", "td", "th"):
+                    cut_to(blocks[-1])
+            yield symbol, here.name, value
             if value not in VOID:
-                stack.append((value, symbol))
+                last.setdefault(value, []).append(len(stack))
+                if value in BLOCK:
+                    blocks.append(len(stack))
+                stack.append((value, here))
+                here = here.into(symbol)
         elif kind == "close":
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == value:
-                    del stack[k:]
-                    yield symbol, tuple(s for _, s in stack), value
-                    break
+            if last.get(value):
+                cut_to(last[value][-1])
+                yield symbol, here.name, value
         else:
-            yield symbol, tuple(s for _, s in stack), value
+            yield symbol, here.name, value
+
+
+# A wrapper is a tuple of nodes: a tag's symbol; a text (SLOT, place, literal, pages), whose literal is the hash of the
+# text that all of so many pages have there, or None where they differ; a repeated group ("+", nodes); an optional
+# group ("?", nodes).
+
+
+def shape(node: object) -> object:
+    """A node without its literals."""
+    if isinstance(node, str):
+        return node
+    return node[:2] if node[0] == SLOT else (node[0], tuple(map(shape, node[1])))
+
+
+def _paired(a: object, b: object, one_page: bool) -> object:
+    """Two nodes of one shape as one. On one page a repeated text is the sequence of its texts; on several pages it stays
+    a literal only if they agree."""
+    if isinstance(a, str):
+        return a
+    if a[0] != SLOT:
+        return a[0], tuple(_paired(x, y, one_page) for x, y in zip(a[1], b[1], strict=True))
+    if one_page:
+        return SLOT, a[1], hash((a[2], b[2])), 1
+    return SLOT, a[1], a[2] if a[2] == b[2] else None, a[3] + b[3]
 
 
 def folded(stream: list) -> tuple:
-    """The stream with adjacent repeats, the shortest first, turned into groups ("+", unit)."""
-    numbers: dict[object, int] = {}
-    seq = list(stream)
-    unit = 1
-    while unit <= len(seq) // 2 and unit <= 32:
-        ids = [numbers.setdefault(x, len(numbers)) for x in seq]
-        out, i, found = [], 0, False
-        while i < len(seq):
-            n = 1
-            while i + (n + 1) * unit <= len(ids) and ids[i] == ids[i + n * unit] and ids[i : i + unit] == ids[i + n * unit : i + (n + 1) * unit]:
-                n += 1
-            if n > 1:
-                found = True
-                group = tuple(seq[i : i + unit])
-                out.append(group[0] if unit == 1 and group[0][0] == "+" else ("+", group))
+    """The stream with adjacent repeats, the shortest first, turned into groups ("+", unit).
+
+    A repeat of any length is found by the distance from one of its nodes to the next node of the same shape.
+    """
+    seq, numbers = list(stream), {}
+    ids = [numbers.setdefault(shape(x), len(numbers)) for x in seq]
+    tried = 0
+    while True:
+        last, distances = {}, set()
+        for i, x in enumerate(ids):
+            if x in last and i - last[x] > tried:
+                distances.add(i - last[x])
+            last[x] = i
+        for unit in sorted(distances):
+            out, new, i, found = [], [], 0, False
+            while i < len(seq):
+                n = 1
+                while i + (n + 1) * unit <= len(ids) and ids[i] == ids[i + n * unit] and ids[i : i + unit] == ids[i + n * unit : i + (n + 1) * unit]:
+                    n += 1
+                if n == 1:
+                    out.append(seq[i])
+                    new.append(ids[i])
+                    i += 1
+                    continue
+                found, group = True, seq[i : i + unit]
+                for k in range(1, n):
+                    group = [_paired(x, y, True) for x, y in zip(group, seq[i + k * unit : i + (k + 1) * unit], strict=True)]
+                node = group[0] if unit == 1 and group[0][0] == "+" else ("+", tuple(group))
+                out.append(node)
+                new.append(numbers.setdefault(shape(node), len(numbers)))
                 i += n * unit
-            else:
-                out.append(seq[i])
-                i += 1
-        seq, unit = (out, 1) if found else (seq, unit + 1)
-    return tuple(seq)
+            tried = unit
+            if found:
+                seq, ids, tried = out, new, 0
+                break
+        else:
+            return tuple(seq)
 
 
 def _bare(node: object) -> tuple:
@@ -121,70 +217,82 @@ def _bare(node: object) -> tuple:
     return node[1] if node[0] == "?" and isinstance(node, tuple) else (node,)
 
 
+def _is(node: object, kind: str) -> bool:
+    return isinstance(node, tuple) and node[0] == kind
+
+
 def aligned(a: tuple, b: tuple) -> tuple:
     """The expression that covers both: nodes in common stay, others become optional, repeats of unequal units align
-    their units."""
-    if a == b:
-        return a
+    their units. What both begin and end with needs no search."""
+    sa, sb = tuple(map(shape, a)), tuple(map(shape, b))
+    if sa == sb:
+        return tuple(_paired(x, y, False) for x, y in zip(a, b, strict=True))
+    # An optional or repeated group at the edge might serve for more than one node; those are left to the search.
+    plain = lambda x: isinstance(x, str) or x[0] == SLOT
+    head = 0
+    while head < min(len(a), len(b)) and sa[head] == sb[head] and plain(a[head]):
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and sa[-1 - tail] == sb[-1 - tail] and plain(a[-1 - tail]):
+        tail += 1
+    begin = tuple(_paired(x, y, False) for x, y in zip(a[:head], b[:head], strict=True))
+    end = tuple(_paired(x, y, False) for x, y in zip(a[len(a) - tail :], b[len(b) - tail :], strict=True))
+    middle = slice(head, len(a) - tail), slice(head, len(b) - tail)
+    return begin + _searched(a[middle[0]], b[middle[1]], sa[middle[0]], sb[middle[1]]) + end
+
+
+def _searched(a: tuple, b: tuple, sa: tuple, sb: tuple) -> tuple:
+    """aligned() by dynamic programming; sa and sb are the shapes."""
     n, m = len(a), len(b)
-    best = [[(0.0, "")] * (m + 1) for _ in range(n + 1)]
-
-    def same(x: object, y: object) -> float:
-        x, y = _bare(x), _bare(y)
-        if x == y:
-            return 2.0
-        if len(x) == len(y) == 1 and isinstance(x[0], tuple) and isinstance(y[0], tuple) and x[0][0] == y[0][0] == "+" and x[0][1][0] == y[0][1][0]:
-            return 1.0
-        return 0.0
-
-    def unit(x: object, run: tuple) -> int:
-        x = _bare(x)
-        group = x[0][1] if len(x) == 1 and isinstance(x[0], tuple) and x[0][0] == "+" else ()
-        return len(group) if group and run[: len(group)] == group else 0
-
+    ba, bb = [_bare(x) for x in sa], [_bare(x) for x in sb]
+    units = [[x[0][1] if len(x) == 1 and _is(x[0], "+") else () for x in side] for side in (ba, bb)]
+    best = [[0.0] * (m + 1) for _ in range(n + 1)]
+    move = [[""] * (m + 1) for _ in range(n + 1)]
     for i in range(n, -1, -1):
         for j in range(m, -1, -1):
-            if i == n and j == m:
-                continue
-            options = []
+            top, how = -1.0, ""
             if i < n:
-                options.append((best[i + 1][j][0], "a"))
-            if j < m:
-                options.append((best[i][j + 1][0], "b"))
+                top, how = best[i + 1][j], "a"
+            if j < m and best[i][j + 1] > top:
+                top, how = best[i][j + 1], "b"
             if i < n and j < m:
-                if s := same(a[i], b[j]):
-                    options.append((best[i + 1][j + 1][0] + s, "="))
-                if k := unit(a[i], b[j:]):
-                    options.append((best[i + 1][j + k][0] + 1.5, f"A{k}"))
-                if k := unit(b[j], a[i:]):
-                    options.append((best[i + k][j + 1][0] + 1.5, f"B{k}"))
-            best[i][j] = max(options, key=lambda x: x[0])
+                x, y, u, v = ba[i], bb[j], units[0][i], units[1][j]
+                same = 2.0 if x == y else 1.0 if u and v and u[0] == v[0] else 0.0
+                if same and best[i + 1][j + 1] + same > top:
+                    top, how = best[i + 1][j + 1] + same, "="
+                if u and sb[j : j + len(u)] == u and best[i + 1][j + len(u)] + 1.5 > top:
+                    top, how = best[i + 1][j + len(u)] + 1.5, f"A{len(u)}"
+                if v and sa[i : i + len(v)] == v and best[i + len(v)][j + 1] + 1.5 > top:
+                    top, how = best[i + len(v)][j + 1] + 1.5, f"B{len(v)}"
+            if how:
+                best[i][j], move[i][j] = top, how
     out: list = []
     i = j = 0
 
-    def optional(node: object) -> None:
-        out.append(node if isinstance(node, tuple) and node[0] == "?" else ("?", (node,)))
+    def once(group: object, run: tuple) -> object:
+        """A repeated group, optional or not, that a run of its nodes joins."""
+        unit = tuple(_paired(x, y, False) for x, y in zip(_bare(group)[0][1], run, strict=True))
+        return ("?", (("+", unit),)) if group[0] == "?" else ("+", unit)
 
     while i < n or j < m:
-        move = best[i][j][1]
-        if move == "=":
+        step = move[i][j]
+        if step == "=":
             x, y = _bare(a[i]), _bare(b[j])
-            node = x if x == y else (("+", aligned(x[0][1], y[0][1])),)
-            open_ = "?" in (a[i][0] if isinstance(a[i], tuple) else "", b[j][0] if isinstance(b[j], tuple) else "")
-            out.append(("?", node)) if open_ else out.extend(node)
+            node = tuple(_paired(u, v, False) for u, v in zip(x, y, strict=True)) if ba[i] == bb[j] else (("+", aligned(x[0][1], y[0][1])),)
+            out.append(("?", node)) if _is(a[i], "?") or _is(b[j], "?") else out.extend(node)
             i, j = i + 1, j + 1
-        elif move[0] == "A":
-            out.append(a[i])
-            i, j = i + 1, j + int(move[1:])
-        elif move[0] == "B":
-            out.append(b[j])
-            i, j = i + int(move[1:]), j + 1
-        elif move == "a":
-            optional(a[i])
-            i += 1
+        elif step[0] == "A":
+            k = int(step[1:])
+            out.append(once(a[i], b[j : j + k]))
+            i, j = i + 1, j + k
+        elif step[0] == "B":
+            k = int(step[1:])
+            out.append(once(b[j], a[i : i + k]))
+            i, j = i + k, j + 1
         else:
-            optional(b[j])
-            j += 1
+            node = a[i] if step == "a" else b[j]
+            out.append(node if _is(node, "?") else ("?", (node,)))
+            i, j = i + (step == "a"), j + (step == "b")
     return tuple(out)
 
 
@@ -194,53 +302,119 @@ def _tuples(x: object) -> object:
 
 def wrapper_of(streams: list[str]) -> str:
     """The wrapper of some streams or wrappers, as JSON; the order of the streams is by text, so reruns agree."""
-    found = [_tuples(json.loads(s)) for s in sorted(set(streams))]
+    found = [_tuples(json.loads(s)) for s in sorted(streams)]
     whole = found[0]
     for other in found[1:]:
         whole = aligned(whole, other)
     return json.dumps(whole, ensure_ascii=False)
 
 
-def slots(wrapper: tuple) -> set[tuple[str, ...]]:
-    """The places of a wrapper's text slots: the symbols of the elements around them."""
-    found: set[tuple[str, ...]] = set()
-
-    def walk(nodes: tuple) -> None:
-        for node in nodes:
-            if isinstance(node, tuple):
-                walk(node[1])
-            elif node[:1] == SLOT:
-                found.add(tuple(node[1:].split(" ")) if len(node) > 1 else ())
-
-    walk(wrapper)
-    return found
-
-
-def kept_slots(wrapper: tuple) -> set[tuple[str, ...]]:
-    """The slots of the article."""
-
-    def words(symbol: str) -> tuple[str, set[str]]:
-        tag, *names = symbol.split(".")
-        return tag, set(names)
-
-    def furniture(place: tuple[str, ...]) -> bool:
-        inside = False
-        for symbol in place:
-            tag, names = words(symbol)
-            if tag in ("html", "body"):
-                continue
-            if tag in FURNITURE or names & FURNITURE_WORDS or not inside and (tag in HEADS or names & HEADS):
-                return True
-            inside = inside or tag in MAIN or "main" in names
-        return False
-
-    free = {p for p in slots(wrapper) if not furniture(p)}
-    main = {p for p in free if any(words(s)[0] in MAIN or "main" in words(s)[1] for s in p)}
-    return main or free
+class Automaton:
+    """A wrapper as an automaton whose states are the places of its symbols and texts, in order.
 
+    match() finds a path for a page's symbols. The sets of states that a symbol leads to are worked out once and
+    remembered, so a page takes two look-ups for each symbol: forwards to the sets, backwards to the path.
+    """
 
-def text_of(page: str, keep: set[tuple[str, ...]]) -> str:
-    """The text in the kept slots: references decoded, white space inside a block made one blank, a line for each block."""
+    def __init__(self, wrapper: tuple, known: int = 100_000) -> None:
+        self.symbols: list[str] = []
+        self.nodes: list[object] = []
+        self.follow: list[set[int]] = []
+        self.known = known
+
+        def state(node: object) -> int:
+            self.symbols.append(node if isinstance(node, str) else SLOT + node[1])
+            self.nodes.append(node)
+            self.follow.append(set())
+            return len(self.symbols) - 1
+
+        def walk(nodes: tuple) -> tuple[set[int], set[int], bool]:
+            """The states that a run of nodes may begin with and end with, and whether it may be empty."""
+            first, last, empty = set(), set(), True
+            for node in nodes:
+                if isinstance(node, str) or node[0] == SLOT:
+                    one = {state(node)}
+                    begun, ended, none = one, one, False
+                else:
+                    begun, ended, none = walk(node[1])
+                    if node[0] == "+":
+                        for s in ended:
+                            self.follow[s] |= begun
+                    none = none or node[0] == "?"
+                for s in last:
+                    self.follow[s] |= begun
+                first = first | begun if empty else first
+                last = last | ended if none else ended
+                empty = empty and none
+            return first, last, empty
+
+        state("")
+        first, last, empty = walk(wrapper)
+        self.follow[0] |= first
+        self.ends = last | {0} if empty else last
+        self.sets: list[frozenset[int]] = [frozenset([0])]
+        self.numbers = {self.sets[0]: 0}
+        self.forward: dict[tuple[int, str], int] = {}
+        self.back: dict[tuple[int, int], int] = {}
+
+    def match(self, symbols: list[str]) -> list[int] | None:
+        """The state of each symbol, or None if the wrapper does not cover the page."""
+        if len(self.forward) + len(self.back) > self.known:
+            self.sets, self.numbers, self.forward, self.back = self.sets[:1], {self.sets[0]: 0}, {}, {}
+        at, path = 0, [0]
+        for symbol in symbols:
+            to = self.forward.get((at, symbol))
+            if to is None:
+                found = frozenset(t for s in self.sets[at] for t in self.follow[s] if self.symbols[t] == symbol)
+                to = self.numbers.setdefault(found, len(self.sets))
+                if to == len(self.sets):
+                    self.sets.append(found)
+                self.forward[at, symbol] = to
+            path.append(at := to)
+        state = min((s for s in self.sets[at] if s in self.ends), default=None)
+        if state is None:
+            return None
+        out = [state]
+        for k in range(len(symbols) - 1, 0, -1):
+            before = self.back.get((path[k], state))
+            if before is None:
+                before = self.back[path[k], state] = min(s for s in self.sets[path[k]] if state in self.follow[s])
+            out.append(state := before)
+        return out[::-1]
+
+
+def kinds(automaton: Automaton, least: int = 3) -> list[int]:
+    """By state what its text is. A literal of at least so many pages is template, unless an article element holds it, or
+    the wrapper has no slot that differs from page to page: then its pages are copies, which tell nothing."""
+    places = [n[1] if _is(n, SLOT) else None for n in automaton.nodes]
+    plain = [GONE if p is None else kind_of(p) for p in places]
+    differing = any(k != GONE and n[2] is None for k, n in zip(plain, automaton.nodes, strict=True))
+    in_article = [p is not None and p.endswith("a") for p in places]
+    template = [differing and not a and k != GONE and n[2] is not None and n[3] >= least for a, k, n in zip(in_article, plain, automaton.nodes, strict=True)]
+    return [GONE if t else k for t, k in zip(template, plain, strict=True)]
+
+
+def _symbols(tokens: list[tuple[str, str, str]]) -> list[str]:
+    """A page's symbols; a text's is SLOT with its place, and texts of white space have none."""
+    return [s + place if s == SLOT else s for s, place, value in tokens if s != SLOT or not value.isspace()]
+
+
+def text_of(page: str, automaton: Automaton | None = None, found: list[int] | None = None) -> str:
+    """The text of a page: references decoded, white space inside a block made one blank, a line for each block.
+
+    Without a wrapper, or if it does not cover the page, the elements around a text decide alone.
+    """
+    tokens = list(placed(page))
+    states = iter(automaton.match(_symbols(tokens)) or ()) if automaton else iter(())
+    marked: list[int] = []
+    for symbol, place, value in tokens:
+        kind = -1
+        if symbol != SLOT or not value.isspace():
+            state = next(states, None)
+            if symbol == SLOT:
+                kind = kind_of(place) if state is None else found[state]
+        marked.append(kind)
+    wanted = max(FREE, max(marked, default=FREE))
     blocks: list[str] = []
     run: list[str] = []
 
@@ -249,10 +423,12 @@ def text_of(page: str, keep: set[tuple[str, ...]]) -> str:
             blocks.append(text)
         run.clear()
 
-    for symbol, place, value in placed(page):
+    for (symbol, _, value), kind in zip(tokens, marked, strict=True):
         if symbol == SLOT:
-            if place in keep:
+            if kind == wanted:
                 run.append(value)
+            elif kind == -1 and run:
+                run.append(" ")
         elif value in BLOCK:
             close()
         elif value == "br" and run:
@@ -261,58 +437,116 @@ def text_of(page: str, keep: set[tuple[str, ...]]) -> str:
     return "\n".join(blocks)
 
 
-def _stream(page: str) -> str:
-    seq: list = []
+def stream_of(page: str) -> tuple[tuple, list[int]]:
+    """A page's folded stream, and the literals of its texts in the order of its slots."""
+    seq = []
     for symbol, place, value in placed(page):
-        if symbol == SLOT:
-            if not value.isspace():
-                seq.append(SLOT + " ".join(place))
-        else:
+        if symbol != SLOT:
             seq.append(symbol)
-    return json.dumps(folded(seq), ensure_ascii=False)
+        elif not value.isspace():
+            text = " ".join(value.split()).encode("utf-8", "surrogatepass")
+            seq.append((SLOT, place, int.from_bytes(blake2b(text, digest_size=8).digest(), "big", signed=True), 1))
+    stream = folded(seq)
+    return stream, [n[2] for n in _slots(stream)]
+
+
+def _slots(nodes: tuple) -> Iterator[tuple]:
+    for node in nodes:
+        if _is(node, SLOT):
+            yield node
+        elif not isinstance(node, str):
+            yield from _slots(node[1])
+
 
+def _filled(nodes: tuple, literals: Iterator[int | None], pages: int) -> tuple:
+    """The stream with its slots' literals set anew, in order."""
+    return tuple(n if isinstance(n, str) else (SLOT, n[1], next(literals), pages) if n[0] == SLOT else (n[0], _filled(n[1], literals, pages)) for n in nodes)
 
-def wrappers(pages: DataFrame, parts: int = 32) -> DataFrame:
-    """(host, wrapper) of pages(host, html)."""
 
-    def streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def wrappers(pages: DataFrame, fan: int = 32) -> DataFrame:
+    """(host, wrapper) of pages(host, html).
+
+    Pages of a host that have one structure are merged by an aggregation over their slots; which pages a task meets
+    together makes no difference. The host's structures are then merged in rounds, in groups of about `fan` by hash.
+    """
+
+    def structures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"host": batch["host"], "stream": [_stream(x) for x in batch["html"]]}).drop_duplicates()
+            held: dict[tuple[str, str], list] = {}
+            for host, page in zip(batch["host"], batch["html"], strict=True):
+                stream, literals = stream_of(page)
+                key = host, json.dumps(_filled(stream, iter([0] * len(literals)), 0), ensure_ascii=False)
+                own = held.get(key)
+                if own is None:
+                    held[key] = [1, list(literals), list(literals)]
+                else:
+                    own[0] += 1
+                    own[1], own[2] = list(map(min, own[1], literals)), list(map(max, own[2], literals))
+            rows = [(h, s, n, low, high) for (h, s), (n, low, high) in held.items()]
+            yield pd.DataFrame(rows, columns=["host", "structure", "pages", "low", "high"])
+
+    def filled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for structure, literals, pages_ in zip(batch["structure"], batch["literals"], batch["pages"], strict=True):
+                found = iter([x["low"] if x["same"] else None for x in literals if x["slot"] is not None])
+                out.append(json.dumps(_filled(_tuples(json.loads(structure)), found, int(pages_)), ensure_ascii=False))
+            yield pd.DataFrame({"host": batch["host"], "stream": out})
 
     def merged(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"host": rows["host"].iloc[:1], "stream": [wrapper_of(rows["stream"].tolist())]})
 
     schema = "host string, stream string"
-    distinct = pages.select("host", "html").mapInPandas(streams, schema).distinct()
-    part = F.pmod(F.xxhash64("stream"), F.lit(parts))
-    some = distinct.withColumn("part", part).groupBy("host", "part").applyInPandas(merged, schema)
-    return some.groupBy("host").applyInPandas(merged, schema).withColumnRenamed("stream", "wrapper")
-
-
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    met = pages.select("host", "html").mapInPandas(structures, "host string, structure string, pages bigint, low array<bigint>, high array<bigint>")
+    met = cut(met.withColumn("key", F.unhex(F.sha2("structure", 256))))
+    slots = met.select("host", "key", F.posexplode_outer(F.arrays_zip("low", "high")).alias("slot", "x"))
+    slots = slots.groupBy("host", "key", "slot").agg(F.min("x.low").alias("low"), F.max("x.high").alias("high"))
+    slots = slots.groupBy("host", "key").agg(F.array_sort(F.collect_list(F.struct("slot", "low", (F.col("low") == F.col("high")).alias("same")))).alias("literals"))
+    kinds_ = met.groupBy("host", "key").agg(F.any_value("structure").alias("structure"), F.sum("pages").alias("pages"))
+    found = cut(kinds_.join(slots, ["host", "key"]).select("host", "structure", "literals", "pages").mapInPandas(filled, schema))
+    most = found.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    while most > 1:
+        most = -(-most // fan)
+        part = F.pmod(F.xxhash64("stream"), F.lit(most)).alias("part")
+        found = cut(found.groupBy("host", part).applyInPandas(merged, schema))
+    return found.withColumnRenamed("stream", "wrapper")
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 32 << 20) -> DataFrame:
     """(page_id, url, text, n_chars), one row for each row of pages, from the whole page.
 
     Null html counts as empty; a page without article text has the empty text. Pages whose url is null or names no
-    host are one host. Ids and urls are carried through, also null and repeated ones; an empty table gives an empty
-    result; other columns are not read. Markup that breaks off is read as far as it goes.
+    host have no wrapper. Ids and urls are carried through, also null and repeated ones; repeated rows count as pages of
+    their own, so copies of a page alone never make it template; an empty table gives an empty result; other columns are
+    not read. Markup that breaks off is read as far as it goes. Wrappers are broadcast if they take no more than
+    broadcast_bytes.
     """
     small_batches(pages.sparkSession)
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_or_empty(html_col).alias("html"), host.alias("host"))
-    known = cut(wrappers(rows))
+    known = wrappers(rows.where("host <> ''"))
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keeps: dict[str, set[tuple[str, ...]]] = {}
+        held: dict[str, tuple[Automaton, list[int]]] = {}
         for batch in batches:
             texts = []
             for page, wrapper in zip(batch["html"], batch["wrapper"], strict=True):
-                if wrapper not in keeps:
-                    if len(keeps) >= 1000:
-                        keeps.clear()
-                    keeps[wrapper] = kept_slots(_tuples(json.loads(wrapper)))
-                texts.append(text_of(page, keeps[wrapper]))
+                if wrapper is None:
+                    texts.append(text_of(page))
+                    continue
+                if wrapper not in held:
+                    if len(held) >= 200:
+                        held.clear()
+                    automaton = Automaton(_tuples(json.loads(wrapper)))
+                    held[wrapper] = automaton, kinds(automaton)
+                texts.append(text_of(page, *held[wrapper]))
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
-    found = rows.join(known, "host").select("page_id", "url", "html", "wrapper").mapInPandas(run, f"page_id {kind}, url string, text string")
+    size = known.agg(F.sum(F.octet_length("wrapper") + F.octet_length("host"))).first()[0] or 0
+    if size <= broadcast_bytes:
+        told = rows.join(F.broadcast(known), "host", "left")
+    else:
+        told = rows.withColumn("salt", salt_of("html")).join(known.select("host", "wrapper", every_salt()), ["host", "salt"], "left")
+    found = told.select("page_id", "url", "html", "wrapper").mapInPandas(run, f"page_id {kind}, url string, text string")
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
