@@ -288,9 +288,35 @@ def test_chunks_join_to_the_text(spark):
     assert all("".join(r.c) == r.text for r in rows)
 
 
+def weak_name(chunk):
+    """A digest of four bits, so that many chunks share a name."""
+    return F.unhex(F.concat(F.lit("0"), F.left(F.sha2(chunk, 256), F.lit(1))))
+
+
 def test_doubtful_names_are_found(spark):
     rows = docs(spark, ["some text", "some text", "other"]).select("text")
     assert exact_dedup.doubtful_names(rows).count() == 0
+    many = docs(spark, [f"text {i}" for i in range(40)]).select("text")
+    assert exact_dedup.doubtful_names(many, weak_name).count() > 8
+
+
+def test_names_in_doubt_make_no_wrong_group(spark):
+    rng = random.Random(16)
+    texts = [*[f"text {i % 30}" for i in range(60)], *[prose(rng, 900) for _ in range(5)] * 2, None, ""]
+    found = {r.doc_id: (r.keep_id, r.group_size, r.text_sha256) for r in exact_dedup.exact_groups(docs(spark, texts), name=weak_name).collect()}
+    assert found == {r.doc_id: (r.keep_id, r.group_size, r.text_sha256) for r in exact_dedup.exact_groups(docs(spark, texts)).collect()}
+    assert {found[i][0] for i in range(30)} == set(range(30, 60))
+
+
+@pytest.mark.parametrize("first, last", [(0x61, 0x7A), (0x430, 0x44F), (0x4E00, 0x9FA0), (0x1F600, 0x1F640), (0x627, 0x64A)])
+def test_cuts_follow_the_content_in_every_script(spark, first, last):
+    """After an insertion at the front most chunks are the same again; equal passages in other surroundings too."""
+    rng = random.Random(first)
+    text = "".join(chr(rng.randint(first, last)) for _ in range(60_000))
+    rows = [r.c for r in docs(spark, [text, "xyz" + text, text[30_000:]]).select(exact_dedup.chunks(F.col("text")).alias("c")).collect()]
+    assert ["".join(c) for c in rows] == [text, "xyz" + text, text[30_000:]]
+    assert all(len(c) <= exact_dedup.MAX_CHUNK for r in rows for c in r)
+    assert len(set(rows[0]) & set(rows[1])) > 0.8 * len(rows[0]) and len(set(rows[0]) & set(rows[2])) > 0.8 * len(rows[2])
 
 
 # ---------------------------------------------------------------- near copies
