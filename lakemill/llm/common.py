@@ -30,13 +30,16 @@ def words(col: str | Column) -> Column:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder that spark.checkpoint.dir names.
 
-    Only where the session names none (tests, a laptop) a temporary folder is set. What led to df is not needed any
-    more: the driver collects its garbage, upon which Spark removes the shuffle files and checkpoints that no frame
-    refers to. Else they would stay on the executors' disks until the driver's heap happens to fill.
+    Only where the session names none and runs on one machine (tests, a laptop) a temporary folder is set; a cluster
+    must name one. What led to df is not needed any more: the driver collects its garbage, upon which Spark removes the
+    shuffle files that no frame refers to, and old checkpoints if spark.cleaner.referenceTracking.cleanCheckpoints is
+    set, as lakemill.session does. Else they would stay until the driver's heap happens to fill.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lakemill-checkpoint-"))
     done, spark = df.checkpoint(eager=True), df.sparkSession
     del df
@@ -46,7 +49,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Texts reach Python in small Arrow batches, so that workers stay small; a session's own setting is kept."""
+    """Texts reach Python in small Arrow batches, so that workers stay small. The session's setting changes for good, as
+    frames are planned later; one that is not Spark's default is kept."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(rows))

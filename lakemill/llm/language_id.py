@@ -3,7 +3,7 @@
 A window of fixed length is embedded byte by byte, convolved with filters of several widths, max-pooled over its length
 and classified by a softmax. Convolution over embedded bytes is a sum of one table row for each tap, so prediction looks
 rows up: neighbouring taps are merged into tables over byte pairs. A text is cut into windows that cover all of it, and
-the windows' log-probabilities are averaged by the bytes they hold.
+the windows' log-probabilities are averaged, each with the weight of the bytes that no window before it holds.
 """
 
 from __future__ import annotations
@@ -65,10 +65,18 @@ def windows(data: bytes, size: int) -> np.ndarray:
     """Windows of one length that cover data, (n, size); the last one ends where data does, a short text is padded by blanks."""
     if len(data) <= size:
         return np.frombuffer(data.ljust(size, b" "), np.uint8)[None, :]
-    starts = np.minimum(np.arange(0, len(data) - 1, size), len(data) - size)
+    starts = np.minimum(np.arange(0, len(data), size), len(data) - size)
     return np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, np.uint8), size)[starts]
 
 
+def window_weights(bytes_: int, size: int) -> np.ndarray:
+    """By window the share of it that no window before it holds; the blanks that pad a short text count as held."""
+    n = max(1, -(-bytes_ // size))
+    out = np.ones(n)
+    out[-1] = (bytes_ - (n - 1) * size) / size if n > 1 else 1.0
+    return out
+
+
 def train(texts: list[str], langs: list[str], window: int = 128, dim: int = 6, widths: tuple[int, ...] = (2, 3, 4), filters: int = 8, epochs: int = 6, rate: float = 0.01, batch: int = 64, seed: int = 7) -> ByteNetwork:
     """Fit a network by Adam on labelled windows; the same rows in the same order give the same network."""
     rng, labels = np.random.default_rng(seed), sorted(set(langs))
@@ -115,14 +123,17 @@ def train(texts: list[str], langs: list[str], window: int = 128, dim: int = 6, w
     return ByteNetwork(labels, window, p["e"], {k: p[f"f{k}"] for k in widths}, {k: p[f"b{k}"].astype(np.float32) for k in widths}, p["d"].astype(np.float32), p["c"].astype(np.float32))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_label: int = 300, chars_per_row: int = 1024, **training: object) -> ByteNetwork | None:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_label: int = 300, chars_per_row: int = 1024, most_labels: int = 1000, **training: object) -> ByteNetwork | None:
     """A network learned from a bounded sample of labelled rows: about rows_per_label of each label, drawn by hash.
 
     Of a sampled row, chars_per_row characters from a place drawn by hash are learned from. Rows without a label, or
-    whose text has no letter, are not used; with no usable row there is no network.
+    whose text has no letter, are not used; with no usable row there is no network. A column of more than most_labels
+    values is no column of languages and an error, so what reaches the driver is bounded.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & text_or_empty(text_col).rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().limit(most_labels + 1).collect()}
+    if len(counts) > most_labels:
+        raise ValueError(f"{lang_col} has more than {most_labels} values")
     if not counts:
         return None
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("draw")), F.lit(1_000_000_007)) / 1_000_000_007
@@ -151,20 +162,23 @@ def predicted(network: ByteNetwork | None, docs: DataFrame, text_col: str = "tex
         tables, names = net.tables(), np.array(net.labels, object)
         for batch in batches:
             total, held = np.zeros((len(batch), len(net.labels))), np.zeros(len(batch))
-            blocks, rows, waiting = [], [], 0
+            blocks, rows, weights, waiting = [], [], [], 0
             for i, text in enumerate([*batch, None]):
-                found = windows(text.encode("utf-8", "replace"), net.window) if text is not None else None
+                data = text.encode("utf-8", "replace") if text is not None else b""
+                found = windows(data, net.window) if text is not None else None
+                share = window_weights(len(data), net.window)
                 for k in range(0, len(found) if text is not None else 0, part):
                     blocks.append(found[k : k + part])
+                    weights.append(share[k : k + part])
                     rows.append(np.full(len(blocks[-1]), i))
                     waiting += len(blocks[-1])
                 if blocks and (waiting >= part or i == len(batch)):
-                    x, at = np.concatenate(blocks), np.concatenate(rows)
+                    x, at, w = np.concatenate(blocks), np.concatenate(rows), np.concatenate(weights)
                     for k in range(0, len(at), part):
-                        np.add.at(total, at[k : k + part], net.log_probabilities(x[k : k + part], tables))
-                    np.add.at(held, at, 1)
-                    blocks, rows, waiting = [], [], 0
-            mean = np.exp(total / np.maximum(held, 1)[:, None])
+                        np.add.at(total, at[k : k + part], net.log_probabilities(x[k : k + part], tables) * w[k : k + part, None])
+                    np.add.at(held, at, w)
+                    blocks, rows, weights, waiting = [], [], [], 0
+            mean = np.exp(total / np.where(held > 0, held, 1)[:, None])
             mean /= mean.sum(axis=1, keepdims=True)
             yield pd.DataFrame({"lang_pred": np.where(held > 0, names[mean.argmax(axis=1)], "und"), "score": np.where(held > 0, mean.max(axis=1), 0.0)})
 

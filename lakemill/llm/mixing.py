@@ -25,10 +25,21 @@ from lakemill.llm.common import SALTS, cut, every_salt, words
 SEED = 11
 
 
-def row_draw(twin_of: tuple[str, str, str, str] = ("draw", "doc_id", "size", "source")) -> Column:
-    """The draw of a single row: rows that agree in draw, id and size are told apart by their running number."""
-    draw, *same, source = twin_of
-    return F.xxhash64(draw, F.row_number().over(Window.partitionBy(draw, *same).orderBy(source)))
+#: What tells a row from all others: its id, its words, the draw, and its running number among rows that agree in these.
+KEY = ("doc_id", "size", "draw", "twin")
+
+
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, prefix: str = "") -> DataFrame:
+    """docs with the columns of KEY but the id, under prefixed names. Rows that no column of these tells apart have one
+    id, draw and size, and any numbering of them gives the same mix."""
+    size, draw = f"{prefix}size", f"{prefix}draw"
+    rows = docs.withColumns({size: F.size(words(text_col)).cast("long"), draw: F.xxhash64(id_col, text_col, F.lit(seed))})
+    return rows.withColumn(f"{prefix}twin", F.row_number().over(Window.partitionBy(draw, id_col, size).orderBy(source_col)))
+
+
+def same_row(a: DataFrame, b: DataFrame, id_col: str = "doc_id", prefix: str = "") -> Column:
+    """Whether a row of a, numbered with a prefix, is the row of b. A hash alone would join rows that collide."""
+    return a[id_col].eqNullSafe(b["doc_id"]) & (a[f"{prefix}size"] == b["size"]) & (a[f"{prefix}draw"] == b["draw"]) & (a[f"{prefix}twin"] == b["twin"])
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, limit: float = 2.0) -> DataFrame:
@@ -98,10 +109,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     never taken. A source whose target is a whole multiple of its words takes all documents equally often. Null
     sources are one source, the last; null ids and repeated rows are documents like any other, and rows that agree in
     id and text are told apart by their running number among themselves. Reruns give the same result: blocks, order
-    and draws follow from hashes of id and text. Texts are not moved, only their sizes. keyed adds the row's own draw,
-    which is row_draw() over the hash of id, text and seed.
+    and draws follow from hashes of id and text. Texts are not moved, only their sizes. keyed adds
+    draw and twin, which make up KEY with id and size; see numbered().
     """
-    sizes = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.size(words(text_col)).cast("long").alias("size"), F.xxhash64(id_col, text_col, F.lit(seed)).alias("draw")))
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    sizes = own.select("doc_id", "source", F.size(words("text")).cast("long").alias("size"), F.xxhash64("doc_id", "text", F.lit(seed)).alias("draw"))
+    sizes = cut(sizes.withColumn("twin", F.row_number().over(Window.partitionBy("draw", "doc_id", "size").orderBy("source"))))
     goal = cut(targets(sizes, **targeting))
     # Sources are few, yet nothing bounds their number: a join with hot sources dealt by salt, no broadcast hint.
     key = F.struct("source", F.pmod("draw", F.lit(SALTS)).alias("salt"))
@@ -110,21 +123,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(ratio + 1e-12).cast("long")
     rows = rows.select(
-        "doc_id", "source", "size", "source_size", "target", row_draw().alias("draw"), whole.alias("whole"),
+        "doc_id", "source", "size", "source_size", "target", "draw", "twin", whole.alias("whole"),
         F.greatest(F.lit(0.0), ratio - whole).alias("p"), F.ceil(F.col("n_docs") / block).alias("blocks"),
     )
     rows = cut(rows)
-    open_, decided = rows.where("size > 0 and p > 0").select("source", "draw", "size", "p", "blocks"), []
+    open_, decided = rows.where("size > 0 and p > 0").select("source", *KEY, "p", "blocks"), []
     left = goal.agg(F.ceil(F.max("n_docs") / block)).first()[0] or 0
     while left:
         part = F.pmod(F.xxhash64("draw", F.lit(len(decided))), "blocks").alias("part")
         flown = open_.withColumn("part", part).groupBy("source", "part").applyInPandas(_decide(block, seed), open_.schema)
         decided.append(cut(flown))
         open_, left = decided[-1].where("p > 0 and p < 1"), -(-2 * left // block) if left > 1 else 0
-    rounded = [d.where("p = 0 or p = 1").select("draw", F.col("p").cast("long").alias("extra")) for d in decided]
-    found = rows.join(reduce(DataFrame.union, rounded), "draw", "left") if rounded else rows.withColumn("extra", F.lit(0).cast("long"))
+    rounded = [d.where("p = 0 or p = 1").select(*KEY, F.col("p").cast("long").alias("extra")) for d in decided]
+    found = rows.withColumn("extra", F.lit(0).cast("long"))
+    if rounded:
+        extra = reduce(DataFrame.union, rounded)
+        found = rows.join(extra, same_row(rows, extra), "left").select(*[rows[c] for c in rows.columns], extra["extra"])
     copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("extra", F.lit(0))).otherwise(0).cast("long")
-    return found.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), *(["draw"] if keyed else []))
+    return found.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), *(["draw", "twin"] if keyed else []))
 
 
 def _decide(block: int, seed: int, landed: int = 10) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -133,7 +149,7 @@ def _decide(block: int, seed: int, landed: int = 10) -> Callable[[pd.DataFrame],
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         blocks = int(rows["blocks"].iloc[0])
-        rows = rows.sort_values(["size", "draw"] if blocks == 1 else ["draw"], ascending=False, kind="stable")
+        rows = rows.sort_values(["size", "draw", "twin"] if blocks == 1 else ["draw", "size", "twin"], ascending=False, kind="stable")
         x = np.column_stack([np.ones(len(rows)), rows["size"].to_numpy(float)])
         rng, p = np.random.default_rng([seed, len(rows), int(rows["size"].sum())]), rows["p"].to_numpy(float).copy()
         flown = np.ones(len(p), bool)
@@ -141,6 +157,6 @@ def _decide(block: int, seed: int, landed: int = 10) -> Callable[[pd.DataFrame],
             flown[np.linspace(0, len(p) - 1, landed + 1).astype(int)[1:]] = False
         p[flown] = flight(p[flown], x[flown], rng)
         p = landing(p, x) if blocks == 1 else p
-        return rows[["source", "draw", "size"]].assign(p=p, blocks=-(-2 * blocks // block))
+        return rows[["source", *KEY]].assign(p=p, blocks=-(-2 * blocks // block))
 
     return run

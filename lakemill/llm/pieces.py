@@ -5,10 +5,15 @@ composed with it position by position, and the shortest path in the tropical sem
 path) is its encoding. For unigram models a piece costs its negative log-probability. For BPE models a second
 transducer is composed, whose states are the pieces: it lets piece b follow piece a at cost 0 if merging their
 characters by rank gives just a and b again, and at infinite cost otherwise. Exactly one path through a text has a
-finite cost then, and it is the one that the merges make.
+finite cost then, and it is the one that the merges make. With two costs only, 0 and infinity, the shortest path is
+whatever path is finite: it is searched depth first, longest pieces first, rather than by relaxing all positions, which
+is done for unigram models. Whether b may follow a is worked out by merging a and b, when the pair is first met.
+
+The normaliser is a rewriting transducer: at each place the longest of its left sides is replaced by its right side.
+Files whose normaliser is not the identity are refused, as their tables are not read here; rules can be given instead.
 
 Pieces never cross from a word into the blank that follows it, so the path is found word by word, and each worker
-remembers the words it has met.
+remembers the words it has met: those of late, and those of the generation before.
 """
 
 from __future__ import annotations
@@ -64,6 +69,7 @@ class PieceModel:
     trim: bool = False
     escape: bool = True
     normaliser: str = "identity"
+    rules: dict[str, str] = field(default_factory=dict)
 
     @classmethod
     def read(cls, path: str) -> PieceModel:
@@ -92,12 +98,13 @@ class PieceModel:
 
 @dataclass
 class Transducer:
-    """A compiled model. words and follows are what a worker remembers: at most `remember` words of at most 64
-    characters each, and about as many pairs of pieces."""
+    """A compiled model. words, older and follows are what a worker remembers: two generations of at most `remember`
+    words of at most 64 characters each, and about as many pairs of pieces."""
 
     model: PieceModel
-    remember: int = 150_000
+    remember: int = 200_000
     words: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    older: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         m = self.model
@@ -108,6 +115,11 @@ class Transducer:
         self.values = {p: m.scores[i] for p, i in self.ids.items()}
         self.follows: dict[str, dict[str, bool]] = {}
         self.held = 0
+        # The normaliser's rules, the longest left side first; the escape of blanks is the last of them.
+        rules = dict(m.rules) | ({} if not m.escape or " " in m.rules else {" ": BLANK})
+        self.rules = {a: b.replace(" ", BLANK) if m.escape else b for a, b in rules.items() if a}
+        self.single = str.maketrans(self.rules) if all(len(a) == 1 for a in self.rules) else None
+        self.rewrite = re.compile("|".join(re.escape(a) for a in sorted(self.rules, key=len, reverse=True)) or r"(?!)")
         # The first transducer: a trie of characters, with the piece at "" where one ends. A BPE piece that merging
         # does not make from its own characters is on no path.
         self.trie: dict = {}
@@ -127,7 +139,9 @@ class Transducer:
             text = re.sub(" +", " ", text.strip(" "))
         if m.dummy_prefix and text:
             text = " " + text
-        return text.replace(" ", BLANK) if m.escape else text
+        if self.single is not None:
+            return text.translate(self.single) if len(self.rules) > 1 else text.replace(" ", BLANK) if m.escape else text
+        return self.rewrite.sub(lambda x: self.rules[x[0]], text)
 
     def merged(self, text: str) -> list[str]:
         """What merging by rank makes of a short string: the best-scored neighbours first, the leftmost of equals."""
@@ -233,10 +247,11 @@ class Transducer:
         for word in self.split.findall(self.normalise(text)):
             ids = words.get(word)
             if ids is None:
-                ids = self.path(word)
+                ids = self.older.get(word) or self.path(word)
                 if len(word) <= 64:
                     if len(words) >= self.remember:
-                        words.clear()
+                        self.older, self.words = words, {}
+                        words = self.words
                     words[word] = ids
             extend(ids)
         return out

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from lakemill.llm import chat, exact_dedup, html_extract, language_id, licenses, mixing, near_dedup, pieces, quality, toxicity
 from lakemill.llm.common import table
 
-#: The vocabulary file that op10 and the pipeline encode with.
+#: The vocabulary file that op10 and the pipeline encode with, unless the session's setting lakemill.pieces.model names one.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
+def piece_model(spark: SparkSession) -> pieces.PieceModel:
+    return pieces.PieceModel.read(spark.conf.get("lakemill.pieces.model", PIECE_MODEL))
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judged(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -43,10 +47,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: its licence lines, the families found in them, in order of name, and the surest line's."""
+    """Per document: how many places speak of licences, the families they name, in order, and the surest place's probability."""
     found = licenses.scan(table(spark, sf_dir, "documents"))
     sure = F.filter("findings", lambda x: x["family"] != "unknown")
-    families = F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",")
+    families = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.transform(sure, lambda x: F.concat(F.array(x["family"]), x["others"]))))), ",")
     return found.select(
         "doc_id", "n_paragraphs", families.alias("families"), F.size(sure).cast("long").alias("n_confirmed"),
         F.round(F.array_max(F.transform("findings", lambda x: x["probability"])), 6).alias("probability"),
@@ -77,7 +81,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The piece ids of every document, and whether decoding gives its text back."""
-    model = pieces.PieceModel.read(PIECE_MODEL)
+    model = piece_model(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     both = pieces.decode(pieces.encode(docs, model), model)
     same = F.col("decoded").eqNullSafe(F.replace(F.col("text"), F.lit(pieces.BLANK), F.lit(" ")))
