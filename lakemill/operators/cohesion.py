@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.functions.values import rate
-from lakemill.operators.dedupe import keep_one
-from lakemill.operators.intervals import holds, islands
+from lakemill.operators.dedupe import latest
+from lakemill.operators.intervals import eligible, islands
+from lakemill.operators.lineage import settled
 
 #: Positions that express a choice, in the order in which ties are decided.
 CHOICES = ("for", "against", "abstain")
 
 
 def eligible_counts(members: DataFrame, spans: DataFrame, ballots: DataFrame) -> DataFrame:
-    """(grp, ballot, date, n_eligible) of ballots(grp, ballot, date).
+    """ballots(grp, ballot, date, ...) with n_eligible.
 
     members(member, grp), spans(member, first, last): a member without any span is eligible at all times. A ballot
     without a date is open to all members of the group, as a missing date excludes nobody.
@@ -34,17 +35,20 @@ def eligible_counts(members: DataFrame, spans: DataFrame, ballots: DataFrame) ->
     running = steps.union(days).groupBy("grp", "date").agg(F.sum("step").alias("step")).withColumn("n_dated", F.sum("step").over(order))
     size = members.groupBy("grp").agg(F.count("*").alias("n_members"))
     counted = ballots.join(running.select("grp", "date", "n_dated"), ["grp", "date"], "left").join(size, "grp")
-    return counted.select("grp", "ballot", "date", F.when(F.col("date").isNull(), F.col("n_members")).otherwise(F.coalesce("n_dated", F.lit(0))).cast("long").alias("n_eligible"))
+    return counted.select(*ballots.columns, F.when(F.col("date").isNull(), F.col("n_members")).otherwise(F.coalesce("n_dated", F.lit(0))).cast("long").alias("n_eligible"))
 
 
-def cast_votes(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots: DataFrame) -> DataFrame:
-    """(grp, member, ballot, date, position): each member's last vote on a ballot, if they were eligible at its date.
+def last_votes(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots: DataFrame) -> DataFrame:
+    """(grp, member, ballot, date, position, allowed): each member's last vote on a ballot, and whether they were
+    eligible at its date.
 
-    votes(member, ballot, position, pos); pos orders a member's votes on a ballot and tells them apart.
+    votes(member, ballot, position, pos); pos orders a member's votes on a ballot and tells them apart. A member's spans
+    are gathered beforehand, so a vote meets one row.
     """
-    last = keep_one(votes, ["member", "ballot"], [F.desc("pos")]).join(ballots.select("ballot", "date"), "ballot").join(members, "member")
-    allowed = last.join(spans, "member", "left").where(F.col("date").isNull() | holds(F.col("date"), F.col("first"), F.col("last")))
-    return allowed.select("grp", "member", "ballot", "date", "position").distinct()
+    own = spans.groupBy("member").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    placed = members.join(own, "member", "left")
+    last = latest(votes, ["member", "ballot"], ["position"], "pos").join(ballots.select("ballot", "date"), "ballot").join(placed, "member")
+    return last.select("grp", "member", "ballot", "date", "position", eligible(F.col("date"), F.col("spans")).alias("allowed"))
 
 
 def cohesion(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots: DataFrame, quorum: float = 0.5) -> DataFrame:
@@ -53,14 +57,19 @@ def cohesion(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots: Da
     ballots(ballot, date): votes on other ballots are left out. A null position counts as absent; positions outside the
     known six count as present only.
     """
-    voted = votes.select("member", "ballot").distinct().join(members, "member").select("grp", "ballot").distinct().join(ballots, "ballot")
-    n = F.col("n_eligible")
-    cast = cast_votes(members, spans, votes, ballots).groupBy("grp", "ballot").agg(
-        *[F.count_if(F.col("position") == p).alias(f"n_{p}") for p in (*CHOICES, "nonvoting", "excused")],
-        F.count_if(F.col("position").isNotNull() & (F.col("position") != "absent")).alias("n_stated"),
+    return _cohesion(members, spans, last_votes(members, spans, votes, ballots), quorum)
+
+
+def _cohesion(members: DataFrame, spans: DataFrame, last: DataFrame, quorum: float) -> DataFrame:
+    """cohesion() of last_votes(). The counts by group and ballot are written once, as their dates are needed as well."""
+    n, allowed = F.col("n_eligible"), F.col("allowed")
+    counts = last.groupBy("grp", "ballot", "date").agg(
+        *[F.count_if(allowed & (F.col("position") == p)).alias(f"n_{p}") for p in (*CHOICES, "nonvoting", "excused")],
+        F.count_if(allowed & F.col("position").isNotNull() & (F.col("position") != "absent")).alias("n_stated"),
     )
-    rows = eligible_counts(members, spans, voted).where("n_eligible > 0").join(cast, ["grp", "ballot"], "left")
-    rows = rows.fillna(0, [f"n_{p}" for p in (*CHOICES, "nonvoting", "excused")] + ["n_stated"])
+    counts = settled(counts)
+    stated = [c for c in counts.columns if c not in ("grp", "ballot", "date")]
+    rows = eligible_counts(members, spans, counts).where("n_eligible > 0").select("grp", "ballot", "date", "n_eligible", *stated)
     rows = rows.withColumn("n_absent", n - F.col("n_stated"))
     top = F.greatest(*[f"n_{p}" for p in CHOICES])
     majority = F.when(top == 0, None)
@@ -80,7 +89,8 @@ def member_gaps(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots:
 
     A member counts on the ballots of the group at whose date they are eligible; present means one of CHOICES here.
     """
-    group = cohesion(members, spans, votes, ballots, quorum)
+    last = settled(last_votes(members, spans, votes, ballots))
+    group = settled(_cohesion(members, spans, last, quorum).select("grp", "ballot", "date", "participation", "coherence", "majority"))
     means = group.groupBy("grp").agg(F.avg("participation").alias("mean_participation"), F.avg("coherence").alias("mean_coherence"))
     days = group.where("date is not null").groupBy("grp", "date").agg(F.count("*").alias("n"))
     order = Window.partitionBy("grp").orderBy("date")
@@ -93,7 +103,7 @@ def member_gaps(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots:
     seen = marks.select("grp", "date", "member", "sign", F.lit(None).cast("long").alias("upto"), F.lit(1).alias("kind")).union(upto.select("grp", "date", F.lit(None), F.lit(None), "upto", F.lit(0)))
     filled = seen.withColumn("upto", F.coalesce(F.last("upto", True).over(Window.partitionBy("grp").orderBy("date", "kind").rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
     eligible = filled.where("kind = 1").groupBy("grp", "member").agg(F.sum(F.col("sign") * F.col("upto")).cast("long").alias("n_ballots"))
-    own = cast_votes(members, spans, votes, ballots).join(group.select("grp", "ballot", "majority"), ["grp", "ballot"])
+    own = last.where("allowed").join(group.select("grp", "ballot", "majority"), ["grp", "ballot"])
     own = own.groupBy("grp", "member").agg(F.count_if(F.col("position").isin(*CHOICES)).alias("n_present"), F.count_if(F.col("position") == F.col("majority")).alias("n_aligned"))
     rows = eligible.join(own, ["grp", "member"], "left").fillna(0, ["n_present", "n_aligned"]).join(means, "grp")
     rows = rows.withColumns({"participation": rate(F.col("n_present"), F.col("n_ballots")), "coherence": rate(F.col("n_aligned"), F.col("n_ballots"))})

@@ -14,6 +14,15 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
 
+def latest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], position: str) -> DataFrame:
+    """Of each key the fields of the row with the greatest position, which must tell all rows of a key apart.
+
+    As keep_one(), but an aggregation: rows of a key are merged before the shuffle, and nothing is sorted.
+    """
+    best = F.max_by(F.struct(*fields), position)
+    return df.groupBy(*keys).agg(best.alias("__best")).select(*keys, *[F.col(f"__best.{f}").alias(f) for f in fields])
+
+
 def field_wise(df: DataFrame, keys: Sequence[str], fields: Sequence[str], position: Column, last: bool = False) -> DataFrame:
     """Of each key and each field the first (or last) value by position that is not null; one aggregation, no window."""
     pick = F.max_by if last else F.min_by

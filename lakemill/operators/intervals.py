@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,9 +40,14 @@ def interval_join(points: DataFrame, spans: DataFrame, date: str, first: str, la
     begin, end = F.greatest(F.coalesce(F.col(first).cast("date"), low), low), F.least(F.coalesce(F.col(last).cast("date"), high), high)
     bins = F.when(begin <= end, F.sequence(number(begin), number(end)))
     cut = spans.withColumn("__bin", F.explode(bins))
-    met = points.withColumn("__bin", number(F.col(date).cast("date"))).join(cut, ["__bin", *(keys or [])], how)
-    kept = holds(F.col(date), F.col(first), F.col(last))
-    return (met.where(kept) if how == "inner" else met).drop("__bin")
+    # Whether a span holds the date belongs to the join: an outer one keeps a point that only its bin brings to a span.
+    x, y = points.withColumn("__bin", number(F.col(date).cast("date"))), cut
+    same = [x[k] == y[k] for k in ["__bin", *(keys or [])]]
+    met = x.join(y, reduce(Column.__and__, [*same, holds(x[date], y[first], y[last])]), how)
+    if how in ("left_semi", "left_anti"):
+        return met.drop("__bin")
+    shown = [F.coalesce(x[k], y[k]).alias(k) for k in keys or []]
+    return met.select(*shown, *[x[c] for c in points.columns if c not in (keys or [])], *[y[c] for c in spans.columns if c not in (keys or [])])
 
 
 def islands(spans: DataFrame, keys: list[str], first: str, last: str, gap_days: int = 1) -> DataFrame:

@@ -43,9 +43,10 @@ def coalesce_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
 
 
 def backfill(old: DataFrame, new: DataFrame, keys: Sequence[str], field: str, order: Sequence[Column]) -> DataFrame:
-    """Old rows whose field is null take the first new value of their key."""
-    given = keep_one(new.where(F.col(field).isNotNull()), keys, order).select(*keys, F.col(field).alias("__given"))
-    return old.join(given, list(keys), "left").withColumn(field, F.coalesce(field, "__given")).select(*old.columns)
+    """Old rows whose field is null take the first new value of their key; a null key is a key."""
+    given = keep_one(new.where(F.col(field).isNotNull()), keys, order).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(field).alias("__given"))
+    match = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return old.join(given, match, "left").withColumn(field, F.coalesce(field, "__given")).select(*old.columns)
 
 
 def guarded(old: Column, new: Column) -> Column:

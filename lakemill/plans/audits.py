@@ -58,11 +58,11 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.described(rows, ["type"], F.col("age"))
 
 
-@query("SELECT user_id, min((epoch_us(TIMESTAMP '2024-02-01') - epoch_us(ts)) // 86400000000) AS age FROM events GROUP BY 1 HAVING age > 3")
+@query("SELECT user_id, event_type, min((epoch_us(TIMESTAMP '2024-02-01') - epoch_us(ts)) // 86400000000) AS age FROM events GROUP BY ALL HAVING age > 3")
 def stale_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities whose freshest source is older than a threshold."""
     age = dates.age_days(F.col("ts"), F.lit("2024-02-01").cast("timestamp"))
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.min(age).alias("age")).where("age > 3")
+    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min(age).alias("age")).where("age > 3")
 
 
 @query("SELECT trim(split_part(o_orderpriority, '-', 1)) AS type, count(*) AS n, count(DISTINCT o_custkey) AS n_entities FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1")

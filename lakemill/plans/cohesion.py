@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.operators import cohesion, intervals
+from lakemill.operators.dedupe import latest
 from lakemill.plans import bindings as b
 from lakemill.plans.registry import query, table
 
@@ -56,7 +57,7 @@ def member_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def unresolved_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Votes that resolve to no ballot are counted, not dropped."""
-    last = cohesion.keep_one(b.votes(spark, sf_dir), ["member", "ballot"], [F.desc("pos")])
+    last = latest(b.votes(spark, sf_dir), ["member", "ballot"], ["position"], "pos")
     known = b.ballots(spark, sf_dir).select("ballot", F.lit(True).alias("known"))
     return last.join(known, "ballot", "left").groupBy("member").agg(
         F.count("*").alias("n_votes"), F.count_if(F.col("known").isNull()).alias("n_unresolved"), F.count_if(F.col("position").isNull()).alias("n_without_position")
@@ -65,13 +66,14 @@ def unresolved_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {b.SPANS_SQL} SELECT o.o_orderkey AS ballot, count(*) AS n_spans FROM orders o JOIN spans s
- ON CAST(o.o_orderdate AS DATE) >= s.first AND (s.last IS NULL OR CAST(o.o_orderdate AS DATE) <= s.last) WHERE o.o_orderkey % 50 = 0 GROUP BY ALL"""
+ ON CAST(o.o_orderdate AS DATE) >= s.first AND (s.last IS NULL OR CAST(o.o_orderdate AS DATE) <= s.last) GROUP BY ALL"""
 )
 def spans_holding_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An interval join by bins, for a stated set of dates."""
-    points = table(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("ballot"), F.col("o_orderdate").cast("date").alias("date"))
-    met = intervals.interval_join(points, b.spans(spark, sf_dir), "date", "first", "last")
-    return met.groupBy("ballot").agg(F.count("*").alias("n_spans"))
+    """How many spans hold the date of each order: an interval join by bins over the distinct dates, whose
+    counts go back to the orders."""
+    points = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ballot"), F.col("o_orderdate").cast("date").alias("date"))
+    met = intervals.interval_join(points.select("date").distinct(), b.spans(spark, sf_dir), "date", "first", "last")
+    return points.join(met.groupBy("date").agg(F.count("*").alias("n_spans")), "date").select("ballot", "n_spans")
 
 
 @query(

@@ -9,6 +9,7 @@ from lakemill.functions import text as t
 from lakemill.functions.values import filled_list, first_filled, listed, size_or_null, size_or_zero, whole_number
 from lakemill.operators.dedupe import keep_one
 from lakemill.operators.intervals import holds_strictly
+from lakemill.operators.matching import first_containing
 from lakemill.plans.registry import query, table
 
 _PLAIN = f"translate(lower({{}}), '{t.MARKED.lower()}', '{t.PLAIN.lower()}')"
@@ -20,10 +21,10 @@ def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", t.slug(F.concat_ws(" & ", "c_name", "c_mktsegment")).alias("slug"))
 
 
-@query(f"SELECT doc_id, sha256({_PLAIN.format('text')}) AS folded FROM documents WHERE lang = 'fr'")
+@query(f"SELECT doc_id, sha256({_PLAIN.format('text')}) AS folded FROM documents")
 def folded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower case without marks."""
-    return table(spark, sf_dir, "documents").where("lang = 'fr'").select("doc_id", F.sha2(t.fold(F.col("text")), 256).alias("folded"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(t.fold(F.col("text")), 256).alias("folded"))
 
 
 @query("SELECT p_partkey, array_to_string(list_sort(string_split(p_name, ' ')), ' ') AS name_key FROM part")
@@ -58,14 +59,14 @@ def themes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH w AS (SELECT source AS member, unnest(list_distinct(list_filter(regexp_split_to_array(lower(left(text, 200)), '[^a-z]+'), lambda x: x <> ''))) AS tag FROM documents WHERE lang = 'en'),
- d AS (SELECT DISTINCT member, tag FROM w), n AS (SELECT count(DISTINCT source) AS n FROM documents WHERE lang = 'en')
+    """WITH w AS (SELECT source AS member, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> ''))) AS tag FROM documents),
+ d AS (SELECT DISTINCT member, tag FROM w), n AS (SELECT count(DISTINCT source) AS n FROM documents)
  SELECT tag, count(*) AS n_members, round(count(*) / (SELECT n FROM n), 4) AS weight FROM d GROUP BY tag"""
 )
 def tag_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many members carry a tag, and their share."""
-    rows = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("source").alias("member"), "text")
-    tags = rows.select("member", F.explode(F.array_distinct(F.split(F.lower(F.substring("text", 1, 200)), "[^a-z]+"))).alias("tag")).where("tag <> ''")
+    """How many members carry a tag, and their share; tags are the words of a member's whole texts."""
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("member"), "text")
+    tags = rows.select("member", F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("tag")).where("tag <> ''")
     n = rows.agg(F.countDistinct("member").alias("n"))
     counts = tags.distinct().groupBy("tag").agg(F.count("*").alias("n_members"))
     # One row is all that is added to the side of tags.
@@ -128,14 +129,18 @@ def dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", F.col("n_name").alias("nation"), F.when(F.col("c_custkey").isNull(), "unresolved").otherwise("resolved").alias("state"))
 
 
-@query("WITH r AS (SELECT n_nationkey, p_partkey, row_number() OVER (PARTITION BY n_nationkey ORDER BY p_partkey) AS rn FROM nation JOIN part ON contains(p_name, substr('ringwidgetboltgearpanel', 1 + n_nationkey % 5, 3))) SELECT n_nationkey, p_partkey FROM r WHERE rn = 1")
+@query(
+    """WITH q AS (SELECT c_custkey, left(c_mktsegment, 1 + c_custkey % 7) AS q FROM customer WHERE c_custkey % 3 = 0
+   UNION ALL SELECT c_custkey, substr('blue ring widget red bolt gear steel panel', 1 + c_custkey % 30, c_custkey % 9) FROM customer WHERE c_custkey % 3 > 0)
+ SELECT c_custkey, q, min(p_partkey) AS p_partkey FROM q JOIN part ON contains(lower(p_name), lower(q)) WHERE q <> '' GROUP BY ALL"""
+)
 def containment_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first row whose name contains a query. Names are cut into three-letter runs, so the match is a
-    join on equal runs, not a loop over pairs."""
-    queries = table(spark, sf_dir, "nation").select("n_nationkey", F.substring(F.lit("ringwidgetboltgearpanel"), 1 + F.col("n_nationkey") % 5, F.lit(3)).alias("run"))
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("p_name") - 2)), lambda i: F.substring(F.col("p_name"), i, F.lit(3))))
-    first = table(spark, sf_dir, "part").select("p_partkey", F.explode(runs).alias("run")).groupBy("run").agg(F.min("p_partkey").alias("p_partkey"))
-    return queries.join(first, "run").select("n_nationkey", "p_partkey")
+    """Of each query, of any length, the first name that contains it."""
+    own = F.when(F.col("c_custkey") % 3 == 0, F.expr("left(c_mktsegment, cast(1 + c_custkey % 7 as int))"))
+    cut = F.expr("substring('blue ring widget red bolt gear steel panel', cast(1 + c_custkey % 30 as int), cast(c_custkey % 9 as int))")
+    queries = table(spark, sf_dir, "customer").select("c_custkey", F.coalesce(own, cut).alias("q"))
+    met = first_containing(queries, table(spark, sf_dir, "part"), F.lower("q"), F.lower("p_name"), "p_partkey")
+    return met.select("c_custkey", "q", "p_partkey")
 
 
 @query(

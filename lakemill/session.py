@@ -16,6 +16,7 @@ def session(master: str | None = None, partitions: int | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)

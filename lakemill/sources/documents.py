@@ -40,6 +40,14 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
+def broken_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(file, raw) of the lines that json_lines() leaves out, as findings."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = spark.read.text(path).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.col("value").alias("raw")).where("trim(raw) <> ''")
+    d = F.from_json("raw", full, {"columnNameOfCorruptRecord": CORRUPT})
+    return rows.withColumn("d", d).where(F.col("d").isNull() | F.col(f"d.{CORRUPT}").isNotNull()).select("file", "raw")
+
+
 def lzma_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line) of lines in LZMA streams, decompressed as a stream; lines that are no JSON are left out."""
 
@@ -140,7 +148,11 @@ class _Lists(HTMLParser):
             self.link += data
 
 
-def listed_names(pages: DataFrame, html_col: str = "html", wanted: tuple[str, ...] = ("candidat", "déclaré", "pressenti", "en lice")) -> DataFrame:
+#: Words of the headings below which declared candidates are listed.
+HEADING_WORDS = ("candidat", "déclaré", "pressenti", "en lice")
+
+
+def listed_names(pages: DataFrame, html_col: str = "html", wanted: tuple[str, ...] = HEADING_WORDS) -> DataFrame:
     """pages with `names`, the names in lists below matching headings, in order, each once."""
 
     @F.pandas_udf("array<string>")

@@ -21,8 +21,20 @@ def write_documents(df: DataFrame, path: str) -> None:
 
 
 def append_manifest(df: DataFrame, path: str, key: str, run: str) -> None:
-    """Adds the keys that a run has written to a manifest table."""
-    df.select(F.col(key).cast("string").alias("key"), F.lit(run).alias("run")).distinct().write.mode("append").parquet(path)
+    """Adds the keys that a run has written to a manifest table. A run that is repeated writes its own part anew, so its
+    keys stand there once."""
+    rows = df.select(F.col(key).cast("string").alias("key")).distinct().withColumn("run", F.lit(run))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+
+
+def pending(df: DataFrame, path: str, key: str, run: str) -> DataFrame:
+    """The rows whose key a run's manifest does not name yet, for a run that is resumed; all of them before it exists."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return df
+    done = spark.read.schema("key string, run string").parquet(path).where(F.col("run") == run).select("key").distinct()
+    return df.join(done, F.col(key).cast("string") == done["key"], "left_anti")
 
 
 class Incomplete(RuntimeError):

@@ -172,3 +172,34 @@ def test_keys_and_values(spark):
     assert value(spark, values.whole_number(F.lit("12x"))) is None
     assert value(spark, values.listed(F.lit('{"a":1}'))) == ['{"a":1}']
     assert value(spark, values.byte_weight(F.lit(None).cast("array<int>"))) == 0
+
+
+def test_outer_interval_join_keeps_only_spans_that_hold_the_date(spark):
+    points = spark.createDataFrame([(1, "2020-02-20"), (2, "2020-03-05"), (3, None)], "p int, d string").withColumn("d", F.col("d").cast("date"))
+    spans = spark.createDataFrame([("a", "2020-03-01", None), ("b", "2019-01-01", "2019-12-31")], "s string, f string, l string")
+    spans = spans.select("s", F.col("f").cast("date").alias("f"), F.col("l").cast("date").alias("l"))
+    found = intervals.interval_join(points, spans, "d", "f", "l", how="left").collect()
+    assert sorted((r.p, r.s) for r in found if r.s) == [(2, "a")] and sorted(r.p for r in found) == [1, 2, 3]
+    assert [r.p for r in intervals.interval_join(points, spans, "d", "f", "l").collect()] == [2]
+
+
+def test_latest_keeps_null_fields_and_null_keys(spark):
+    from lakemill.operators.dedupe import latest
+
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, None), (None, 1, "b"), (None, 3, "c")], "k int, at int, v string")
+    assert sorted(map(tuple, latest(rows, ["k"], ["v"], "at").collect()), key=str) == [(1, None), (None, "c")]
+
+
+def test_backfill_takes_null_keys(spark):
+    old = spark.createDataFrame([(None, None), (1, "x"), (2, None)], "k int, v string")
+    new = spark.createDataFrame([(None, "n"), (1, "y"), (3, "z")], "k int, v string")
+    assert sorted(map(tuple, merge.backfill(old, new, ["k"], "v", [F.asc("v")]).collect()), key=str) == [(1, "x"), (2, None), (None, "n")]
+
+
+def test_containment_takes_queries_of_any_length(spark):
+    from lakemill.operators.matching import first_containing
+
+    names = spark.createDataFrame([(1, "blue ring"), (2, "red ring"), (3, None), (4, "x")], "id int, name string")
+    queries = spark.createDataFrame([("r",), ("ri",), ("ring",), ("d ring",), ("none",), ("",), (None,), ("ring",)], "q string")
+    found = first_containing(queries, names, F.col("q"), F.col("name"), "id").collect()
+    assert sorted((r.q, r.id) for r in found) == [("d ring", 2), ("r", 1), ("ri", 1), ("ring", 1), ("ring", 1)]
