@@ -52,3 +52,14 @@ def coverage(first: Column, last: Column, bound: Column) -> Column:
         .when(last.isNotNull() & (last <= bound), "covered")
         .otherwise("partly")
     )
+
+
+def compact_date(raw: Column) -> Column:
+    """YYYYMMDD, with whatever follows, as an ISO date; not validated, and null if the text is shorter."""
+    return F.when(F.length(raw) >= 8, F.concat_ws("-", F.substring(raw, 1, 4), F.substring(raw, 5, 2), F.substring(raw, 7, 2)))
+
+
+def stamped(raw: Column) -> Column:
+    """A time with an offset (+hhmm, +hh:mm or Z) as a timestamp; null if it is none."""
+    whole = raw.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:Z|[+-]\d{2}:?\d{2})$")
+    return F.when(whole, F.try_to_timestamp(F.regexp_replace(raw, r"([+-]\d{2})(\d{2})$", "$1:$2")))

@@ -74,3 +74,21 @@ def upper_head_as_surname(name: Column) -> Column:
     """'DOE SMITH Jane' becomes 'Jane Doe Smith': leading words in capitals are the surname."""
     head = F.regexp_extract(name, r"^((?:[\p{Lu}'-]{2,}\s+)+)", 1)
     return F.when(head == "", name).otherwise(F.concat_ws(" ", F.btrim(F.substring(name, F.length(head) + 1, F.length(name))), F.initcap(F.btrim(head))))
+
+
+def stem(name: Column, suffix: str) -> Column:
+    """A name without its suffix, if it has it."""
+    return F.when(F.endswith(name, F.lit(suffix)), F.left(name, F.length(name) - len(suffix))).otherwise(name)
+
+
+#: The signs of Roman numerals by value.
+ROMAN = ((100, "C"), (90, "XC"), (50, "L"), (40, "XL"), (10, "X"), (9, "IX"), (5, "V"), (4, "IV"), (1, "I"))
+
+
+def roman(number: Column) -> Column:
+    """A number from 1 to 399 in Roman numerals."""
+    left, out = number.cast("int"), F.lit("")
+    for value, sign in ROMAN:
+        out = F.concat(out, F.repeat(F.lit(sign), F.floor(left / value).cast("int")))
+        left = left % value
+    return out

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -20,3 +21,9 @@ def settled(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lakemill-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for tables that executors and driver both reach, beside the checkpoints; see settled()."""
+    settled(spark.range(0))
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.operators.dedupe import keep_one
@@ -81,3 +81,24 @@ def classified(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """(key, status): `both`, `missing` from found, or `unexpected` in it."""
     e, f = expected.select(key).distinct().withColumn("e", F.lit(1)), found.select(key).distinct().withColumn("f", F.lit(1))
     return e.join(f, key, "full_outer").select(key, F.when(F.col("f").isNull(), "missing").when(F.col("e").isNull(), "unexpected").otherwise("both").alias("status"))
+
+
+def fallback_key(chain: Sequence[Column], otherwise: Sequence[str]) -> Column:
+    """A row's key: the first of a chain that is neither null nor empty, else the other columns joined."""
+    return F.coalesce(*[F.when(c != "", c) for c in chain], F.concat_ws("|", *otherwise))
+
+
+def summary_at(node: Column, path: str) -> Column:
+    """What stands at a dotted path of a JSON document, for comparison: blank text and empty containers are null, a filled
+    container is `present` only, as its content is not compared, and 0 and false are values."""
+    found = F.get_json_object(node, "$." + path)
+    inside = F.regexp_replace(found, r"\s", "")
+    return F.when(inside.isin("", "[]", "{}"), None).when(inside.rlike(r"^[\[{]"), "present").otherwise(found)
+
+
+def additive_folds(rows: DataFrame, keys: Sequence[str], rank: str, position: str) -> DataFrame:
+    """The additive merge of many states in the order of their rank, in one pass: rows of the first state stay, its
+    duplicates too; of a key that it lacks the first row of the first state that has it is added. A null key is a key."""
+    first = F.min(rank).over(Window.partitionBy(*keys))
+    found = rows.withColumns({"__first": first, "__at": F.row_number().over(Window.partitionBy(*keys, rank).orderBy(position)), "__least": F.lit(0)})
+    return found.where((F.col(rank) == F.col("__first")) & ((F.col(rank) == F.col("__least")) | (F.col("__at") == 1))).drop("__first", "__at", "__least")

@@ -1,3 +1,3 @@
 """The queries; importing the package registers them."""
 
-from lakemill.plans import audits, cohesion, dims, normalize, views  # noqa: F401
+from lakemill.plans import audits, cohesion, dims, documents, normalize, storage, validators, views  # noqa: F401

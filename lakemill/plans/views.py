@@ -67,10 +67,9 @@ def tag_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many members carry a tag, and their share; tags are the words of a member's whole texts."""
     rows = table(spark, sf_dir, "documents").select(F.col("source").alias("member"), "text")
     tags = rows.select("member", F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("tag")).where("tag <> ''")
-    n = rows.agg(F.countDistinct("member").alias("n"))
+    n = rows.select("member").distinct().count()
     counts = tags.distinct().groupBy("tag").agg(F.count("*").alias("n_members"))
-    # One row is all that is added to the side of tags.
-    return counts.join(F.broadcast(n), F.lit(True)).select("tag", "n_members", F.round(F.col("n_members") / F.col("n"), 4).alias("weight"))
+    return counts.select("tag", "n_members", F.round(F.col("n_members") / F.lit(n), 4).alias("weight"))
 
 
 @query(
