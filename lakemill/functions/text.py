@@ -92,3 +92,13 @@ def roman(number: Column) -> Column:
         out = F.concat(out, F.repeat(F.lit(sign), F.floor(left / value).cast("int")))
         left = left % value
     return out
+
+
+def place_label(town: Column, district: Column) -> Column:
+    """Town (district), of what there is; null if there is neither."""
+    return F.nullif(F.concat_ws(" ", town, F.concat(F.lit("("), district, F.lit(")"))), F.lit(""))
+
+
+def uri_label(uri: Column) -> Column:
+    """The last part of an address as a label: signs between words become blanks, words begin with a capital."""
+    return F.initcap(F.regexp_replace(F.regexp_extract(uri, r"([^/#]+)[/#]?$", 1), "[_-]+", " "))

@@ -67,7 +67,7 @@ def stale_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT trim(split_part(o_orderpriority, '-', 1)) AS type, count(*) AS n, count(DISTINCT o_custkey) AS n_entities FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1")
 def warning_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Warnings by the text before the first colon."""
+    """Warnings by the text before the first colon."""
     rows = table(spark, sf_dir, "orders").withColumn("warning", F.replace(F.col("o_orderpriority"), F.lit("-"), F.lit(":")))
     return stats.by_prefix(rows, F.col("warning"), "o_custkey")
 
@@ -145,7 +145,7 @@ def text_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, octet_length(encode(lang)) + 2 AS lang_bytes FROM documents WHERE lang IS NOT NULL")
 def byte_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of a field as compact JSON."""
+    """Bytes of a field as compact JSON."""
     inner = F.octet_length("lang") + 2
     rows = table(spark, sf_dir, "documents").where("lang is not null")
     whole = byte_weight(F.struct("lang"))
@@ -160,7 +160,7 @@ _RULES = ["negative_balance", "no_segment", "odd_name"]
  UNION ALL SELECT c_custkey, 'odd_name', c_name, false FROM customer WHERE c_name LIKE '%7' UNION ALL SELECT c_custkey, 'no_segment', NULL, true FROM customer WHERE c_custkey % 50 = 0"""
 )
 def validation_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules as data, one pass, one row for each finding."""
+    """Rules as data, one pass, one row for each finding."""
     return integrity.findings(table(spark, sf_dir, "customer"), "c_custkey", _customer_rules())
 
 
@@ -179,7 +179,7 @@ def _customer_rules() -> list[integrity.Rule]:
  SELECT section, count(b) FILTER (b) AS n_hard, count(b) FILTER (NOT b) AS n_soft, count(b) FILTER (b) > 0 AS failed FROM s LEFT JOIN f USING (section) GROUP BY section"""
 )
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q03-Q10: hard and soft findings by section; soft ones never fail."""
+    """Q10: hard and soft findings by section; soft ones never fail."""
     found = integrity.findings(table(spark, sf_dir, "customer"), "c_custkey", _customer_rules())
     return integrity.gate(found, [*_RULES, "silent"])
 
@@ -223,7 +223,7 @@ def systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT c_custkey, CASE WHEN uncovered THEN 'uncovered' ELSE 'stale' END AS why FROM s WHERE uncovered OR stale ORDER BY why DESC, c_custkey LIMIT 1000"""
 )
 def budgeted_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A budget spent on what is not covered, then on what is stale."""
+    """A budget spent on what is not covered, then on what is stale."""
     covered = table(spark, sf_dir, "orders").where("o_custkey % 3 <> 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").alias("last"))
     rows = table(spark, sf_dir, "customer").select("c_custkey")
     return selection.budgeted(rows, covered, "c_custkey", F.col("last") < F.lit("2000-01-01").cast("timestamp"), [F.asc("c_custkey")], 1000)
@@ -231,5 +231,5 @@ def budgeted_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 12")
 def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A limit in a total order."""
+    """A limit in a total order."""
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(12)

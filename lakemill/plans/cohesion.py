@@ -81,7 +81,7 @@ def spans_holding_date(spark: SparkSession, sf_dir: str) -> DataFrame:
  bool_or(last IS NULL) AS active, count(*) AS n_spans FROM spans JOIN members USING (member) GROUP BY ALL"""
 )
 def member_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The range around each member's spans; an open end keeps the range open."""
+    """The range around each member's spans; an open end keeps the range open."""
     return intervals.enclosing(b.spans(spark, sf_dir).join(b.members(spark, sf_dir), "member"), ["member", "grp"], "first", "last")
 
 
@@ -103,7 +103,7 @@ def mandate_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT a.member, a.kind AS kind_a, b.kind AS kind_b FROM s a JOIN s b ON a.member = b.member AND a.kind < b.kind AND NOT (a.first > b.last) AND NOT (a.last < b.first)"""
 )
 def overlapping_mandates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of a member's spans that overlap; a member has one span of each of seven kinds."""
+    """pairs of a member's spans that overlap; a member has one span of each of seven kinds."""
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("member"), F.col("l_linenumber").alias("kind")).agg(F.min("l_shipdate").cast("date").alias("first"), F.max("l_shipdate").cast("date").alias("last"))
     x, y = rows.alias("x"), rows.alias("y")
     met = x.join(y, (F.col("x.member") == F.col("y.member")) & (F.col("x.kind") < F.col("y.kind")))

@@ -44,7 +44,7 @@ def amendment_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT l_partkey AS part, l_suppkey AS supplier, l_orderkey AS first_order, l_shipdate AS shipped FROM r WHERE rn = 1"""
 )
 def keep_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first row of each key in a total order."""
+    """The first row of each key in a total order."""
     first = dedupe.keep_one(table(spark, sf_dir, "lineitem"), ["l_partkey"], [F.col("l_orderkey"), *[F.col(c) for c in ORDER]])
     return first.select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"), F.col("l_orderkey").alias("first_order"), F.col("l_shipdate").alias("shipped"))
 
@@ -77,7 +77,7 @@ def responsibilities(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT p_partkey AS part, k.brand FROM part LEFT JOIN k ON k.name = lower(replace(p_name, ' ', '-'))"""
 )
 def unambiguous_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A name that stands for several values resolves to none."""
+    """A name that stands for several values resolves to none."""
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.lower(F.replace(F.col("p_name"), F.lit(" "), F.lit("-"))).alias("name"))
     return rows.join(dedupe.unambiguous(rows, "name", "p_brand").withColumnRenamed("p_brand", "brand"), "name", "left").select(F.col("p_partkey").alias("part"), "brand")
 
@@ -128,7 +128,7 @@ _STATES = """WITH o AS (SELECT c_custkey, c_acctbal, CASE WHEN c_custkey % 4 <>
 
 @query(_STATES + " SELECT * FROM o UNION ALL SELECT * FROM n WHERE c_custkey NOT IN (SELECT c_custkey FROM o)")
 def merge_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All old rows, then new rows with unseen keys."""
+    """All old rows, then new rows with unseen keys."""
     old, new = _states(spark, sf_dir)
     return merge.additive_union(old, new, ["c_custkey"], [F.col("c_acctbal"), F.col("c_mktsegment")])
 
@@ -142,7 +142,7 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_STATES + " SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, coalesce(n.c_acctbal, o.c_acctbal) AS c_acctbal, coalesce(n.c_mktsegment, o.c_mktsegment) AS c_mktsegment FROM o FULL JOIN n ON o.c_custkey = n.c_custkey")
 def merge_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New values win, null takes nothing away."""
+    """New values win, null takes nothing away."""
     old, new = _states(spark, sf_dir)
     return merge.coalesce_upsert(old, new, ["c_custkey"])
 
@@ -169,7 +169,7 @@ def merge_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
  UNION ALL SELECT c_custkey, 'c_mktsegment', CASE WHEN os IS NOT NULL AND ns IS NULL THEN 'lost' ELSE 'changed' END, os IS NOT NULL AND ns IS NULL FROM j WHERE NOT gone AND NOT added AND os IS DISTINCT FROM ns"""
 )
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What changed between two states and whether it blocks."""
+    """What changed between two states and whether it blocks."""
     old, new = _states(spark, sf_dir)
     return merge.compared(old, new, ["c_custkey"], ["c_acctbal"], ["c_mktsegment"]).select("c_custkey", "field", "change", "blocking")
 

@@ -74,7 +74,7 @@ _PERIODS_SQL = ", ".join(f"('{p}', {x}, DATE '{a}', {f"DATE '{z}'" if z else 'CA
  FROM i LEFT JOIN posts x ON x.member = i.member AND (ml IS NULL OR x.first <= ml) AND x.last >= mf AND (pl IS NULL OR x.first <= pl) AND x.last >= pf"""
 )
 def government_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members of each period with the posts that overlap membership and period."""
+    """Members of each period with the posts that overlap membership and period."""
     periods = spark.createDataFrame(PERIODS, "period string, label bigint, first string, last string").withColumns({"first": F.col("first").cast("date"), "last": F.col("last").cast("date")})
     memberships = b.spans(spark, sf_dir).withColumn("label", F.col("member") % 2)
     rows = table(spark, sf_dir, "lineitem").where("l_linenumber < 4").groupBy(F.col("l_suppkey").alias("member"), F.col("l_linenumber").alias("post")).agg(F.min("l_shipdate").cast("date").alias("first"))
@@ -88,7 +88,7 @@ def government_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
  FROM a LEFT JOIN s USING (id) GROUP BY a.id"""
 )
 def text_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The status of a text by its latest deciding act, and the act that overrides all others."""
+    """The status of a text by its latest deciding act, and the act that overrides all others."""
     acts = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.concat("l_returnflag", "l_linestatus").alias("code"), F.col("l_shipdate").alias("d"), (F.col("l_linenumber") * 10_000_000 + F.col("l_partkey")).alias("pos")
     )
@@ -167,7 +167,7 @@ def title_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
  min(c_custkey) AS first_id FROM customer WHERE trim(c_mktsegment) <> '' AND c_acctbal >= 0 GROUP BY 1"""
 )
 def party_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates by party, blank parties left out, with who has a document."""
+    """Candidates by party, blank parties left out, with who has a document."""
     candidates = table(spark, sf_dir, "customer").where("trim(c_mktsegment) <> '' and c_acctbal >= 0")
     documents = b.snapshots(table(spark, sf_dir, "customer"), "c_custkey")[0].select("c_custkey", F.lit(True).alias("has"))
     rows = candidates.join(documents, "c_custkey", "left")

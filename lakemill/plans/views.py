@@ -53,7 +53,7 @@ _THEMES = {"money": ["ring", "price"], "tools": ["widget", "bolt"], "colour": ["
  CASE WHEN regexp_matches(p_name, '^(red|blue)') THEN 'warm_start' WHEN regexp_matches(p_name, 't$') THEN 'ends_in_t' ELSE 'debate' END AS kind FROM part"""
 )
 def themes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first theme whose keyword occurs; the first pattern that matches."""
+    """The first theme whose keyword occurs; the first pattern that matches."""
     kind = t.first_match(F.col("p_name"), [("warm_start", "^(red|blue)"), ("ends_in_t", "t$")], "debate")
     return table(spark, sf_dir, "part").select("p_partkey", t.first_theme(F.col("p_name"), _THEMES, "other").alias("theme"), kind.alias("kind"))
 
@@ -88,13 +88,13 @@ def mandate_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, TRY_CAST(event_type AS BIGINT) AS none FROM events")
 def safe_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole numbers out of text; anything else is null."""
+    """Whole numbers out of text; anything else is null."""
     return table(spark, sf_dir, "events").select("event_id", whole_number(F.get_json_object("props", "$.k")).alias("k"), whole_number(F.col("event_type")).alias("none"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END AS a, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN NULL ELSE lang END, ''), source) AS chosen FROM documents")
 def first_filled_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first source that is neither null nor empty."""
+    """The first source that is neither null nor empty."""
     raw = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 2, F.col("lang"))
     return table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("a"), first_filled(raw, F.col("source")).alias("chosen"))
 
@@ -161,7 +161,7 @@ def position_of_date(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT member, count(*) FILTER (position = 'A') AS n_for, count(*) FILTER (position = 'N') AS n_against, count(*) FILTER (position = 'R') AS n_abstain FROM f WHERE rn = 1 GROUP BY 1"""
 )
 def final_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of each text the vote at its last reading, then positions counted."""
+    """Of each text the vote at its last reading, then positions counted."""
     rows = table(spark, sf_dir, "lineitem").withColumns({"member": F.col("l_suppkey"), "text": F.col("l_partkey") % 50})
     last = keep_one(rows, ["member", "text"], [F.desc("l_linenumber"), F.desc("l_shipdate"), F.asc("l_orderkey"), F.asc("l_partkey"), F.asc("l_quantity"), F.asc("l_extendedprice")])
     return last.groupBy("member").agg(*[F.count_if(F.col("l_returnflag") == k).alias(f"n_{v}") for k, v in (("A", "for"), ("N", "against"), ("R", "abstain"))])
@@ -172,7 +172,7 @@ def final_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
  SELECT member, scope, n, CAST(round(100.0::DOUBLE * n / greatest(1, max(n) OVER (PARTITION BY member)), 0) AS BIGINT) AS bar FROM n"""
 )
 def scope_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts by scope, scaled to the greatest of a member."""
+    """Counts by scope, scaled to the greatest of a member."""
     from pyspark.sql import Window
 
     rows = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("member"), F.col("o_orderpriority").alias("scope")).agg(F.count("*").alias("n"))
@@ -188,17 +188,17 @@ def tenure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT regexp_extract(url, '//([^/:?#]+)', 1) AS host, count(*) AS n_pages, count(DISTINCT regexp_extract(url, '\\.(com|net|org)', 1)) AS n_zones FROM pages GROUP BY 1")
 def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of a URL."""
+    """Parts of a URL."""
     return table(spark, sf_dir, "pages").groupBy(F.regexp_extract("url", "//([^/:?#]+)", 1).alias("host")).agg(F.count("*").alias("n_pages"), F.countDistinct(F.regexp_extract("url", r"\.(com|net|org)", 1)).alias("n_zones"))
 
 
 @query("SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
 def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dated facts by day and kind."""
+    """Dated facts by day and kind."""
     return table(spark, sf_dir, "events").groupBy(F.date_trunc("day", "ts").alias("day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
 @query("SELECT p_partkey, p_name[1] || '. ' || string_split(p_name, ' ')[-1] AS short FROM part WHERE len(string_split(p_name, ' ')) = 2")
 def short_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Initials and last word."""
+    """Initials and last word."""
     return table(spark, sf_dir, "part").where(F.size(F.split("p_name", " ")) == 2).select("p_partkey", t.initials(F.col("p_name")).alias("short"))
