@@ -33,17 +33,18 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PROFILE = v.Schema(
-    "profile",
-    [*v.required("name", "schema_version"), v.outside("provenance", ("roster", "candidat_declare")), v.Field("votes", "missing", F.col("votes").isNull())],
-    [
+def profile_schema() -> v.Schema:
+    fields = [*v.required("name", "schema_version"), v.outside("provenance", ("roster", "candidat_declare")), v.Field("votes", "missing", F.col("votes").isNull())]
+    entries = [
         v.Entry("votes", "ballot_id", "missing", lambda x: x["ballot_id"].isNull(), blocking=False),
         v.Entry("votes", "position", "outside_domain", lambda x: x["position"].isNotNull() & ~x["position"].isin(*POSITIONS)),
         v.Entry("votes", "position", "forced_has_position", lambda x: x["forced"] & x["position"].isNotNull()),
         v.Entry("mandates", "last", "before_first", lambda x: x["last"] < x["first"]),
         v.Entry("mandates", "active", "active_has_end", lambda x: x["active"] & x["last"].isNotNull()),
-    ],
-)
+    ]
+    return v.Schema("profile", fields, entries)
+
+
 _ORDER_SQL = ", ".join([*b.ORDER, "l_orderkey"])
 _PROFILES_SQL = f"""e AS (SELECT l_suppkey AS id, CASE WHEN l_partkey % 17 = 0 THEN 'maybe' ELSE {b.POSITION} END AS position, l_orderkey, l_shipdate, l_linenumber, l_linestatus, l_returnflag,
    row_number() OVER (PARTITION BY l_suppkey ORDER BY {_ORDER_SQL}) - 1 AS i, row_number() OVER (PARTITION BY l_suppkey, l_linenumber < 3 ORDER BY {_ORDER_SQL}) - 1 AS j FROM lineitem),
@@ -62,7 +63,7 @@ _PROFILES_SQL = f"""e AS (SELECT l_suppkey AS id, CASE WHEN l_partkey % 17 = 0 T
 @query(f"WITH {_PROFILES_SQL} SELECT * FROM found")
 def profile_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules on a person's document and on each entry of its lists, told by path."""
-    return v.errors(profiles(spark, sf_dir), "id", PROFILE)
+    return v.errors(profiles(spark, sf_dir), "id", profile_schema())
 
 
 @query(
@@ -72,7 +73,7 @@ def profile_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validation_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The validator's messages of each document, those without one too."""
     docs = profiles(spark, sf_dir)
-    return v.by_document(docs, "id", v.errors(docs, "id", PROFILE))
+    return v.by_document(docs, "id", v.errors(docs, "id", profile_schema()))
 
 
 @query(
