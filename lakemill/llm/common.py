@@ -8,8 +8,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: White space that separates words: blank and the ASCII controls 9 to 13.
-SPACE = r"[\x20\x09-\x0D]+"
+#: A word: anything but the blank and the ASCII controls 9 to 13.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +23,8 @@ def text_or_empty(col: str | Column) -> Column:
 
 
 def words(col: str | Column) -> Column:
-    """The words of a text: maximal runs of anything but SPACE. Null and empty texts have none."""
-    return F.array_remove(F.split(text_or_empty(col), SPACE), "")
+    """The words of a text: maximal runs of WORD. Null and empty texts have none."""
+    return F.regexp_extract_all(text_or_empty(col), F.lit(WORD), F.lit(0))
 
 
 def cut(df: DataFrame) -> DataFrame:

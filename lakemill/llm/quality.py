@@ -67,9 +67,13 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.size(stop).cast("long").alias("n_stop_words"), F.size(F.filter("w", lambda x, i: (i > 0) & (x == at(i - 1)))).cast("long").alias("n_adjacent"),
         F.when(n >= window, hashes).alias("h"),
     )
-    # Windows of a text with agreeing hashes, as (words, place) in order of their words.
-    joined = F.transform("h", lambda _, i: F.struct(F.concat_ws(" ", *[at(i + k) for k in range(window)]).alias("t"), i.alias("i")))
-    rows = rows.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), F.sort_array(joined)))
+    # Only windows whose hash another window of the text has are spelled out: as (words, place) in order of their words.
+    placed = F.array_sort(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    rows = rows.withColumn("p", F.when(F.size(F.array_distinct("h")) < F.size("h"), placed))
+    met = lambda x, i: F.coalesce((i > 0) & (F.get("p", i - 1)["h"] == x["h"]), F.lit(False)) | F.coalesce(F.get("p", i + 1)["h"] == x["h"], F.lit(False))
+    rows = rows.withColumn("p", F.filter("p", met))
+    spelled = lambda x: F.struct(F.concat_ws(" ", *[at(x["i"] + k) for k in range(window)]).alias("t"), x["i"].alias("i"))
+    rows = rows.withColumn("s", F.sort_array(F.transform("p", spelled)))
     near = lambda x, i: (F.get("s", i - 1)["t"] == x["t"]) | (F.get("s", i + 1)["t"] == x["t"])
     first = F.filter("s", lambda x, i: F.coalesce(near(x, i), (F.get("s", i - 1)["t"] == x["t"]), (F.get("s", i + 1)["t"] == x["t"]), F.lit(False)))
     rows = rows.withColumn("at", F.sort_array(F.transform(first, lambda x: x["i"])))
