@@ -139,3 +139,27 @@ def folded_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The additive merge over several directories in order: the first is kept as it is, later ones add new keys."""
     rows = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 3).alias("rank"), F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("v"), F.col("o_orderkey").alias("pos"))
     return additive_folds(rows, ["k", "v"], "rank", "pos").select("k", "v", "pos", "rank")
+
+
+@query("SELECT role AS speaker, 'conv ' || conv_id AS name, count(*) AS n FROM conversations WHERE turn > 0 GROUP BY ALL")
+def read_back_debates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of a debate, written as XML and read at any depth, with their speaker."""
+    folder = shared_folder(spark, "debates")
+    speaker = F.struct(F.struct(F.col("role").alias("id"), F.concat(F.lit("conv "), "conv_id").alias("nom")).alias("orateur"))
+    rows = table(spark, sf_dir, "conversations").where("turn > 0").select(speaker.alias("orateurs"), F.concat(F.lit("turn "), "turn").alias("texte"))
+    rows.write.format("xml").option("rootTag", "compteRendu").option("rowTag", "paragraphe").save(folder)
+    return documents.interventions(spark, folder).where("text like 'turn %'").groupBy("speaker", "name").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment || ' ' || c_custkey ELSE c_name END AS name FROM customer WHERE c_custkey % 4 > 0"""
+)
+def listed_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in the lists below the headings that announce them: a link's text, else the text up to a comma."""
+    name = F.when(F.col("c_custkey") % 3 == 0, F.concat("c_mktsegment", F.lit(" "), "c_custkey")).otherwise(F.col("c_name"))
+    item = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("<li>"), name, F.lit(", whose text goes on</li>"))).otherwise(F.concat(F.lit("<li><a href='/x'>"), name, F.lit("</a> (party)</li>")))
+    rows = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        F.array_join(F.collect_list(F.when(F.col("c_custkey") % 4 > 0, item)), "").alias("wanted"), F.array_join(F.collect_list(F.when(F.col("c_custkey") % 4 == 0, item)), "").alias("others")
+    )
+    page = F.concat(F.lit("<h2>Candidats d&eacute;clar&eacute;s</h2><ul>"), "wanted", F.lit("</ul><h2>Sources</h2><ul>"), "others", F.lit("</ul>"))
+    return documents.listed_names(rows.select("c_nationkey", page.alias("html"))).select("c_nationkey", F.explode("names").alias("name"))
