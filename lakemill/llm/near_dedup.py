@@ -15,7 +15,7 @@ level. Candidates are confirmed on the full sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from hashlib import blake2b
 
@@ -192,25 +192,61 @@ def _with_middles(large: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.join(heads.select("node", "head", every_salt()), ["node", "salt"]).select("id", "sketch", "head")
 
 
-def _across(placed: DataFrame, bits: int, block: int = 256) -> DataFrame:
-    """The alike pairs (a, b) of documents that share a node of placed(node, id, sketch, component) but no component.
+def _across(placed: DataFrame, texts: DataFrame, width: int, percent: int, bits: int, block: int = 512) -> DataFrame:
+    """The links (a, b) between documents that share a node of placed(node, id, sketch, component) but no component.
 
     A node's largest component is never compared with itself. Its other documents (the rest) are dealt into blocks,
-    all its members into blocks of their own, and every block of the one meets every block of the other in one task.
+    all its members into blocks of their own, and every block of the one meets every block of the other in one task,
+    with their full sets: what leaves the task are links, not pairs to be confirmed. Components that a task has linked
+    are one for it, so it compares no further pairs of them.
     """
     parts = placed.groupBy("node", "component").agg(F.count("*").alias("n"))
     shape = parts.groupBy("node").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members")).where("main.n < members")
     blocks = lambda n: F.ceil(n / block)
     shape = shape.select("node", F.col("main.component").alias("main"), blocks(F.col("members") - F.col("main.n")).alias("rests"), blocks(F.col("members")).alias("alls"), every_salt())
     rows = cut(placed.withColumn("salt", salt_of("id")).join(shape, ["node", "salt"]).drop("salt"))
+    sets = cut(with_sets(texts.join(rows.select("id").distinct(), "id", "left_semi"), width))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), F.col(n))
-    x = rows.where("component <> main").select("node", "id", "sketch", "component", own("rests").alias("rest"), every("alls").alias("all")).alias("x")
-    y = rows.select("node", "id", "sketch", "component", (F.col("component") == F.col("main")).alias("is_main"), own("alls").alias("all"), every("rests").alias("rest")).alias("y")
-    same = reduce(Column.__and__, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("node", "rest", "all")])
-    once = F.col("y.is_main") | (F.col("x.id") < F.col("y.id"))
-    met = x.join(y, same & once & (F.col("x.component") != F.col("y.component")) & _alike(F.col("x.sketch"), F.col("y.sketch"), bits))
-    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    x = rows.where("component <> main").select("node", "id", "sketch", "component", F.lit(False).alias("is_main"), F.lit(True).alias("asks"), own("rests").alias("rest"), every("alls").alias("all"))
+    y = rows.select("node", "id", "sketch", "component", (F.col("component") == F.col("main")).alias("is_main"), F.lit(False).alias("asks"), own("alls").alias("all"), every("rests").alias("rest"))
+    met = x.unionByName(y).join(sets, "id")
+    kind = placed.schema["id"].dataType.simpleString()
+    return met.groupBy("node", "rest", "all").applyInPandas(_compared(percent, bits), f"a {kind}, b {kind}").distinct()
+
+
+def _compared(percent: int, bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The links between the rows of a block that ask and the others, by their full sets."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        asks = rows["asks"].to_numpy(bool)
+        x, y = rows[asks], rows[~asks]
+        far = np.bitwise_count(x["sketch"].to_numpy(np.int64).view(np.uint64)[:, None] ^ y["sketch"].to_numpy(np.int64).view(np.uint64)[None, :])
+        xc, yc, xi, yi = x["component"].to_numpy(), y["component"].to_numpy(), x["id"].to_numpy(), y["id"].to_numpy()
+        once = y["is_main"].to_numpy(bool)[None, :] | (xi[:, None] < yi[None, :])
+        xs, ys = x["shingles"].tolist(), y["shingles"].tolist()
+        sizes = np.array([len(s) for s in xs], float)[:, None] / np.array([len(s) for s in ys], float)[None, :]
+        least = percent / 100 - 1e-9
+        maybe = (far <= bits) & once & (xc[:, None] != yc[None, :]) & (sizes >= least) & (sizes <= 1 / least)
+        up: dict[object, object] = {}
+
+        def top(c: object) -> object:
+            while c in up:
+                c = up[c]
+            return c
+
+        links = []
+        for i, j in np.argwhere(maybe).tolist():
+            p, q = top(xc[i]), top(yc[j])
+            if p == q:
+                continue
+            both = len(np.intersect1d(xs[i], ys[j], assume_unique=True))
+            if 100 * both >= percent * (len(xs[i]) + len(ys[j]) - both):
+                up[p] = q
+                links.append((min(xi[i], yi[j]), max(xi[i], yi[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype=rows["id"].dtype)
+
+    return run
 
 
 def _with_heads(walkers: DataFrame, small: int) -> DataFrame:
@@ -262,8 +298,7 @@ def near_groups(
     links = cut(confirmed(stars, texts, width, percent))
     # Exhaustively, but only between documents that the links so far leave apart.
     placed = nodes.join(components(links).withColumnRenamed("node", "id"), "id", "left").select("node", "id", "sketch", F.coalesce("component", "id").alias("component"))
-    rest = _across(cut(placed), bits)
-    links = links.union(confirmed(cut(rest), texts, width, percent))
+    links = links.union(cut(_across(cut(placed), texts, width, percent, bits)))
     placed = classes.join(components(links).withColumnRenamed("node", "id"), "id", "left").select("digest", "id", "copies", F.coalesce("component", "id").alias("component_id"))
     # Only classes that say something to their rows are dealt out; any other row is its own component.
     told = placed.where("copies > 1 or component_id < id").select("digest", "component_id", every_salt())
