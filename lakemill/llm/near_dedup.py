@@ -224,7 +224,7 @@ def _compared(percent: int, bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]
         far = np.bitwise_count(x["sketch"].to_numpy(np.int64).view(np.uint64)[:, None] ^ y["sketch"].to_numpy(np.int64).view(np.uint64)[None, :])
         xc, yc, xi, yi = x["component"].to_numpy(), y["component"].to_numpy(), x["id"].to_numpy(), y["id"].to_numpy()
         once = y["is_main"].to_numpy(bool)[None, :] | (xi[:, None] < yi[None, :])
-        xs, ys = x["shingles"].tolist(), y["shingles"].tolist()
+        xs, ys = ([np.asarray(v, np.int64).view(np.uint64) for v in side["shingles"]] for side in (x, y))
         sizes = np.array([len(s) for s in xs], float)[:, None] / np.array([len(s) for s in ys], float)[None, :]
         least = percent / 100 - 1e-9
         maybe = (far <= bits) & once & (xc[:, None] != yc[None, :]) & (sizes >= least) & (sizes <= 1 / least)
@@ -240,7 +240,10 @@ def _compared(percent: int, bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]
             p, q = top(xc[i]), top(yc[j])
             if p == q:
                 continue
-            both = len(np.intersect1d(xs[i], ys[j], assume_unique=True))
+            # Sets are sorted, so each shingle of the one is looked up in the other.
+            at = np.searchsorted(ys[j], xs[i])
+            at[at == len(ys[j])] = 0
+            both = int(np.count_nonzero(ys[j][at] == xs[i]))
             if 100 * both >= percent * (len(xs[i]) + len(ys[j]) - both):
                 up[p] = q
                 links.append((min(xi[i], yi[j]), max(xi[i], yi[j])))
