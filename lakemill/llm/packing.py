@@ -9,6 +9,7 @@ are moved, unless its ids are asked for.
 
 from __future__ import annotations
 
+import json
 import os
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -26,39 +27,73 @@ from lakemill.llm.common import cut, small_batches
 #: A batch of texts is taken in parts of about so many bytes.
 PART_BYTES = 1 << 22
 
-#: The most words that a worker remembers, and the longest of them.
-MEMORY, WORD_BYTES = 1 << 17, 48
+#: The most words that a worker remembers, in each of two generations, and the longest of them.
+MEMORY, WORD_CHARS = 1 << 18, 48
+
+#: Words of letters alone are encoded so many at a time.
+TOGETHER = 1000
+
+#: A sign that ends a sentence or a part of it, after a letter: a tokenizer that separates letters from other signs
+#: begins a word there. Not after a dotted capital I, whose lower case is two signs, the second no letter.
+AFTER_LETTER = r"([A-Za-zÀ-ÖØ-öø-įı-ɏ])([.,;:!?])"
 
 
 class Words:
     """Token ids of texts by a tokenizer of the `tokenizers` library, word by word.
 
-    Words are what ASCII white space separates. That is exact for tokenizers that neither join nor look across white
-    space, as those that drop it before their merges. Words are encoded once and remembered.
+    Words are what ASCII white space separates, and signs at their end. That is exact for tokenizers that drop white
+    space before their merges, and neither join nor look across it, nor from a letter to such a sign. Words are encoded
+    once and remembered. Those of letters alone are encoded together, if the model marks the last token of each word;
+    where the marks are not as many as the words, each is encoded by itself.
     """
 
-    def __init__(self, json: str) -> None:
+    def __init__(self, content: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(json), {}
-
-    def encoded(self, words: list[str]) -> list[list[int]]:
-        unknown = [w for w in words if w not in self.known]
-        new = dict(zip(unknown, (e.ids for e in self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)), strict=True))
-        found = [self.known[w] if w in self.known else new[w] for w in words]
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-        self.known |= {w: ids for w, ids in new.items() if len(w) <= WORD_BYTES}
+        self.tokenizer, self.young, self.old = Tokenizer.from_str(content), {}, {}
+        suffix, vocabulary = json.loads(content)["model"].get("end_of_word_suffix"), self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def new(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words, as 32-bit numbers."""
+        plain = [w for w in words if w.isalpha()] if self.last.any() else []
+        found: dict[str, bytes] = {}
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            (ids,) = self._ids([" ".join(some)])
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some):
+                raw, places = ids.tobytes(), [0, *(4 * ends).tolist()]
+                found |= {w: raw[a:b] for w, a, b in zip(some, places, places[1:], strict=False)}
+        alone = [w for w in words if w not in found]
+        return found | dict(zip(alone, (x.tobytes() for x in self._ids(alone)), strict=True))
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.young.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            older = {words[i]: ids for i in missing if (ids := self.old.get(words[i])) is not None}
+            fresh = older | self.new([words[i] for i in missing if words[i] not in older])
+            for i in missing:
+                found[i] = fresh[words[i]]
+            self.young |= {w: ids for w, ids in fresh.items() if len(w) <= WORD_CHARS}
+            if len(self.young) > MEMORY:
+                self.old, self.young = self.young, {}
         return found
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, one after the other, and where each text's begin and end."""
-        lists = pc.ascii_split_whitespace(texts)
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, AFTER_LETTER, r"\1 \2"))
         words = lists.flatten().dictionary_encode()
         found = self.encoded(words.dictionary.to_pylist())
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate([np.asarray(x, np.uint32) for x in found]) if len(found) else np.empty(0, np.uint32)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.uint32)
         word = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         n = size[word]
         ends = np.cumsum(n)
@@ -68,9 +103,9 @@ class Words:
 
 
 @lru_cache(maxsize=2)
-def _words(json: str) -> Words:
+def _words(content: str) -> Words:
     """Kept in a worker, which serves many tasks."""
-    return Words(json)
+    return Words(content)
 
 
 def parts(batch: pa.RecordBatch, text: str = "text", most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
@@ -82,6 +117,21 @@ def parts(batch: pa.RecordBatch, text: str = "text", most: int = PART_BYTES) ->
             yield batch.slice(a, b - a)
 
 
+def joined(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of about so many bytes of text, from smaller ones and larger ones."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in parts(batch, text, most):
+            held.append(part)
+            size += pc.sum(pc.binary_length(part[text])).as_py() or 0
+            if size >= most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pieces(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, keep_ids: bool = False) -> DataFrame:
     """The pieces of docs(doc_id, text): (doc_id, start, length, ids_crc32, doc_tokens, and ids if they are kept).
 
@@ -90,22 +140,21 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words(tokenizer)
-        for batch in batches:
-            for part in parts(batch):
-                ids, bounds = words.ids(part["text"])
-                rows, starts, kept = [], [], []
-                for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
-                    own = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
-                    for start in range(0, len(own), window):
-                        piece = own[start : start + window]
-                        rows.append(i)
-                        starts.append((start, len(piece), crc32(piece.tobytes()), len(own)))
-                        if keep_ids:
-                            kept.append(piece.astype(np.int64))
-                numbers = np.array(starts, np.int64).reshape(-1, 4)
-                columns = [part["doc_id"].take(pa.array(rows, pa.int64())), *[pa.array(numbers[:, k]) for k in range(4)]]
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-                yield pa.RecordBatch.from_arrays(columns + ([pa.array(kept, pa.list_(pa.int64()))] if keep_ids else []), names + (["ids"] if keep_ids else []))
+        for part in joined(batches):
+            ids, bounds = words.ids(part["text"])
+            rows, starts, kept = [], [], []
+            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                own = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
+                for start in range(0, len(own), window):
+                    piece = own[start : start + window]
+                    rows.append(i)
+                    starts.append((start, len(piece), crc32(piece.tobytes()), len(own)))
+                    if keep_ids:
+                        kept.append(piece.astype(np.int64))
+            numbers = np.array(starts, np.int64).reshape(-1, 4)
+            columns = [part["doc_id"].take(pa.array(rows, pa.int64())), *[pa.array(numbers[:, k]) for k in range(4)]]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+            yield pa.RecordBatch.from_arrays(columns + ([pa.array(kept, pa.list_(pa.int64()))] if keep_ids else []), names + (["ids"] if keep_ids else []))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + (", ids array<long>" if keep_ids else "")
