@@ -1,3 +1,3 @@
 """The queries; importing the package registers them."""
 
-from lakemill.plans import assembled, audits, cohesion, dims, documents, normalize, storage, validators, views  # noqa: F401
+from lakemill.plans import archives, assembled, audits, cohesion, debates, dims, documents, normalize, storage, validators, views  # noqa: F401

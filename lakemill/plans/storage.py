@@ -141,14 +141,14 @@ def folded_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive_folds(rows, ["k", "v"], "rank", "pos").select("k", "v", "pos", "rank")
 
 
-@query("SELECT role AS speaker, 'conv ' || conv_id AS name, count(*) AS n FROM conversations WHERE turn > 0 GROUP BY ALL")
+@query("SELECT role AS speaker, 'conv ' || conv_id AS name, count(*) AS n FROM conversations GROUP BY ALL")
 def read_back_debates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs of a debate, written as XML and read at any depth, with their speaker."""
     folder = shared_folder(spark, "debates")
     speaker = F.struct(F.struct(F.col("role").alias("id"), F.concat(F.lit("conv "), "conv_id").alias("nom")).alias("orateur"))
-    rows = table(spark, sf_dir, "conversations").where("turn > 0").select(speaker.alias("orateurs"), F.concat(F.lit("turn "), "turn").alias("texte"))
+    rows = table(spark, sf_dir, "conversations").select(speaker.alias("orateurs"), F.col("text").alias("texte"))
     rows.write.format("xml").option("rootTag", "compteRendu").option("rowTag", "paragraphe").save(folder)
-    return documents.interventions(spark, folder).where("text like 'turn %'").groupBy("speaker", "name").agg(F.count("*").alias("n"))
+    return documents.interventions(spark, folder).groupBy("speaker", "name").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+PACKAGE = Path(__file__).parent
+
 
 def session(master: str | None = None, partitions: int | None = None, **conf: str) -> SparkSession:
     """Adaptive execution with skew handling, UTC, timestamps without a zone read as they are."""
@@ -23,3 +29,14 @@ def session(master: str | None = None, partitions: int | None = None, **conf: st
     for key, value in (settings | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to all Python workers of the session, wherever they run: as an archive that Spark itself serves.
+
+    Not needed where every machine has the package on its Python path; a session gets it once.
+    """
+    context = spark.sparkContext
+    if not any(name.startswith(f"{PACKAGE.name}-package") for name in context._python_includes):
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{PACKAGE.name}-package", "zip", PACKAGE.parent, PACKAGE.name)
+        context.addPyFile(archive)
