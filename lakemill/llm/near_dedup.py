@@ -3,24 +3,31 @@
 Each document is the set of its distinct word shingles. In every one of several independent trees a document walks
 down a path: at each level it is sent to the child that the tree's minwise token at that level names. A node with few
 documents ends the path, and its documents are compared exhaustively; a node with many compares its documents with two
-heads, one drawn anew in every node and the one in its middle, and branches again. What still stands together at the
-last level is compared exhaustively too, block against block, but for pairs that the links so far connect.
+heads, one drawn anew in every node and the one in its middle, and branches again.
+
+What stands together at the last level in large numbers has most shingles in common: a template and what was put into
+it. Such a node goes on branching by what its documents have of their own: the pivot is what most of some drawn members
+hold, a document counts as its symmetric difference to the pivot (two documents differ in as many shingles as their
+differences do), and the minwise tokens of the difference name its children. A token outside the pivot is held, and one
+inside is missed, by less than about half of the node, so children shrink, and those of unrelated documents are empty.
 
 A pair of similarity s survives a level with probability s, so one tree of depth d brings it together with probability
-s^d and all trees miss it with (1 - s^d)^trees. Ten trees miss a pair of 0.8 once in ten million if its node is small
-at the first level, once in 800 at the third and once in 20 if its nodes are large at all six levels; pairs above 0.8
-much less (0.85: 1 in 110; 0.9: 1 in 1,900). So it is for a pair without a head; a head meets its members at every
-level. Candidates are confirmed on the full sets.
+s^d and all trees miss it with (1 - s^d)^trees: with ten trees of four levels a pair of 0.8 whose nodes are all large is
+missed once in 200, one in small nodes once in ten million. So it is for a pair without a head; a head meets its members
+at every level. In a node of n members that are each a share of a away from the pivot, a pair that differs in d agrees
+in (2a - d) / (2a + d) of its differences; a dozen draws in each of the trees' nodes find it. Candidates are confirmed on
+the full sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,37 +141,56 @@ def _alike(a: Column, b: Column, most: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= most
 
 
-def candidates(classes: DataFrame, trees: int, depth: int, small: int, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to confirm: (stars, nodes). stars(a, b) pairs documents with a node's heads; nodes(node, id, sketch) are
-    the small nodes and what is large at the last level, to be compared exhaustively.
+def candidates(classes: DataFrame, trees: int, depth: int, small: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """What to compare: (stars, few, many). stars(member, head) pairs documents with a node's heads; few(node, id, sketch)
+    are small nodes, many those that are large at the last level, None without any.
 
     classes: (id, sketch, tokens), one row for each distinct set.
     """
     token = lambda level: F.element_at("tokens", F.col("tree") * depth + level + 1)
     walkers = classes.select("id", "sketch", "tokens", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     walkers = walkers.select("id", "sketch", "tree", F.xxhash64("tree", token(0)).alias("node"))
-    stars, nodes = [], []
+    stars, few, many = [], [], None
     for level in range(depth):
         # A node's rows are merged before the shuffle; what a node tells its rows is dealt by salt.
         told = cut(_with_heads(walkers, small))
         stars.append(_star(told, bits))
-        nodes.append(told.where(F.col("members") <= small).select("node", "id", "sketch"))
+        few.append(told.where(F.col("members") <= small).select("node", "id", "sketch"))
         large = told.where(F.col("members") > small)
         if large.isEmpty():
             break
         stars.append(cut(_star(_with_middles(large, classes), bits).distinct()))
         if level + 1 == depth:
-            nodes.append(large.select("node", "id", "sketch"))
+            many = large.select("node", "id", "sketch")
         else:
             walkers = large.select("id", "sketch", "tree", "node").join(classes.select("id", "tokens"), "id")
             walkers = walkers.select("id", "sketch", "tree", F.xxhash64("node", token(level + 1)).alias("node"))
-    return reduce(DataFrame.union, stars).distinct(), reduce(DataFrame.union, nodes)
+    none = classes.select(F.col("id").alias("member"), F.col("id").alias("head")).limit(0)
+    return reduce(DataFrame.union, stars, none).distinct(), reduce(DataFrame.union, few), many
 
 
 def _star(told: DataFrame, bits: int) -> DataFrame:
-    """The pairs (a, b) of each row of told(id, sketch, head) and its head, if their sketches are alike."""
+    """The pairs (member, head) of each row of told(id, sketch, head) and its head, if their sketches are alike."""
     met = told.where(F.col("id") != F.col("head.id")).where(_alike(F.col("sketch"), F.col("head.sketch"), bits))
-    return met.select(F.least("head.id", "id").alias("a"), F.greatest("head.id", "id").alias("b"))
+    return met.select(F.col("id").alias("member"), F.col("head.id").alias("head"))
+
+
+def _contracted(links: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the same documents as links(member, head): one for each member, and one for each head
+    that it shares with its smallest. A member has at most two heads for each level of each tree."""
+    rows = links.groupBy("member").agg(F.collect_set("head").alias("heads"))
+    least = F.array_min("heads")
+    pairs = F.concat(F.array(F.struct(F.col("member").alias("a"), least.alias("b"))), F.transform(F.filter("heads", lambda h: h > least), lambda h: F.struct(h.alias("a"), least.alias("b"))))
+    return rows.select(F.inline(pairs)).distinct()
+
+
+def _pairs(nodes: DataFrame, bits: int) -> DataFrame:
+    """The pairs (a, b, x, y) of small nodes(node, id, sketch, component) whose components x and y differ and whose
+    sketches are alike."""
+    groups = nodes.groupBy("node").agg(F.collect_list(F.struct("id", "sketch", "component")).alias("m")).where("size(m) > 1")
+    left = groups.select("m", F.explode("m").alias("p"))
+    met = left.select("p", F.explode(F.filter("m", lambda q: (q["id"] > F.col("p.id")) & (q["component"] != F.col("p.component")) & _alike(F.col("p.sketch"), q["sketch"], bits))).alias("q"))
+    return met.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.col("p.component").alias("x"), F.col("q.component").alias("y")).distinct()
 
 
 def _with_middles(large: DataFrame, classes: DataFrame) -> DataFrame:
@@ -192,64 +218,73 @@ def _with_middles(large: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.join(heads.select("node", "head", every_salt()), ["node", "salt"]).select("id", "sketch", "head")
 
 
-def _across(placed: DataFrame, texts: DataFrame, width: int, percent: int, bits: int, block: int = 512) -> DataFrame:
-    """The links (a, b) between documents that share a node of placed(node, id, sketch, component) but no component.
+def _mixed(rows: DataFrame) -> DataFrame:
+    """rows(node, ...) of nodes that hold more than one component, with members, the size of the node."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    told = sizes.select("node", "members", every_salt())
+    return rows.withColumn("salt", salt_of("id")).join(told, ["node", "salt"]).drop("salt")
+
+
+#: How many drawn members say what a node has in common, and how many children a document has.
+VOTERS, DRAWS = 15, 12
+
+
+def _pivots(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, pivot): the shingles that more than half of some members of each node hold, one drawn from each part.
 
-    A node's largest component is never compared with itself. Its other documents (the rest) are dealt into blocks,
-    all its members into blocks of their own, and every block of the one meets every block of the other in one task,
-    with their full sets: what leaves the task are links, not pairs to be confirmed. Components that a task has linked
-    are one for it, so it compares no further pairs of them.
+    The pivot decides what is compared sooner, never what is linked.
     """
-    parts = placed.groupBy("node", "component").agg(F.count("*").alias("n"))
-    shape = parts.groupBy("node").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members")).where("main.n < members")
-    blocks = lambda n: F.ceil(n / block)
-    shape = shape.select("node", F.col("main.component").alias("main"), blocks(F.col("members") - F.col("main.n")).alias("rests"), blocks(F.col("members")).alias("alls"), every_salt())
-    rows = cut(placed.withColumn("salt", salt_of("id")).join(shape, ["node", "salt"]).drop("salt"))
+    drawn = rows.groupBy("node", F.pmod(F.xxhash64("id", "node"), F.lit(VOTERS)).alias("part")).agg(F.min(F.struct(F.xxhash64("node", "id").alias("draw"), "id")).alias("c"))
+
+    def run(group: pa.Table) -> pa.Table:
+        values, counts = np.unique(group["shingles"].combine_chunks().flatten().to_numpy(), return_counts=True)
+        return pa.table({"node": group["node"][:1], "pivot": pa.array([values[2 * counts > len(group)]], pa.list_(pa.int64()))})
+
+    members = drawn.select("node", F.col("c.id").alias("id")).join(sets, "id").select("node", "shingles")
+    return members.groupBy("node").applyInArrow(run, "node bigint, pivot array<bigint>")
+
+
+def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
+    """rows of the children that large nodes branch into, by the minwise tokens of each document's difference."""
+    pivots = _pivots(rows, sets).select("node", "pivot", every_salt())
+    met = rows.drop("members").join(sets, "id").withColumn("salt", salt_of("id")).join(pivots, ["node", "salt"])
+    kept = ["node", "id", "sketch", "component"]
+    odd = _mix(np.arange(SEED + 1000 * (turn + 1), SEED + 1000 * (turn + 1) + DRAWS, dtype=np.uint64)) | np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = []
+            for own, pivot in zip(batch["shingles"], batch["pivot"], strict=True):
+                x, y = own.values.to_numpy(), pivot.values.to_numpy()
+                apart = np.setxor1d(x, y, assume_unique=True)
+                apart = (apart if len(apart) else x).view(np.uint64)
+                least = np.full(DRAWS, np.iinfo(np.uint64).max, np.uint64)
+                for at in range(0, len(apart), 2048):
+                    np.minimum(least, (odd[:, None] * apart[None, at : at + 2048]).min(axis=1), out=least)
+                tokens.append(_signed(least))
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(tokens, pa.list_(pa.int64()))], [*kept, "tokens"])
+
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+    found = met.select(*kept, "shingles", "pivot").mapInArrow(run, f"{schema}, tokens array<bigint>")
+    found = found.select("node", "id", "sketch", "component", F.posexplode("tokens").alias("draw", "token"))
+    return found.select(F.xxhash64("node", "draw", "token").alias("node"), "id", "sketch", "component")
+
+
+def _branched(many: DataFrame, texts: DataFrame, width: int, small: int, rounds: int = 40) -> list[DataFrame]:
+    """The small nodes that large nodes(node, id, sketch, component) end in, see the module. Nodes of one component need
+    no comparison and end there."""
+    rows = cut(_mixed(many))
+    if rows.isEmpty():
+        return []
     sets = cut(with_sets(texts.join(rows.select("id").distinct(), "id", "left_semi"), width))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), F.col(n))
-    x = rows.where("component <> main").select("node", "id", "sketch", "component", F.lit(False).alias("is_main"), F.lit(True).alias("asks"), own("rests").alias("rest"), every("alls").alias("all"))
-    y = rows.select("node", "id", "sketch", "component", (F.col("component") == F.col("main")).alias("is_main"), F.lit(False).alias("asks"), own("alls").alias("all"), every("rests").alias("rest"))
-    met = x.unionByName(y).join(sets, "id")
-    kind = placed.schema["id"].dataType.simpleString()
-    return met.groupBy("node", "rest", "all").applyInPandas(_compared(percent, bits), f"a {kind}, b {kind}").distinct()
-
-
-def _compared(percent: int, bits: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """The links between the rows of a block that ask and the others, by their full sets."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        asks = rows["asks"].to_numpy(bool)
-        x, y = rows[asks], rows[~asks]
-        far = np.bitwise_count(x["sketch"].to_numpy(np.int64).view(np.uint64)[:, None] ^ y["sketch"].to_numpy(np.int64).view(np.uint64)[None, :])
-        xc, yc, xi, yi = x["component"].to_numpy(), y["component"].to_numpy(), x["id"].to_numpy(), y["id"].to_numpy()
-        once = y["is_main"].to_numpy(bool)[None, :] | (xi[:, None] < yi[None, :])
-        xs, ys = ([np.asarray(v, np.int64).view(np.uint64) for v in side["shingles"]] for side in (x, y))
-        sizes = np.array([len(s) for s in xs], float)[:, None] / np.array([len(s) for s in ys], float)[None, :]
-        least = percent / 100 - 1e-9
-        maybe = (far <= bits) & once & (xc[:, None] != yc[None, :]) & (sizes >= least) & (sizes <= 1 / least)
-        up: dict[object, object] = {}
-
-        def top(c: object) -> object:
-            while c in up:
-                c = up[c]
-            return c
-
-        links = []
-        for i, j in np.argwhere(maybe).tolist():
-            p, q = top(xc[i]), top(yc[j])
-            if p == q:
-                continue
-            # Sets are sorted, so each shingle of the one is looked up in the other.
-            at = np.searchsorted(ys[j], xs[i])
-            at[at == len(ys[j])] = 0
-            both = int(np.count_nonzero(ys[j][at] == xs[i]))
-            if 100 * both >= percent * (len(xs[i]) + len(ys[j]) - both):
-                up[p] = q
-                links.append((min(xi[i], yi[j]), max(xi[i], yi[j])))
-        return pd.DataFrame(links, columns=["a", "b"], dtype=rows["id"].dtype)
-
-    return run
+    found = []
+    for turn in range(rounds):
+        rows = cut(_mixed(_children(rows, sets, turn)))
+        found.append(rows.where(F.col("members") <= small).drop("members"))
+        rows = rows.where(F.col("members") > small)
+        if rows.isEmpty():
+            return found
+    raise RuntimeError(f"nodes are still large after {rounds} rounds")
 
 
 def _with_heads(walkers: DataFrame, small: int) -> DataFrame:
@@ -266,16 +301,18 @@ def _with_heads(walkers: DataFrame, small: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs(a, b) whose full shingle sets have 100 * intersection >= percent * union. docs: (id, text), ids once."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    """The pairs whose full shingle sets have 100 * intersection >= percent * union. The first two columns of pairs name
+    the documents of docs(id, text), whose ids are there once."""
+    a, b = pairs.columns[:2]
+    ids = pairs.select(F.explode(F.array(a, b)).alias("id")).distinct()
     sets = cut(with_sets(docs.join(ids, "id", "left_semi"), width))
-    left, right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
+    left, right = sets.select(F.col("id").alias(a), F.col("shingles").alias("__p")), sets.select(F.col("id").alias(b), F.col("shingles").alias("__q"))
+    both = F.size(F.array_intersect("__p", "__q"))
+    return pairs.join(left, a).join(right, b).where(100 * both >= percent * (F.size("__p") + F.size("__q") - both)).select(*pairs.columns)
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, trees: int = 10, depth: int = 6, small: int = 16, bits: int = 22
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, trees: int = 10, depth: int = 4, small: int = 16, bits: int = 22
 ) -> DataFrame:
     """Groups of near copies: (doc_id, n_shingles, component_id, kept), one row for each row of docs.
 
@@ -296,13 +333,17 @@ def near_groups(
     sets = rows.where("id is not null and n_shingles > 0")
     classes = sets.groupBy("digest").agg(F.min(F.struct("id", "sketch", "tokens")).alias("head"), F.count("*").alias("copies"))
     classes = cut(classes.select("digest", "copies", "head.id", "head.sketch", "head.tokens"))
-    stars, nodes = candidates(classes, trees, depth, small, bits)
+    stars, few, many = candidates(classes, trees, depth, small, bits)
     texts = texts.where("id is not null")
-    links = cut(confirmed(stars, texts, width, percent))
+    first = components(_contracted(cut(confirmed(stars, texts, width, percent)))).withColumnRenamed("node", "id")
+    labelled = lambda nodes: nodes.join(first, "id", "left").select("node", "id", "sketch", F.coalesce("component", "id").alias("component"))
     # Exhaustively, but only between documents that the links so far leave apart.
-    placed = nodes.join(components(links).withColumnRenamed("node", "id"), "id", "left").select("node", "id", "sketch", F.coalesce("component", "id").alias("component"))
-    links = links.union(cut(_across(cut(placed), texts, width, percent, bits)))
-    placed = classes.join(components(links).withColumnRenamed("node", "id"), "id", "left").select("digest", "id", "copies", F.coalesce("component", "id").alias("component_id"))
+    nodes = [labelled(few), *(_branched(labelled(many), texts, width, small) if many else [])]
+    links = cut(confirmed(cut(reduce(DataFrame.union, [_pairs(n, bits) for n in nodes]).distinct()), texts, width, percent))
+    # These join whole components, so the second run is over components.
+    second = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    placed = classes.join(first, "id", "left").select("digest", "id", "copies", F.coalesce("component", "id").alias("component"))
+    placed = placed.join(second, "component", "left").select("digest", "id", "copies", F.coalesce("whole", "component").alias("component_id"))
     # Only classes that say something to their rows are dealt out; any other row is its own component.
     told = placed.where("copies > 1 or component_id < id").select("digest", "component_id", every_salt())
     found = rows.withColumn("salt", salt_of("id")).join(told, ["digest", "salt"], "left")

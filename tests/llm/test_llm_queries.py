@@ -162,14 +162,14 @@ def test_stages_take_odd_tables(spark):
 
 
 def test_near_groups_of_a_shared_template(spark):
-    """1,150 texts of an 86-word template and 14 own words (0.75 alike), 150 with a copy of 0.85: nothing else is linked."""
+    """1,000 texts of an 86-word template and 14 own words (0.75 alike), 150 of them with a copy of 0.85: nothing else is linked."""
     import random
 
     rng = random.Random(9)
     template, texts, pairs = [f"t{i}" for i in range(86)], [], []
-    own = [[f"o{i}x{k}" for k in range(14)] for i in range(400)]
+    own = [[f"o{i}x{k}" for k in range(14)] for i in range(1000)]
     texts = [template + w for w in own]
-    for j in rng.sample(range(400), 60):
+    for j in rng.sample(range(1000), 150):
         pairs.append((j, len(texts)))
         texts.append(template + own[j][:6] + [f"p{j}x{k}" for k in range(8)])
     found = {r.doc_id: r.component_id for r in near_dedup.near_groups(docs(spark, [" ".join(t) for t in texts])).collect()}
