@@ -110,10 +110,10 @@ def with_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def with_paths(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame:
-    """(id, n_shingles, digest, sketch, tokens) of docs(id, text), without the sets themselves.
+    """(id, n_shingles, digest, sketch, tokens, short) of docs(id, text).
 
     digest names the set, sketch holds a bit of each of 64 minwise tokens, tokens the minwise token for each tree and
-    level (tree by tree), as array<int>.
+    level (tree by tree), short the distinct lower halves of the shingles, as arrays of 32-bit numbers.
     """
     draws = max(64, trees * depth)
 
@@ -121,19 +121,20 @@ def with_paths(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame
         odd = _mix(np.arange(SEED, SEED + draws, dtype=np.uint64)) | np.uint64(1)
         bit = np.uint64(1) << np.arange(64, dtype=np.uint64)
         for part in _pieces(batches):
-            digest, sketch, tokens, sizes = [], [], [], []
+            digest, sketch, tokens, sizes, short = [], [], [], [], []
             for x in shingle_sets(part["text"].tolist(), width):
                 least = np.full(draws, np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(x), 2048):  # what fits the cache
                     np.minimum(least, (odd[:, None] * x[None, at : at + 2048]).min(axis=1), out=least)
                 least = _mix(least)
                 sizes.append(len(x))
+                short.append(np.unique(x.astype(np.uint32)).view(np.int32))
                 digest.append(blake2b(x.tobytes(), digest_size=16).digest())
                 sketch.append((bit[(least[:64] & np.uint64(1)) == 1]).sum(dtype=np.uint64))
                 tokens.append((least[: trees * depth] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            yield pd.DataFrame({"id": part["id"], "n_shingles": sizes, "digest": digest, "sketch": _signed(np.array(sketch, np.uint64)), "tokens": tokens})
+            yield pd.DataFrame({"id": part["id"], "n_shingles": sizes, "digest": digest, "sketch": _signed(np.array(sketch, np.uint64)), "tokens": tokens, "short": short})
 
-    return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n_shingles bigint, digest binary, sketch bigint, tokens array<int>")
+    return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n_shingles bigint, digest binary, sketch bigint, tokens array<int>, short array<int>")
 
 
 def _alike(a: Column, b: Column, most: int) -> Column:
@@ -237,27 +238,27 @@ def _pivots(rows: DataFrame, sets: DataFrame) -> DataFrame:
     drawn = rows.groupBy("node", F.pmod(F.xxhash64("id", "node"), F.lit(VOTERS)).alias("part")).agg(F.min(F.struct(F.xxhash64("node", "id").alias("draw"), "id")).alias("c"))
 
     def run(group: pa.Table) -> pa.Table:
-        values, counts = np.unique(group["shingles"].combine_chunks().flatten().to_numpy(), return_counts=True)
-        return pa.table({"node": group["node"][:1], "pivot": pa.array([values[2 * counts > len(group)]], pa.list_(pa.int64()))})
+        values, counts = np.unique(group["short"].combine_chunks().flatten().to_numpy(), return_counts=True)
+        return pa.table({"node": group["node"][:1], "pivot": pa.array([values[2 * counts > len(group)]], pa.list_(pa.int32()))})
 
-    members = drawn.select("node", F.col("c.id").alias("id")).join(sets, "id").select("node", "shingles")
-    return members.groupBy("node").applyInArrow(run, "node bigint, pivot array<bigint>")
+    members = drawn.select("node", F.col("c.id").alias("id")).join(sets, "id").select("node", "short")
+    return members.groupBy("node").applyInArrow(run, "node bigint, pivot array<int>")
 
 
 def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
     """rows of the children that large nodes branch into, by the minwise tokens of each document's difference."""
     pivots = _pivots(rows, sets).select("node", "pivot", every_salt())
-    met = rows.drop("members").join(sets, "id").withColumn("salt", salt_of("id")).join(pivots, ["node", "salt"])
+    met = rows.drop("members").join(sets.select("id", "short"), "id").withColumn("salt", salt_of("id")).join(pivots, ["node", "salt"])
     kept = ["node", "id", "sketch", "component"]
     odd = _mix(np.arange(SEED + 1000 * (turn + 1), SEED + 1000 * (turn + 1) + DRAWS, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = []
-            for own, pivot in zip(batch["shingles"], batch["pivot"], strict=True):
+            for own, pivot in zip(batch["short"], batch["pivot"], strict=True):
                 x, y = own.values.to_numpy(), pivot.values.to_numpy()
                 apart = np.setxor1d(x, y, assume_unique=True)
-                apart = (apart if len(apart) else x).view(np.uint64)
+                apart = (apart if len(apart) else x).view(np.uint32).astype(np.uint64)
                 least = np.full(DRAWS, np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(apart), 2048):
                     np.minimum(least, (odd[:, None] * apart[None, at : at + 2048]).min(axis=1), out=least)
@@ -265,18 +266,17 @@ def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(tokens, pa.list_(pa.int64()))], [*kept, "tokens"])
 
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
-    found = met.select(*kept, "shingles", "pivot").mapInArrow(run, f"{schema}, tokens array<bigint>")
+    found = met.select(*kept, "short", "pivot").mapInArrow(run, f"{schema}, tokens array<bigint>")
     found = found.select("node", "id", "sketch", "component", F.posexplode("tokens").alias("draw", "token"))
     return found.select(F.xxhash64("node", "draw", "token").alias("node"), "id", "sketch", "component")
 
 
-def _branched(many: DataFrame, texts: DataFrame, width: int, small: int, rounds: int = 40) -> list[DataFrame]:
+def _branched(many: DataFrame, sets: DataFrame, small: int, rounds: int = 40) -> list[DataFrame]:
     """The small nodes that large nodes(node, id, sketch, component) end in, see the module. Nodes of one component need
     no comparison and end there."""
     rows = cut(_mixed(many))
     if rows.isEmpty():
         return []
-    sets = cut(with_sets(texts.join(rows.select("id").distinct(), "id", "left_semi"), width))
     found = []
     for turn in range(rounds):
         rows = cut(_mixed(_children(rows, sets, turn)))
@@ -300,15 +300,36 @@ def _with_heads(walkers: DataFrame, small: int) -> DataFrame:
     return walkers.withColumn("salt", salt_of("id")).join(heads, ["node", "salt"]).select("id", "sketch", "tree", "node", "head", "members")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+#: Ids that are broadcast to find their texts; more are joined by shuffle.
+BROADCAST_IDS = 50_000
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union. The first two columns of pairs name
-    the documents of docs(id, text), whose ids are there once."""
+    the documents of sets(id, n_shingles, short) and docs(id, text).
+
+    Halves of shingles decide where they must be right: they may agree where shingles do not about n * m / 2 ** 32
+    times, so a pair that is nearer to the limit than four times that and four more is decided on whole shingles. Of a
+    pair of short texts that is each; they are few bytes.
+    """
     a, b = pairs.columns[:2]
-    ids = pairs.select(F.explode(F.array(a, b)).alias("id")).distinct()
-    sets = cut(with_sets(docs.join(ids, "id", "left_semi"), width))
-    left, right = sets.select(F.col("id").alias(a), F.col("shingles").alias("__p")), sets.select(F.col("id").alias(b), F.col("shingles").alias("__q"))
+    side = lambda own, n: sets.select(F.col("id").alias(own), F.col("short").alias(f"__{n}"), F.col("n_shingles").alias(f"__n{n}"))
     both = F.size(F.array_intersect("__p", "__q"))
-    return pairs.join(left, a).join(right, b).where(100 * both >= percent * (F.size("__p") + F.size("__q") - both)).select(*pairs.columns)
+    above = 100 * both - percent * (F.col("__np") + F.col("__nq") - both)
+    doubt = (100 + percent) * (4 + F.floor(F.col("__np") * F.col("__nq") / F.lit(1 << 30)))
+    told = pairs.join(side(a, "p"), a).join(side(b, "q"), b).select(*pairs.columns, above.alias("__above"), doubt.alias("__doubt"))
+    told = cut(told.where("__above >= -__doubt").select(*pairs.columns, (F.col("__above") >= F.col("__doubt")).alias("__sure")).distinct())
+    open_ = told.where(~F.col("__sure")).select(*pairs.columns)
+    ids = cut(open_.select(F.explode(F.array(a, b)).alias("id")).distinct())
+    few = ids.count()
+    ids = F.broadcast(ids) if few <= BROADCAST_IDS else ids
+    whole = cut(with_sets(docs.join(ids, "id", "left_semi"), width)) if few else None
+    sure = told.where("__sure").select(*pairs.columns)
+    if whole is None:
+        return sure
+    left, right = whole.select(F.col("id").alias(a), F.col("shingles").alias("__p")), whole.select(F.col("id").alias(b), F.col("shingles").alias("__q"))
+    exact = open_.join(left, a).join(right, b).where(100 * both >= percent * (F.size("__p") + F.size("__q") - both)).select(*pairs.columns)
+    return sure.union(exact).distinct()
 
 
 def near_groups(
@@ -320,26 +341,32 @@ def near_groups(
     sets; component_id is the smallest id that links reach, kept marks the document of that id. Equal sets are linked
     without a comparison. Null and empty texts, and texts of nothing but white space, have no shingles and are linked
     with nothing. Rows with a null id take part in nothing: their component is null and they are kept. Rows that
-    repeat an id are one document that has all of their sets. Other columns of docs, whatever their names, are not read. Pairs inside one component are only compared as far as its
+    repeat an id are one document that has all of their sets. Bytes that are not valid UTF-8 count as U+FFFD. Other
+    columns of docs, whatever their names, are not read. Pairs inside one component are only compared as far as its
     connection needs.
 
     small: most documents of a node that is compared exhaustively. bits: in how many of 64 sketch bits a candidate
     pair may differ; at similarity 0.8 one pair in a million differs in more than 22.
     """
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = cut(with_paths(texts, width, trees, depth))
+    texts = docs.select(F.col(id_col).alias("id"), F.make_valid_utf8(F.col(text_col)).alias("text"))
+    wide = cut(with_paths(texts, width, trees, depth))
     # One class for each distinct set, named by its smallest id; a class of thousands of copies walks once.
-    sets = rows.where("id is not null and n_shingles > 0")
-    classes = sets.groupBy("digest").agg(F.min(F.struct("id", "sketch", "tokens")).alias("head"), F.count("*").alias("copies"))
+    worded = wide.where("id is not null and n_shingles > 0")
+    classes = worded.groupBy("digest").agg(F.min(F.struct("id", "sketch", "tokens")).alias("head"), F.count("*").alias("copies"))
     classes = cut(classes.select("digest", "copies", "head.id", "head.sketch", "head.tokens"))
+    # The short sets of the classes, each once.
+    own = worded.join(classes.select("digest", "id"), ["digest", "id"], "left_semi")
+    sets = cut(own.groupBy("digest", "id").agg(F.first("n_shingles").alias("n_shingles"), F.first("short").alias("short")).select("id", "n_shingles", "short"))
+    rows = cut(wide.select("id", "n_shingles", "digest"))
+    del wide, worded, own
     stars, few, many = candidates(classes, trees, depth, small, bits)
     texts = texts.where("id is not null")
-    first = components(_contracted(cut(confirmed(stars, texts, width, percent)))).withColumnRenamed("node", "id")
+    first = components(_contracted(cut(confirmed(stars, sets, texts, width, percent)))).withColumnRenamed("node", "id")
     labelled = lambda nodes: nodes.join(first, "id", "left").select("node", "id", "sketch", F.coalesce("component", "id").alias("component"))
     # Exhaustively, but only between documents that the links so far leave apart.
-    nodes = [labelled(few), *(_branched(labelled(many), texts, width, small) if many else [])]
-    links = cut(confirmed(cut(reduce(DataFrame.union, [_pairs(n, bits) for n in nodes]).distinct()), texts, width, percent))
+    nodes = [labelled(few), *(_branched(labelled(many), sets, small) if many else [])]
+    links = cut(confirmed(cut(reduce(DataFrame.union, [_pairs(n, bits) for n in nodes]).distinct()), sets, texts, width, percent))
     # These join whole components, so the second run is over components.
     second = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     placed = classes.join(first, "id", "left").select("digest", "id", "copies", F.coalesce("component", "id").alias("component"))
