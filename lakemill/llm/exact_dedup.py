@@ -4,7 +4,8 @@ Texts are cut into chunks at places that their content chooses, so equal passage
 A cut depends on nothing but a hash of the last six characters, in every script. A chunk is named by its SHA-256
 digest, and a dictionary that holds every distinct chunk once verifies the names: should one digest name two different
 chunks, the documents that use it are named by longer digests. A document becomes the ordered list of its chunks' names,
-its recipe, and documents are equal if their recipes are. A chunk's bytes move once for each map task that meets it;
+its recipe, and documents are equal if their recipes are. A text that is not valid UTF-8 is cut as if its bad bytes were
+U+FFFD, and its recipe ends with the digest of its own bytes, so only equal bytes are equal. A chunk's bytes move once for each map task that meets it;
 documents move as recipes only.
 """
 
@@ -74,17 +75,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     doubtful = cut(doubtful_names(texts, name))
-    cut_up = texts.select("doc_id", F.sha2("text", 256).alias("text_sha256"), chunks(F.col("text")).alias("chunks"), salt_of("doc_id").alias("salt"))
+    # What the chunks of a text that is not valid UTF-8 cannot tell: its bytes.
+    bad = F.when(~F.is_valid_utf8("text"), F.array(F.unhex(F.sha2("text", 256)))).otherwise(F.array().cast("array<binary>"))
+    cut_up = texts.select("doc_id", F.sha2("text", 256).alias("text_sha256"), chunks(F.col("text")).alias("chunks"), bad.alias("bad"), salt_of("doc_id").alias("salt"))
     own = F.transform("chunks", name)
     if doubtful.isEmpty():
-        named = cut_up.select("doc_id", "text_sha256", "salt", own.alias("recipe"))
+        named = cut_up.select("doc_id", "text_sha256", "salt", F.concat(own, "bad").alias("recipe"))
     else:
         # The documents that use such a name: dealt by name and salt, as a popular chunk has many occurrences.
-        rows = cut_up.select("doc_id", "text_sha256", "salt", own.alias("short"), F.transform("chunks", long_name).alias("long"))
+        rows = cut_up.select("doc_id", "text_sha256", "salt", "bad", own.alias("short"), F.transform("chunks", long_name).alias("long"))
         used = rows.select("text_sha256", "salt", F.explode("short").alias("name"))
         renamed = used.join(doubtful.select("name", every_salt()), ["name", "salt"], "left_semi").select("text_sha256", "salt", F.lit(True).alias("renamed")).distinct()
-        recipe = F.when(F.col("renamed"), F.col("long")).otherwise(F.col("short")).alias("recipe")
-        named = rows.join(renamed, ["text_sha256", "salt"], "left").select("doc_id", "text_sha256", "salt", recipe)
+        recipe = F.when(F.col("renamed"), F.col("long")).otherwise(F.col("short"))
+        named = rows.join(renamed, ["text_sha256", "salt"], "left").select("doc_id", "text_sha256", "salt", F.concat(recipe, "bad").alias("recipe"))
     named = cut(named)
     groups = named.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     shared = groups.where("group_size > 1").select("recipe", "keep_id", "group_size", every_salt())

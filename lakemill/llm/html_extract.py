@@ -523,7 +523,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     small_batches(pages.sparkSession)
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), text_or_empty(html_col).alias("html"), host.alias("host"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.make_valid_utf8(text_or_empty(html_col)).alias("html"), host.alias("host"))
     known = wrappers(rows.where("host <> ''"))
     kind = rows.schema["page_id"].dataType.simpleString()
 

@@ -123,34 +123,39 @@ def train(texts: list[str], langs: list[str], window: int = 128, dim: int = 6, w
     return ByteNetwork(labels, window, p["e"], {k: p[f"f{k}"] for k in widths}, {k: p[f"b{k}"].astype(np.float32) for k in widths}, p["d"].astype(np.float32), p["c"].astype(np.float32))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_label: int = 300, chars_per_row: int = 1024, most_labels: int = 1000, **training: object) -> ByteNetwork | None:
-    """A network learned from a bounded sample of labelled rows: about rows_per_label of each label, drawn by hash.
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", spans_per_label: int = 300, span: int = 1024, most_labels: int = 1000, **training: object) -> ByteNetwork | None:
+    """A network learned from a bounded sample of labelled texts: about spans_per_label spans of each label.
 
-    Of a sampled row, chars_per_row characters from a place drawn by hash are learned from. Rows without a label, or
-    whose text has no letter, are not used; with no usable row there is no network. A column of more than most_labels
-    values is no column of languages and an error, so what reaches the driver is bounded.
+    Whole texts are dealt into spans of so many characters, the last one shorter, and spans are drawn by hash, so every
+    part of every text may be learned from. Rows without a label, or whose text has no letter, are not used; with no
+    usable row there is no network. Rows that repeat id and text count once. A column of more than most_labels values is
+    no column of languages and an error, so what reaches the driver is bounded.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & text_or_empty(text_col).rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().limit(most_labels + 1).collect()}
+    rows = rows.select(F.col(id_col).cast("string").alias("id"), F.make_valid_utf8(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    spans = F.ceil(F.length("text") / span)
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(spans)).limit(most_labels + 1).collect()}
     if len(counts) > most_labels:
         raise ValueError(f"{lang_col} has more than {most_labels} values")
     if not counts:
         return None
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("draw")), F.lit(1_000_000_007)) / 1_000_000_007
-    share = F.create_map(*[F.lit(y) for k, n in sorted(counts.items()) for y in (k, min(1.0, rows_per_label / n))])[F.col(lang_col)]
-    start = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("start")), F.greatest(F.lit(1), F.length(text_col) - chars_per_row)) + 1
-    drawn = rows.where(draw < share).select(F.xxhash64(F.col(id_col).cast("string")).alias("key"), F.substring(F.col(text_col), start.cast("int"), F.lit(chars_per_row)).alias("text"), F.col(lang_col).alias("lang"))
-    learned = sorted((r["key"], r["text"], r["lang"]) for r in drawn.collect())
-    return train([r[1] for r in learned], [r[2] for r in learned], **training) if learned else None
+    share = F.create_map(*[F.lit(y) for k, n in sorted(counts.items()) for y in (k, min(1.0, spans_per_label / n))])[F.col("lang")]
+    named = rows.select("text", "lang", share.alias("share"), F.xxhash64("id", "text").alias("row"), spans.alias("spans"))
+    draw = lambda k: F.pmod(F.xxhash64("row", k, F.lit("draw")), F.lit(1_000_000_007)) / 1_000_000_007
+    drawn = named.select("row", "text", "lang", F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("spans") - 1), lambda k: draw(k) < F.col("share"))).alias("k"))
+    drawn = drawn.select("row", "k", F.substring(F.col("text"), (F.col("k") * span + 1).cast("int"), F.lit(span)).alias("text"), "lang").distinct()
+    learned = sorted((r["row"], r["k"], r["text"], r["lang"]) for r in drawn.collect())
+    return train([r[2] for r in learned], [r[3] for r in learned], **training) if learned else None
 
 
 def predicted(network: ByteNetwork | None, docs: DataFrame, text_col: str = "text", part: int = 512) -> Column:
     """The prediction for docs' text as struct<lang_pred: string, score: double>, from every window of the whole text.
 
-    Null texts and texts without a letter are `und` with score 0, as are all texts if there is no network. A long text
+    Null texts and texts without a letter are `und` with score 0, as are all texts if there is no network. Bytes that are
+    not valid UTF-8 count as U+FFFD. A long text
     is scored in parts of so many windows, so memory is bounded.
     """
-    text = F.when(text_or_empty(text_col).rlike(r"\p{L}"), F.col(text_col))
+    text = F.when(text_or_empty(text_col).rlike(r"\p{L}"), F.make_valid_utf8(F.col(text_col)))
     if network is None:
         return F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     small_batches(docs.sparkSession)

@@ -299,7 +299,7 @@ def encode(docs: DataFrame, model: PieceModel, text_col: str = "text", ids_col:
         for texts in batches:
             yield pd.Series([None if x is None else np.array(t.encode(x), np.int32) for x in texts], dtype=object)
 
-    return docs.withColumn(ids_col, run(F.col(text_col)))
+    return docs.withColumn(ids_col, run(F.make_valid_utf8(F.col(text_col))))
 
 
 def decode(docs: DataFrame, model: PieceModel, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

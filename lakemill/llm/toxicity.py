@@ -196,7 +196,7 @@ def featured(grammar: Grammar, docs: DataFrame, text_col: str = "text") -> Colum
             found = [own.features(x or "", machine) for x in batch]
             yield pd.DataFrame({"features": [f for f, _ in found], "weight": [float(f @ worth) for f, _ in found], "clauses": [n for _, n in found]})
 
-    return run(F.col(text_col))
+    return run(F.make_valid_utf8(F.col(text_col)))
 
 
 def insults_in(text: Column) -> Column:
@@ -276,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = marked.count()
     draw = F.pmod(F.xxhash64(F.col("__id").cast("string"), F.lit("toxicity")), F.lit(1_000_000_007)) / 1_000_000_007
     drawn = marked.where(draw < min(1.0, sample_rows / max(n, 1)))
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where("text is not null")
+    rows = docs.select(F.col(id_col).alias("__id"), F.make_valid_utf8(F.col(text_col)).alias("text")).where("text is not null")
     rows = cut(rows.join(F.broadcast(drawn), "__id").select("text", "toxic"))
     grammar = Grammar(lexicon(rows))
     # Where no label speaks of threats, a threat weighs what the heaviest insult does at a target.

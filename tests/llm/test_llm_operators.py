@@ -95,13 +95,13 @@ def test_language_network_learns(spark):
     rows = [(i, make["aa" if i % 2 else "bb"](), "aa" if i % 2 else "bb") for i in range(200)]
     rows += [(1000, None, "aa"), (1001, "123 !", None), (1002, "wxyz", None), (None, "abcd abcd", None), (1003, "wxyz " * 40_000, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("clash"))
-    net = language_id.fit(df, rows_per_label=60)
+    net = language_id.fit(df, spans_per_label=60)
     found = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(df, net).collect()}
     assert all(found[i][0] == ("aa" if i % 2 else "bb") for i in range(200))
     assert found[1000] == ("und", 0.0) and found[1001] == ("und", 0.0)
     assert found[1002][0] == "bb" and found[None][0] == "aa" and found[1003][0] == "bb"
     assert all(0 <= s <= 1 for _, s in found.values())
-    again = language_id.fit(df, rows_per_label=60)
+    again = language_id.fit(df, spans_per_label=60)
     assert np.array_equal(net.dense, again.dense)
     assert language_id.fit(df.limit(0)) is None
     assert {r.lang_pred for r in language_id.predict(df, None).collect()} == {"und"}
