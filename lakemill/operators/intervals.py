@@ -50,6 +50,35 @@ def interval_join(points: DataFrame, spans: DataFrame, date: str, first: str, la
     return met.select(*shown, *[x[c] for c in points.columns if c not in (keys or [])], *[y[c] for c in spans.columns if c not in (keys or [])])
 
 
+def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], first: str = "first", last: str = "last", days: int = 366) -> DataFrame:
+    """Pairs of a row of a and a row of b that agree in keys and overlap, each once, with the days that both hold.
+
+    The columns are keys, then those of a and of b but for their bounds, then first and last of the common days; open
+    ends stay open. Intervals are cut into bins of so many days, between the earliest start and the latest bound of both
+    sides, and meet by keys and bin; a pair is taken in the first bin that both have. So a key with very many intervals
+    is dealt out over time, and what meets in vain is what shares a bin and not a day. Intervals that end before they
+    begin meet nothing.
+    """
+    bounds = a.select(F.col(first).cast("date").alias("f"), F.col(last).cast("date").alias("l")).union(b.select(F.col(first).cast("date"), F.col(last).cast("date")))
+    edge = bounds.agg(F.min(F.coalesce("f", "l")).alias("low"), F.max(F.coalesce("l", "f")).alias("high"), F.max("f").alias("late")).first()
+    low, high = F.lit(edge["low"]).cast("date"), F.greatest(F.lit(edge["high"]).cast("date"), F.lit(edge["late"]).cast("date"))
+    number = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / days).cast("long")
+    begin, end = F.coalesce(F.col(first).cast("date"), low), F.coalesce(F.col(last).cast("date"), high)
+
+    def binned(side: DataFrame, mark: str) -> DataFrame:
+        rows = side.where((begin <= end) | F.col(first).isNull() | F.col(last).isNull())
+        own = [F.col(c).alias(f"{mark}{c}") for c in side.columns]
+        return rows.select(*own, number(begin).alias(f"{mark}from"), F.explode(F.sequence(number(begin), F.greatest(number(begin), number(end)))).alias(f"{mark}bin"))
+
+    x, y = binned(a, "__a_"), binned(b, "__b_")
+    same = reduce(Column.__and__, [x[f"__a_{k}"] == y[f"__b_{k}"] for k in keys], x["__a_bin"] == y["__b_bin"])
+    once = x["__a_bin"] == F.greatest("__a_from", "__b_from")
+    met = x.join(y, same & once & overlap(*[F.col(f"__{m}_{c}") for m in "ab" for c in (first, last)]))
+    rest = lambda side, mark: [F.col(f"{mark}{c}").alias(c) for c in side.columns if c not in (*keys, first, last)]
+    common = [F.greatest(f"__a_{first}", f"__b_{first}").alias(first), F.least(f"__a_{last}", f"__b_{last}").alias(last)]
+    return met.select(*[F.col(f"__a_{k}").alias(k) for k in keys], *rest(a, "__a_"), *rest(b, "__b_"), *common)
+
+
 def islands(spans: DataFrame, keys: list[str], first: str, last: str, gap_days: int = 1) -> DataFrame:
     """Spans of a key merged where the next begins at most gap_days after the latest end so far: keys, first, last,
     n_spans. An open end swallows what follows; spans without a start are left out."""

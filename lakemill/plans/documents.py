@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions.values import size_or_null
+from lakemill.operators import intervals
 from lakemill.operators import projections as p
 from lakemill.operators.dedupe import keep_one
 from lakemill.plans.registry import query, table
@@ -152,6 +153,31 @@ def qualified_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(F.col("l_suppkey").alias("member"), "position").agg(F.min("l_shipdate").cast("date").alias("first"), F.max("l_shipdate").cast("date").alias("last"), F.count("*").alias("n_mandates"))
 
 
+_POSITIONS = {"PROMO": "gouvernement", "LARGE": "majorite", "MEDIUM": "opposition", "SMALL": "minoritaire"}
+
+
+@query(
+    """WITH o AS (SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN 'gouvernement' WHEN 'LARGE' THEN 'majorite' WHEN 'MEDIUM' THEN 'opposition' WHEN 'SMALL' THEN 'minoritaire' END AS position,
+   DATE '1994-01-01' + p_size * 30 AS first, CASE WHEN p_type <> 'PROMO' THEN DATE '1994-01-01' + p_size * 30 + CAST(p_retailprice AS INTEGER) END AS last FROM part WHERE p_type IN ('PROMO', 'LARGE', 'MEDIUM', 'SMALL')),
+ m AS (SELECT l_suppkey AS member, l_partkey, CAST(l_shipdate AS DATE) AS first, CASE WHEN l_quantity < 45 THEN CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) * 10 END AS last FROM lineitem),
+ j AS (SELECT member, position, greatest(m.first, o.first) AS f, least(coalesce(m.last, DATE '9999-12-31'), coalesce(o.last, DATE '9999-12-31')) AS l FROM m JOIN o ON p_partkey = l_partkey AND m.first <= coalesce(o.last, DATE '9999-12-31') AND o.first <= coalesce(m.last, DATE '9999-12-31')),
+ g AS (SELECT *, CASE WHEN f <= max(l) OVER (PARTITION BY member, position ORDER BY f, l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM (SELECT *, least(l, DATE '9999-12-30') AS x FROM j)),
+ i AS (SELECT *, sum(fresh) OVER (PARTITION BY member, position ORDER BY f, l ROWS UNBOUNDED PRECEDING) AS island FROM g)
+ SELECT member, position, min(f) AS first, nullif(max(l), DATE '9999-12-31') AS last, count(*) AS n_spans FROM i GROUP BY member, position, island"""
+)
+def position_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In which periods a member stood for what: mandates where their organ was valid too, each pair met once, and
+    what touches or overlaps made one period."""
+    position = F.try_element_at(F.create_map(*[F.lit(x) for kv in _POSITIONS.items() for x in kv]), F.col("p_type"))
+    start = F.date_add(F.lit("1994-01-01").cast("date"), F.col("p_size") * 30)
+    # DuckDB rounds a price half to even, as rint does.
+    end = F.when(F.col("p_type") != "PROMO", F.date_add(start, F.rint("p_retailprice").cast("int")))
+    organs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("organ"), position.alias("position"), start.alias("first"), end.alias("last")).where("position is not null")
+    day = F.col("l_shipdate").cast("date")
+    mandates = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("member"), F.col("l_partkey").alias("organ"), day.alias("first"), F.when(F.col("l_quantity") < 45, F.date_add(day, F.rint("l_quantity").cast("int") * 10)).alias("last"))
+    return intervals.islands(intervals.overlap_join(mandates, organs, ["organ"]), ["member", "position"], "first", "last")
+
+
 @query("SELECT page_id, CASE WHEN contains(lower(url), 'blog') THEN 'url' ELSE 'name' END AS why FROM pages WHERE contains(lower(url), 'blog') OR contains(lower(regexp_extract(html, '<title>([^<]*)</title>', 1)), 'thion')")
 def search_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits kept where the speaker's address or name names the candidate; mere mentions go."""

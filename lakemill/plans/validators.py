@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.operators import gate
+from lakemill.operators import gate, pivot_rules
 from lakemill.operators import validate as v
 from lakemill.plans import bindings as b
 from lakemill.plans.registry import query, table
@@ -282,3 +282,42 @@ def gate_status_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gate_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q10: the gate fails if any hard section has a finding; soft ones never block."""
     return gate.verdict(gate.groups(_group_states(spark, sf_dir), least_members=4, least_percent=65))
+
+
+_PERSONS_SQL = """o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i FROM orders),
+ p AS (SELECT c_custkey AS key, c_mktsegment AS m, c_acctbal AS b, c_nationkey AS n, c_name AS name FROM customer),
+ w AS (SELECT o_custkey AS key, 'votes[' || i || ']' AS path, o_orderpriority AS q, o_orderstatus AS s, 'an:' || year(o_orderdate) || ':' || o_orderkey AS ref, o_totalprice AS t FROM o)"""
+
+
+@query(
+    f"""WITH {_PERSONS_SQL}
+ SELECT key, 'schema_version' AS path, 'version' AS rule FROM p WHERE b < 0 UNION ALL SELECT key, 'nom', 'empty' FROM p WHERE n = 3 UNION ALL SELECT key, 'chambre', 'outside_domain' FROM p WHERE m = 'BUILDING'
+ UNION ALL SELECT key, 'chambre', 'disagrees' FROM p WHERE m IN ('BUILDING', 'MACHINERY') UNION ALL SELECT key, 'chambres', 'out_of_order' FROM p WHERE m = 'MACHINERY' UNION ALL SELECT key, 'tags_thematiques', 'not_a_list' FROM p WHERE n = 4
+ UNION ALL SELECT key, 'sources', 'missing' FROM p WHERE n = 5 UNION ALL SELECT key, 'meta', 'not_an_object' FROM p WHERE n = 6 UNION ALL SELECT key, 'meta.warnings', 'not_a_list' FROM p WHERE n = 7 UNION ALL SELECT key, 'meta.provenance', 'outside_domain' FROM p WHERE n = 8
+ UNION ALL SELECT key, path || '.position', 'outside_domain' FROM w WHERE s = 'P' UNION ALL SELECT key, path || '.scrutin_id', 'lost' FROM w WHERE q = '5-LOW' UNION ALL SELECT key, path || '.scrutin_id', 'malformed' FROM w WHERE q = '1-URGENT'
+ UNION ALL SELECT key, path || '.scrutin_id', 'unknown' FROM w WHERE q NOT IN ('5-LOW', '1-URGENT') AND t <= 50000 UNION ALL SELECT key, path || '.position', 'forced_has_position' FROM w WHERE q = '2-HIGH' AND t > 300000 AND s <> 'O'"""
+)
+def document_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of a person's document, read as JSON of any form, its references resolved by one join for each
+    dimension."""
+    urgent = F.when(F.col("o_orderpriority") == "5-LOW", None).when(F.col("o_orderpriority") == "1-URGENT", "x:1").otherwise(F.concat(F.lit("an:"), F.year("o_orderdate"), F.lit(":"), "o_orderkey"))
+    position = F.when(F.col("o_orderstatus") == "F", "pour").when(F.col("o_orderstatus") == "P", "maybe")
+    orders = table(spark, sf_dir, "orders").withColumns({"ref": urgent, "position": position})
+    votes = orders.groupBy(F.col("o_custkey").alias("c")).agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", F.struct(F.col("ref").alias("scrutin_id"), "position").alias("v")))), lambda x: x["v"]).alias("votes"))
+    n, m = F.col("c_nationkey"), F.col("c_mktsegment")
+    version = F.when(F.col("c_acctbal") < 0, "2").otherwise("1")
+    chambers = F.when(m == "MACHINERY", F.array(F.lit("Senat"), F.lit("AN"))).when(m == "BUILDING", F.array(F.lit("PE"))).otherwise(F.array(F.lit("AN")))
+    meta = F.struct(F.lit("1").alias("schema_version"), F.lit("x").alias("genere_le"), F.lit("x").alias("licence_donnees"), F.when(n == 7, F.parse_json(F.lit('"x"'))).otherwise(F.parse_json(F.lit("[]"))).alias("warnings"), F.when(n == 8, "guess").otherwise("roster_groupe").alias("provenance"))
+    empty = F.array().cast("array<string>")
+    rows = table(spark, sf_dir, "customer").join(votes, F.col("c") == F.col("c_custkey"), "left").select(
+        F.col("c_custkey").alias("key"), version.alias("schema_version"), F.concat(F.lit("p"), "c_custkey").alias("id"), F.when(n == 3, "").otherwise(F.col("c_name")).alias("nom"), F.when(m == "BUILDING", "House").otherwise("AN").alias("chambre"), chambers.alias("chambres"),
+        F.when(n == 4, F.parse_json(F.lit("{}"))).otherwise(F.parse_json(F.lit("[]"))).alias("tags_thematiques"), F.coalesce("votes", F.array().cast(votes.schema["votes"].dataType)).alias("votes"),
+        *[empty.alias(c) for c in ("mandats", "textes_portes", "interventions", "amendements")], F.when(n == 6, F.parse_json(F.lit("[]"))).otherwise(F.parse_json(F.to_json(meta))).alias("meta"), empty.alias("sources"),
+    )
+    parts = [c for c in rows.columns if c not in ("key", "sources")]
+    # Null parts stay in the document, as null is not absence; one kind of document lacks its sources.
+    text = F.when(F.col("key").isNotNull() & (F.col("__n") == 5), F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})).otherwise(F.to_json(F.struct(*parts, "sources"), {"ignoreNullFields": "false"}))
+    docs = rows.join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), n.alias("__n")), "key").select("key", F.try_parse_json(text).alias("v"))
+    outcome = F.when((F.col("o_orderpriority") == "2-HIGH") & (F.col("o_totalprice") > 300_000), pivot_rules.FORCED)
+    ballots = orders.where("o_totalprice > 50000").select(F.concat(F.lit("an:"), F.year("o_orderdate"), F.lit(":"), "o_orderkey").alias("id"), outcome.alias("outcome"))
+    return pivot_rules.findings(docs, "key", "v", {"votes": ballots})
