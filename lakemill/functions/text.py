@@ -70,6 +70,26 @@ def initials(name: Column) -> Column:
     return F.array_join(F.concat(heads, F.slice(words, -1, 1)), " ")
 
 
+def short_name(name: Column) -> Column:
+    """The first letters of the first two words in capitals; a question mark for no name."""
+    words = F.filter(F.split(F.coalesce(name, F.lit("")), r"\s+"), lambda w: w != "")
+    letters = F.transform(F.slice(words, 1, 2), lambda w: F.upper(F.substring(w, 1, 1)))
+    return F.when(F.size(words) > 0, F.array_join(letters, "")).otherwise("?")
+
+
+def last_name(name: Column) -> Column:
+    """The last word; a question mark for no name."""
+    words = F.filter(F.split(F.coalesce(name, F.lit("")), r"\s+"), lambda w: w != "")
+    return F.coalesce(F.try_element_at(words, F.lit(-1)), F.lit("?"))
+
+
+def percentage(share: Column) -> Column:
+    """A share as whole per cent, halves up; N/D for what is missing or not finite."""
+    number = share.cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf"))
+    return F.when(finite, F.concat(F.floor(number * 100 + 0.5).cast("string"), F.lit(" %"))).otherwise("N/D")
+
+
 def upper_head_as_surname(name: Column) -> Column:
     """'DOE SMITH Jane' becomes 'Jane Doe Smith': leading words in capitals are the surname."""
     head = F.regexp_extract(name, r"^((?:[\p{Lu}'-]{2,}\s+)+)", 1)

@@ -61,6 +61,26 @@ def roster(memberships: DataFrame, posts: DataFrame, periods: DataFrame) -> Data
     ).distinct()
 
 
+def sole_holder(memberships: DataFrame, posts: DataFrame, periods: DataFrame, title: str, role: str) -> DataFrame:
+    """(period, holder, warning) of every period: who belonged to it and held a post of a title in it.
+
+    Two facts are asked for, never one: a membership of the period's label that overlaps it, and a post of the title
+    that overlaps both. memberships(member, label, first, last), posts(member, post, role, first, last),
+    periods(period, label, first, last). A post of the title in another role is told and does not count; of several
+    holders none is chosen, which is told with their names.
+    """
+    m, p, x = memberships.alias("m"), periods.alias("p"), posts.where(F.col("post") == title).alias("x")
+    inside = m.join(p, (F.col("m.label") == F.col("p.label")) & overlap(F.col("m.first"), F.col("m.last"), F.col("p.first"), F.col("p.last")))
+    both = (F.col("x.member") == F.col("m.member")) & overlap(F.col("x.first"), F.col("x.last"), F.col("m.first"), F.col("m.last")) & overlap(F.col("x.first"), F.col("x.last"), F.col("p.first"), F.col("p.last"))
+    met = inside.join(x, both).select(F.col("p.period").alias("period"), F.col("m.member").alias("member"), F.coalesce(F.lower(F.btrim("x.role")) == role.lower(), F.lit(False)).alias("counts"))
+    found = met.groupBy("period").agg(F.array_sort(F.collect_set(F.when(F.col("counts"), F.col("member")))).alias("holders"), F.array_sort(F.collect_set(F.when(~F.col("counts"), F.col("member")))).alias("others"))
+    names = lambda c: F.array_join(F.transform(c, lambda v: v.cast("string")), ", ")
+    several = F.when(F.size("holders") > 1, F.concat(F.size("holders").cast("string"), F.lit(" possible: "), names("holders")))
+    told = F.nullif(F.concat_ws("; ", several, F.when(F.size("others") > 0, F.concat(F.lit("another role: "), names("others")))), F.lit(""))
+    every = periods.select("period").distinct().join(found, "period", "left")
+    return every.select("period", F.when(F.size("holders") == 1, F.col("holders")[0]).alias("holder"), told.alias("warning"))
+
+
 def text_status(acts: DataFrame, key: str, code: str, date: str, position: str, statuses: Mapping[str, str], final: str, final_status: str, default: str) -> DataFrame:
     """(key, status, deposited, last_act, n_acts) of acts: the status of the latest deciding act.
 

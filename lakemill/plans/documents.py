@@ -333,15 +333,15 @@ def stems_and_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT l_suppkey AS member, CASE WHEN count(DISTINCT l_linenumber) = 1 + max(l_linenumber) - min(l_linenumber) THEN ['I','II','III','IV','V','VI','VII'][min(l_linenumber)] ||
- CASE WHEN max(l_linenumber) > min(l_linenumber) THEN '-' || ['I','II','III','IV','V','VI','VII'][max(l_linenumber)] ELSE '' END END AS label FROM lineitem WHERE (l_suppkey + l_linenumber) % 4 > 0 OR l_suppkey % 2 = 0 GROUP BY 1"""
+    """SELECT l_orderkey AS member, CASE WHEN count(DISTINCT l_linenumber) = 1 + max(l_linenumber) - min(l_linenumber) THEN ['I','II','III','IV','V','VI','VII'][min(l_linenumber)] ||
+ CASE WHEN max(l_linenumber) > min(l_linenumber) THEN '-' || ['I','II','III','IV','V','VI','VII'][max(l_linenumber)] ELSE '' END END AS label FROM lineitem GROUP BY 1"""
 )
 def coverage_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A gapless run of numbers as a range in Roman numerals; null if there is a gap."""
     from lakemill.functions.text import roman
 
-    rows = table(spark, sf_dir, "lineitem").where("(l_suppkey + l_linenumber) % 4 > 0 or l_suppkey % 2 = 0")
-    found = rows.groupBy(F.col("l_suppkey").alias("member")).agg(F.min("l_linenumber").alias("low"), F.max("l_linenumber").alias("high"), F.countDistinct("l_linenumber").alias("n"))
+    rows = table(spark, sf_dir, "lineitem")
+    found = rows.groupBy(F.col("l_orderkey").alias("member")).agg(F.min("l_linenumber").alias("low"), F.max("l_linenumber").alias("high"), F.countDistinct("l_linenumber").alias("n"))
     label = F.when(F.col("high") > F.col("low"), F.concat_ws("-", roman(F.col("low")), roman(F.col("high")))).otherwise(roman(F.col("low")))
     return found.select("member", F.when(F.col("n") == F.col("high") - F.col("low") + 1, label).alias("label"))
 

@@ -81,6 +81,26 @@ def government_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.roster(memberships, rows.withColumn("last", F.date_add("first", 400)), periods)
 
 
+@query(
+    f"""WITH {b.SPANS_SQL}, ps(period, label, first, last) AS (VALUES {_PERIODS_SQL}),
+ posts AS (SELECT l_suppkey AS member, l_partkey % 7 AS role, CAST(l_shipdate AS DATE) AS first, CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS last FROM lineitem WHERE l_linenumber = 7 AND l_quantity >= 49),
+ c AS (SELECT DISTINCT p.period, m.member, role = 0 AS counts FROM (SELECT *, member % 2 AS label FROM spans) m JOIN ps p ON m.label = p.label AND (p.last IS NULL OR m.first <= p.last) AND (m.last IS NULL OR m.last >= p.first)
+   JOIN posts x ON x.member = m.member AND (m.last IS NULL OR x.first <= m.last) AND x.last >= m.first AND (p.last IS NULL OR x.first <= p.last) AND x.last >= p.first),
+ g AS (SELECT period, count(*) FILTER (counts) AS n, string_agg(member::VARCHAR, ', ' ORDER BY member) FILTER (counts) AS holders, string_agg(member::VARCHAR, ', ' ORDER BY member) FILTER (NOT counts) AS others, max(CASE WHEN counts THEN member END) AS one FROM c GROUP BY 1)
+ SELECT ps.period, CASE WHEN n = 1 THEN one END AS holder, nullif(concat_ws('; ', CASE WHEN n > 1 THEN n || ' possible: ' || holders END, 'another role: ' || others), '') AS warning FROM ps LEFT JOIN g USING (period)"""
+)
+def head_of_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one member who belonged to a period and held its highest post in it; none of several, which is told, as
+    are those who held the post in another role."""
+    periods = spark.createDataFrame(PERIODS, "period string, label bigint, first string, last string").withColumns({"first": F.col("first").cast("date"), "last": F.col("last").cast("date")})
+    memberships = b.spans(spark, sf_dir).withColumn("label", F.col("member") % 2)
+    rows = table(spark, sf_dir, "lineitem").where("l_linenumber = 7 and l_quantity >= 49")
+    day = F.col("l_shipdate").cast("date")
+    role = F.when(F.col("l_partkey") % 7 == 0, " Head ").otherwise("on mission")
+    posts = rows.select(F.col("l_suppkey").alias("member"), F.lit("head").alias("post"), role.alias("role"), day.alias("first"), F.date_add(day, F.col("l_quantity").cast("int")).alias("last"))
+    return normalize.sole_holder(memberships, posts, periods, "head", "head")
+
+
 @query(
     """WITH a AS (SELECT l_orderkey AS id, l_returnflag || l_linestatus AS code, l_shipdate AS d, l_linenumber * 10000000 + l_partkey AS pos FROM lineitem),
  s AS (SELECT id, arg_max(CASE code WHEN 'AF' THEN 'adopted' WHEN 'RF' THEN 'rejected' ELSE 'shuttle' END, (d, -pos)) AS status FROM a WHERE code IN ('AF', 'RF', 'NF') GROUP BY 1)

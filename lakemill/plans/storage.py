@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakemill.operators.lineage import shared_folder
 from lakemill.operators.merge import additive_folds
 from lakemill.plans.registry import query, table
-from lakemill.sources import documents, sinks
+from lakemill.sources import archives, documents, sinks
 from lakemill.streaming import incremental
 
 
@@ -52,6 +52,37 @@ def read_back_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("id", "name", F.size("tags").cast("long").alias("n_tags")).unionByName(found)
 
 
+@query(
+    """WITH n AS (SELECT o_custkey AS k, count(*) FILTER (o_orderstatus <> 'P') AS n FROM orders GROUP BY 1)
+ SELECT 'c' || c_custkey || '.pivot.json' AS file, CASE WHEN c_mktsegment = 'BUILDING' THEN 'raw' WHEN c_mktsegment = 'FURNITURE' THEN 'unknown' ELSE 'pivot' END AS form, coalesce(n, 0) AS n FROM customer LEFT JOIN n ON k = c_custkey
+ UNION ALL SELECT 'broken' || c_custkey || '.pivot.json', 'no JSON', NULL FROM customer WHERE c_nationkey = 3 UNION ALL SELECT 'list' || c_custkey || '.pivot.json', 'no object', NULL FROM customer WHERE c_nationkey = 4
+ UNION ALL SELECT 'groups.json', 'envelope', (SELECT count(*) FROM nation)"""
+)
+def document_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file for each document in folders below folders, read back whatever its form:
+    its kind and how many of its votes are objects; broken files and lists are told, dotted names skipped, and a list in
+    an envelope is taken out."""
+    folder = shared_folder(spark, "files")
+    archives.register(spark)
+    vote = F.when(F.col("o_orderstatus") == "P", F.parse_json(F.lit('"x"'))).otherwise(F.to_variant_object(F.struct("o_orderkey")))
+    votes = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.collect_list(vote).alias("votes"))
+    rows = table(spark, sf_dir, "customer").join(votes, F.col("k") == F.col("c_custkey"), "left")
+    pivot, raw = F.col("c_mktsegment").isin("BUILDING", "FURNITURE"), F.col("c_mktsegment") == "BUILDING"
+    doc = F.to_json(F.struct(F.when(~pivot, "1").alias("schema_version"), F.when(~pivot, F.col("c_custkey")).alias("id"), F.when(raw, F.col("c_name")).alias("slug"), "votes"))
+    file = lambda kind, content: F.struct(F.concat(F.lit("n"), "c_nationkey", F.lit("/"), F.lit(kind), "c_custkey", F.lit(".pivot.json")).alias("name"), content.cast("binary").alias("content"))
+    nation = F.col("c_nationkey")
+    files = F.array(file("c", doc), file(".c", doc), F.when(nation == 3, file("broken", F.lit('{"id":'))), F.when(nation == 4, file("list", F.lit("[1]"))))
+    rows.select(F.inline(F.array_compact(files))).write.format("lakemill_files").mode("append").save(folder)
+    groups = table(spark, sf_dir, "nation").agg(F.to_json(F.struct(F.collect_list(F.struct("n_nationkey")).alias("groupes"))).cast("binary").alias("content"))
+    groups.select(F.lit("config/groups.json").alias("name"), "content").write.format("lakemill_files").mode("append").save(folder)
+    docs, unreadable = documents.document_files(spark, folder, "*.pivot.json")
+    counts = documents.entries_of(docs, "votes").groupBy("file").agg(F.count("*").alias("n"))
+    found = documents.routed(docs).join(counts, "file", "left").select("file", F.coalesce("form", F.lit("unknown")).alias("form"), F.coalesce("n", F.lit(0)).alias("n"))
+    envelope = documents.entries_of(documents.document_files(spark, folder, "groups.json")[0], "groupes")
+    told = envelope.groupBy("file").agg(F.count("*").alias("n")).select("file", F.lit("envelope").alias("form"), "n")
+    return found.union(told).union(unreadable.select("file", F.col("reason").alias("form"), F.lit(None).cast("long").alias("n")))
+
+
 @query("SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0")
 def resumed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a resumed run has still to do; a manifest that is written again names its keys once."""

@@ -212,13 +212,12 @@ def gate_low_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH n AS (SELECT o_custkey AS k, count(*) AS n, count(*) FILTER (o_orderkey % 4 > 0) AS n_ids, bool_or(o_orderkey % 97 = 0) AS failed FROM orders WHERE o_custkey % 3 > 0 OR o_orderkey % 4 > 0 GROUP BY 1)
+    """WITH n AS (SELECT o_custkey AS k, count(*) AS n, count(*) FILTER (o_orderkey % 4 > 0) AS n_ids, bool_or(o_orderkey % 97 = 0) AS failed FROM orders GROUP BY 1)
  SELECT count(*) AS n_documents, count(*) FILTER (0 < n_ids AND n_ids < n) AS n_mixed, count(*) FILTER (n_ids = n) AS n_whole, count(*) FILTER (failed) AS n_failed, max(n_ids) = 0 AS none_at_all FROM n"""
 )
 def gate_id_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q05: whether entries carry ids: mixed documents, failed fetches, and the alarm that none does at all."""
-    rows = table(spark, sf_dir, "orders").where("o_custkey % 3 > 0 or o_orderkey % 4 > 0")
-    docs = rows.groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if(F.col("o_orderkey") % 4 > 0).alias("n_ids"), F.bool_or(F.col("o_orderkey") % 97 == 0).alias("failed"))
+    docs = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if(F.col("o_orderkey") % 4 > 0).alias("n_ids"), F.bool_or(F.col("o_orderkey") % 97 == 0).alias("failed"))
     return gate.id_coverage(docs)
 
 

@@ -198,7 +198,19 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy(F.date_trunc("day", "ts").alias("day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
-@query("SELECT p_partkey, p_name[1] || '. ' || string_split(p_name, ' ')[-1] AS short FROM part WHERE len(string_split(p_name, ' ')) = 2")
+@query(
+    """WITH p AS (SELECT p_partkey, p_name, string_split(p_name, ' ') AS w, CASE WHEN p_size % 10 > 0 THEN p_retailprice / (p_size * 100) END AS share FROM part)
+ SELECT p_partkey, upper(w[1][1] || coalesce(w[2][1], '')) AS short, w[-1] AS last, CASE WHEN share IS NULL THEN 'N/D' ELSE CAST(floor(share * 100 + 0.5) AS BIGINT) || ' %' END AS share FROM p WHERE p_name <> ''
+ UNION ALL SELECT p_partkey, '?', '?', CASE WHEN share IS NULL THEN 'N/D' ELSE CAST(floor(share * 100 + 0.5) AS BIGINT) || ' %' END FROM p WHERE coalesce(p_name, '') = ''"""
+)
 def short_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Initials and last word."""
-    return table(spark, sf_dir, "part").where(F.size(F.split("p_name", " ")) == 2).select("p_partkey", t.initials(F.col("p_name")).alias("short"))
+    """Initials of the first two words, the last word, and a share as per cent, of every row."""
+    share = F.when(F.col("p_size") % 10 > 0, F.col("p_retailprice") / (F.col("p_size") * 100))
+    return table(spark, sf_dir, "part").select("p_partkey", t.short_name(F.col("p_name")).alias("short"), t.last_name(F.col("p_name")).alias("last"), t.percentage(share).alias("share"))
+
+
+@query("SELECT o_orderkey, year(o_orderdate) AS year, strftime(o_orderdate, '%d/%m/%Y') AS day, epoch_ms(o_orderdate) AS ms FROM orders")
+def shown_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The year, the day as it is shown, and milliseconds for sorting."""
+    d = F.col("o_orderdate")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.year(d).cast("long").alias("year"), F.date_format(d, "dd/MM/yyyy").alias("day"), F.unix_millis(d.cast("timestamp")).alias("ms"))

@@ -399,12 +399,50 @@ class Xz(DataSource):
         return XzWriter(dict(self.options), overwrite)
 
 
+# ---------------------------------------------------------------- one file for each document
+
+class FilesWriter(StagedWriter):
+    """Rows of (name, content), each a file. A file is written beside its place and then moved there, so that it is there
+    whole or not at all; names may have folders. What a task that failed has moved is whole too and is replaced by the
+    next attempt."""
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        system, at, _ = self.folder()
+        made: set[str] = set()
+        for batch in iterator:
+            for name, content in zip(batch["name"].to_pylist(), batch["content"].to_pylist(), strict=True):
+                target = posixpath.join(at, name)
+                folder = posixpath.dirname(target)
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                draft = posixpath.join(folder, f".{posixpath.basename(name)}.{uuid4().hex}.draft")
+                with system.open_output_stream(draft) as out:
+                    out.write(content or b"")
+                system.move(draft, target)
+        return Written([])
+
+
+class Files(DataSource):
+    """df.write.format("lakemill_files").save(path) for rows of (name, content); Spark's own sources read them."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "lakemill_files"
+
+    def schema(self) -> str:
+        return "name string, content binary"
+
+    def writer(self, schema: StructType, overwrite: bool) -> FilesWriter:
+        return FilesWriter(dict(self.options), overwrite)
+
+
 # ---------------------------------------------------------------- for callers
 
 def register(spark: SparkSession) -> None:
-    """Make both sources known to a session, and the package to its workers."""
+    """Make the sources known to a session, and the package to its workers."""
     ship(spark)
-    for source in (Zip, Xz):
+    for source in (Zip, Xz, Files):
         spark.dataSource.register(source)
 
 

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.operators.nodes import at, is_object, listed, parsed
+
 CORRUPT = "_corrupt"
 
 
@@ -35,6 +37,27 @@ def json_documents(spark: SparkSession, path: str, schema: T.StructType, pattern
     return rows.where(~broken).select(*[f"d.{f.name}" for f in schema.fields], "file"), rows.where(broken).select("file", "raw")
 
 
+def document_files(spark: SparkSession, path: str, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """(documents, unreadable) of files below a folder, whatever form the documents have: (file, v) with v as VARIANT, and
+    (file, reason) of files that are no JSON or no object. Names that begin with a dot are skipped."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
+    rows = files.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), parsed(F.col("value")).alias("v")).where(~F.startswith("file", F.lit(".")))
+    good = is_object(F.col("v"))
+    return rows.where(good), rows.where(~good).select("file", F.when(F.col("v").isNull(), "no JSON").otherwise("no object").alias("reason"))
+
+
+def routed(docs: DataFrame) -> DataFrame:
+    """docs(file, v) with form: `pivot` for a document with a version and an id, `raw` for one with a slug, else null,
+    for the caller to tell."""
+    said = lambda name: F.coalesce(F.to_json(at(F.col("v"), name)) != "null", F.lit(False))
+    return docs.withColumn("form", F.when(said("schema_version") & said("id"), "pivot").when(said("slug"), "raw"))
+
+
+def entries_of(docs: DataFrame, name: str) -> DataFrame:
+    """(file, entry) of the objects in a list of each document, also of the list in an envelope; other entries go."""
+    return docs.select("file", F.explode(F.filter(listed(at(F.col("v"), name)), is_object)).alias("entry"))
+
+
 def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Lines of JSON, plain or compressed (gz, zst); broken lines are left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
