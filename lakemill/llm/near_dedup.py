@@ -12,9 +12,9 @@ differences do), and the minwise tokens of the difference name its children. A t
 inside is missed, by less than about half of the node, so children shrink, and those of unrelated documents are empty.
 
 A pair of similarity s survives a level with probability s, so one tree of depth d brings it together with probability
-s^d and all trees miss it with (1 - s^d)^trees: with ten trees of four levels a pair of 0.8 whose nodes are all large is
-missed once in 200, one in small nodes once in ten million. So it is for a pair without a head; a head meets its members
-at every level. In a node of n members that are each a share of a away from the pivot, a pair that differs in d agrees
+s^d and all trees miss it with (1 - s^d)^trees: with ten trees a pair of 0.8 in small nodes is missed once in ten million.
+One whose nodes are large at all three levels, which branch on in five of the trees, is missed once in 36 (0.85: once in
+115, 0.9: once in 660). So it is for a pair without a head; a head meets its members at every level. In a node of n members that are each a share of a away from the pivot, a pair that differs in d agrees
 in (2a - d) / (2a + d) of its differences; a dozen draws in each of the trees' nodes find it. Candidates are confirmed on
 the full sets.
 """
@@ -142,9 +142,9 @@ def _alike(a: Column, b: Column, most: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= most
 
 
-def candidates(classes: DataFrame, trees: int, depth: int, small: int, bits: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def candidates(classes: DataFrame, trees: int, depth: int, small: int, bits: int, branched: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """What to compare: (stars, few, many). stars(member, head) pairs documents with a node's heads; few(node, id, sketch)
-    are small nodes, many those that are large at the last level, None without any.
+    are small nodes, many those of the first `branched` trees that are large at the last level, None without any.
 
     classes: (id, sketch, tokens), one row for each distinct set.
     """
@@ -162,7 +162,7 @@ def candidates(classes: DataFrame, trees: int, depth: int, small: int, bits: int
             break
         stars.append(cut(_star(_with_middles(large, classes), bits).distinct()))
         if level + 1 == depth:
-            many = large.select("node", "id", "sketch")
+            many = large.where(F.col("tree") < branched).select("node", "id", "sketch")
         else:
             walkers = large.select("id", "sketch", "tree", "node").join(classes.select("id", "tokens"), "id")
             walkers = walkers.select("id", "sketch", "tree", F.xxhash64("node", token(level + 1)).alias("node"))
@@ -220,15 +220,20 @@ def _with_middles(large: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """rows(node, ...) of nodes that hold more than one component, with members, the size of the node."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    told = sizes.select("node", "members", every_salt())
+    """rows(node, ...) of nodes that hold more than one component, with members, the size of the node, main, its largest
+    component, and rest, how many rows are of others."""
+    parts = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
+    shape = parts.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("main")).where("main.n < members")
+    told = shape.select("node", "members", F.col("main.component").alias("main"), (F.col("members") - F.col("main.n")).alias("rest"), every_salt())
     return rows.withColumn("salt", salt_of("id")).join(told, ["node", "salt"]).drop("salt")
 
 
 #: How many drawn members say what a node has in common, and how many children a document has.
 VOTERS, DRAWS = 15, 12
 
+#: Where no more documents than this are outside a node's main component, those inside go to the others' children only.
+FEW_OTHERS = 2000
+
 
 def _pivots(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, pivot): the shingles that more than half of some members of each node hold, one drawn from each part.
@@ -245,30 +250,53 @@ def _pivots(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return members.groupBy("node").applyInArrow(run, "node bigint, pivot array<int>")
 
 
-def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
-    """rows of the children that large nodes branch into, by the minwise tokens of each document's difference."""
-    pivots = _pivots(rows, sets).select("node", "pivot", every_salt())
-    met = rows.drop("members").join(sets.select("id", "short"), "id").withColumn("salt", salt_of("id")).join(pivots, ["node", "salt"])
+def _tokens(met: DataFrame, turn: int) -> DataFrame:
+    """met(node, id, sketch, component, short, pivot, wanted) with draws and tokens, the minwise tokens of each document's
+    difference to the pivot, all of them or those that are wanted."""
     kept = ["node", "id", "sketch", "component"]
     odd = _mix(np.arange(SEED + 1000 * (turn + 1), SEED + 1000 * (turn + 1) + DRAWS, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = []
-            for own, pivot in zip(batch["short"], batch["pivot"], strict=True):
-                x, y = own.values.to_numpy(), pivot.values.to_numpy()
-                apart = np.setxor1d(x, y, assume_unique=True)
+            draws, tokens = [], []
+            for own, pivot, wanted in zip(batch["short"], batch["pivot"], batch["wanted"], strict=True):
+                x = own.values.to_numpy()
+                apart = np.setxor1d(x, pivot.values.to_numpy(), assume_unique=True)
                 apart = (apart if len(apart) else x).view(np.uint32).astype(np.uint64)
                 least = np.full(DRAWS, np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(apart), 2048):
                     np.minimum(least, (odd[:, None] * apart[None, at : at + 2048]).min(axis=1), out=least)
-                tokens.append(_signed(least))
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(tokens, pa.list_(pa.int64()))], [*kept, "tokens"])
+                least = _signed(least)
+                chosen = np.arange(DRAWS, dtype=np.int32) if wanted.values is None else np.flatnonzero(np.isin(least, wanted.values.to_numpy())).astype(np.int32)
+                draws.append(chosen)
+                tokens.append(least[chosen])
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(draws, pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int64()))], [*kept, "draws", "tokens"])
+
+    schema = ", ".join(f"{c} {met.schema[c].dataType.simpleString()}" for c in kept)
+    return met.select(*kept, "short", "pivot", "wanted").mapInArrow(run, f"{schema}, draws array<int>, tokens array<bigint>")
+
+
+def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
+    """rows of the children that large nodes branch into, by the minwise tokens of each document's difference.
+
+    What a node's main component holds is linked already. So its documents go only to children that others of the node
+    have, unless these are very many.
+    """
+    pivots = cut(_pivots(rows, sets))
+    short = sets.select("id", "short")
+
+    def met(some: DataFrame, told: DataFrame) -> DataFrame:
+        dealt = told.select("node", "pivot", "wanted", every_salt())
+        return some.select("node", "id", "sketch", "component").join(short, "id").withColumn("salt", salt_of("id")).join(dealt, ["node", "salt"])
 
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
-    found = met.select(*kept, "short", "pivot").mapInArrow(run, f"{schema}, tokens array<bigint>")
-    found = found.select("node", "id", "sketch", "component", F.posexplode("tokens").alias("draw", "token"))
-    return found.select(F.xxhash64("node", "draw", "token").alias("node"), "id", "sketch", "component")
+    inside = F.col("component") == F.col("main")
+    every = F.lit(None).cast("array<bigint>")
+    others = cut(_tokens(met(rows.where(~inside), pivots.withColumn("wanted", every)), turn))
+    asked = rows.where(F.col("rest") <= FEW_OTHERS).select("node").distinct()
+    wanted = others.join(asked, "node", "left_semi").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("wanted"))
+    found = others.union(_tokens(met(rows.where(inside), pivots.join(wanted, "node", "left")), turn))
+    found = found.select("node", "id", "sketch", "component", F.inline(F.arrays_zip("draws", "tokens")))
+    return found.select(F.xxhash64("node", "draws", "tokens").alias("node"), "id", "sketch", "component")
 
 
 def _branched(many: DataFrame, sets: DataFrame, small: int, rounds: int = 40) -> list[DataFrame]:
@@ -280,7 +308,7 @@ def _branched(many: DataFrame, sets: DataFrame, small: int, rounds: int = 40) ->
     found = []
     for turn in range(rounds):
         rows = cut(_mixed(_children(rows, sets, turn)))
-        found.append(rows.where(F.col("members") <= small).drop("members"))
+        found.append(rows.where(F.col("members") <= small).select("node", "id", "sketch", "component"))
         rows = rows.where(F.col("members") > small)
         if rows.isEmpty():
             return found
@@ -333,7 +361,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, pe
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, trees: int = 10, depth: int = 4, small: int = 16, bits: int = 22
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, trees: int = 10, depth: int = 3, small: int = 16, bits: int = 22, branched: int = 5
 ) -> DataFrame:
     """Groups of near copies: (doc_id, n_shingles, component_id, kept), one row for each row of docs.
 
@@ -346,7 +374,8 @@ def near_groups(
     connection needs.
 
     small: most documents of a node that is compared exhaustively. bits: in how many of 64 sketch bits a candidate
-    pair may differ; at similarity 0.8 one pair in a million differs in more than 22.
+    pair may differ; at similarity 0.8 one pair in a million differs in more than 22. branched: in how many trees large
+    last nodes branch on.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.make_valid_utf8(F.col(text_col)).alias("text"))
@@ -360,7 +389,7 @@ def near_groups(
     sets = cut(own.groupBy("digest", "id").agg(F.first("n_shingles").alias("n_shingles"), F.first("short").alias("short")).select("id", "n_shingles", "short"))
     rows = cut(wide.select("id", "n_shingles", "digest"))
     del wide, worded, own
-    stars, few, many = candidates(classes, trees, depth, small, bits)
+    stars, few, many = candidates(classes, trees, depth, small, bits, branched)
     texts = texts.where("id is not null")
     first = components(_contracted(cut(confirmed(stars, sets, texts, width, percent)))).withColumnRenamed("node", "id")
     labelled = lambda nodes: nodes.join(first, "id", "left").select("node", "id", "sketch", F.coalesce("component", "id").alias("component"))
