@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -68,6 +68,20 @@ def errors(docs: DataFrame, key: str, schema: Schema) -> DataFrame:
     return docs.select(F.col(key).cast("string").alias("key"), F.explode(found).alias("e")).select("key", "e.path", "e.rule", "e.blocking")
 
 
+def entry_errors(rows: DataFrame, key: str, schema: Schema, places: Mapping[str, Column]) -> DataFrame:
+    """errors() of lists whose entries are rows of their own: places gives the place of a row in each list, null for a
+    row that is not in it. No list is put together, however long it is."""
+    entry = {c: F.col(c) for c in rows.columns}
+
+    def told(r: Entry) -> Column:
+        at = places[r.list]
+        path = F.concat(F.lit(f"{r.list}["), at.cast("string"), F.lit(f"].{r.part}"))
+        return F.when(at.isNotNull() & F.coalesce(r.broken(entry), F.lit(False)), F.struct(path.alias("path"), F.lit(r.rule).alias("rule"), F.lit(r.blocking).alias("blocking")))
+
+    found = F.array_compact(F.array(*[told(r) for r in schema.entries if r.list in places]))
+    return rows.select(F.col(key).cast("string").alias("key"), F.inline(found))
+
+
 def repeated(docs: DataFrame, key: str) -> DataFrame:
     """Keys that more than one row has, as findings: the join-like rule that no projection can test."""
     found = docs.groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("n")).where("n > 1")

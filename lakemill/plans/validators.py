@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemill.operators import gate, pivot_rules
@@ -17,20 +17,32 @@ POSITIONS = ("for", "against", "abstain", "nonvoting", "excused")
 # ------------------------------------------------------------------------------------------------ nested documents
 
 
-def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document for each member: scalars, votes and mandates, in a stated order."""
+def profiles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(documents, entries): the scalars of each member's document and whether it has votes, and every entry of its lists
+    as a row, with its place in the votes and in the mandates."""
     lines = table(spark, sf_dir, "lineitem")
-    vote = F.struct(
-        F.struct(*b.ORDER, "l_orderkey").alias("at"), F.when(F.col("l_orderkey") % 13 > 0, F.concat(F.lit("an:"), F.year("l_shipdate"), F.lit(":"), "l_orderkey")).alias("ballot_id"),
+    order = [*b.ORDER, "l_orderkey"]
+    place = lambda *keys: F.row_number().over(Window.partitionBy("l_suppkey", *keys).orderBy(*order)) - 1
+    held = F.col("l_linenumber") < 3
+    rows = lines.withColumns({"__vote": place(), "__mandate": place(held)})
+    entries = rows.select(
+        F.col("l_suppkey").alias("id"), "__vote", F.when(held, F.col("__mandate")).alias("__mandate"),
+        F.when(F.col("l_orderkey") % 13 > 0, F.concat(F.lit("an:"), F.year("l_shipdate"), F.lit(":"), "l_orderkey")).alias("ballot_id"),
         F.when(F.col("l_partkey") % 17 == 0, "maybe").otherwise(F.expr(b.POSITION)).alias("position"), (F.col("l_orderkey") % 29 == 0).alias("forced"),
+        F.col("l_shipdate").alias("first"), F.when(F.col("l_linestatus") == "F", F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_linenumber") - 2).cast("int"))).alias("last"), (F.col("l_returnflag") == "A").alias("active"),
     )
-    mandate = F.struct(F.struct(*b.ORDER, "l_orderkey").alias("at"), F.col("l_shipdate").alias("first"), F.when(F.col("l_linestatus") == "F", F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_linenumber") - 2).cast("int"))).alias("last"), (F.col("l_returnflag") == "A").alias("active"))
-    own = lines.groupBy(F.col("l_suppkey").alias("member")).agg(F.array_sort(F.collect_list(vote)).alias("votes"), F.array_sort(F.collect_list(F.when(F.col("l_linenumber") < 3, mandate))).alias("mandates"))
-    rows = table(spark, sf_dir, "supplier").join(own, F.col("s_suppkey") == F.col("member"), "left")
-    return rows.select(
+    voted = lines.select(F.col("l_suppkey").alias("s_suppkey")).distinct().withColumn("votes", F.lit(True))
+    docs = table(spark, sf_dir, "supplier").join(voted, "s_suppkey", "left").select(
         F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 4 > 0, F.col("s_name")).alias("name"), F.when(F.col("s_suppkey") % 5 > 0, "v1").alias("schema_version"),
-        F.when(F.col("s_suppkey") % 3 == 0, "guess").otherwise("roster").alias("provenance"), "votes", "mandates",
+        F.when(F.col("s_suppkey") % 3 == 0, "guess").otherwise("roster").alias("provenance"), "votes",
     )
+    return docs, entries
+
+
+def profile_findings(docs: DataFrame, entries: DataFrame) -> DataFrame:
+    schema = profile_schema()
+    places = {"votes": F.col("__vote"), "mandates": F.col("__mandate")}
+    return v.errors(docs, "id", v.Schema(schema.name, schema.fields)).unionByName(v.entry_errors(entries, "id", schema, places))
 
 
 def profile_schema() -> v.Schema:
@@ -63,7 +75,7 @@ _PROFILES_SQL = f"""e AS (SELECT l_suppkey AS id, CASE WHEN l_partkey % 17 = 0 T
 @query(f"WITH {_PROFILES_SQL} SELECT * FROM found")
 def profile_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules on a person's document and on each entry of its lists, told by path."""
-    return v.errors(profiles(spark, sf_dir), "id", profile_schema())
+    return profile_findings(*profiles(spark, sf_dir))
 
 
 @query(
@@ -72,8 +84,8 @@ def profile_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def validation_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The validator's messages of each document, those without one too."""
-    docs = profiles(spark, sf_dir)
-    return v.by_document(docs, "id", v.errors(docs, "id", profile_schema()))
+    docs, entries = profiles(spark, sf_dir)
+    return v.by_document(docs, "id", profile_findings(docs, entries))
 
 
 @query(
