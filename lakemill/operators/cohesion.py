@@ -99,10 +99,13 @@ def member_gaps(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots:
     merged = islands(spans, ["member"], "first", "last")
     placed = members.join(merged, "member", "left").withColumn("last", F.coalesce("last", F.lit("9999-12-31").cast("date"))).withColumn("first", F.coalesce("first", F.lit("0001-01-01").cast("date")))
     marks = placed.select("grp", "member", F.col("last").alias("date"), F.lit(1).alias("sign")).union(placed.select("grp", "member", F.date_sub("first", 1).alias("date"), F.lit(-1).alias("sign")))
-    # Of marks with equal dates the ballots come first, so a mark sees all up to its own day.
-    seen = marks.select("grp", "date", "member", "sign", F.lit(None).cast("long").alias("upto"), F.lit(1).alias("kind")).union(upto.select("grp", "date", F.lit(None), F.lit(None), "upto", F.lit(0)))
+    # Marks fall on few dates, however many members a group has, so the window runs over distinct dates. Of a date's rows
+    # the ballots come first, so a mark sees all up to its own day.
+    asked = marks.select("grp", "date").distinct().select("grp", "date", F.lit(None).cast("long").alias("upto"), F.lit(1).alias("kind"))
+    seen = asked.union(upto.select("grp", "date", "upto", F.lit(0)))
     filled = seen.withColumn("upto", F.coalesce(F.last("upto", True).over(Window.partitionBy("grp").orderBy("date", "kind").rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
-    eligible = filled.where("kind = 1").groupBy("grp", "member").agg(F.sum(F.col("sign") * F.col("upto")).cast("long").alias("n_ballots"))
+    reached = filled.where("kind = 1").select("grp", "date", "upto")
+    eligible = marks.join(reached, ["grp", "date"]).groupBy("grp", "member").agg(F.sum(F.col("sign") * F.col("upto")).cast("long").alias("n_ballots"))
     own = last.where("allowed").join(group.select("grp", "ballot", "majority"), ["grp", "ballot"])
     own = own.groupBy("grp", "member").agg(F.count_if(F.col("position").isin(*CHOICES)).alias("n_present"), F.count_if(F.col("position") == F.col("majority")).alias("n_aligned"))
     rows = eligible.join(own, ["grp", "member"], "left").fillna(0, ["n_present", "n_aligned"]).join(means, "grp")
