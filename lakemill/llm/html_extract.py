@@ -45,6 +45,12 @@ FURNITURE_WORDS = frozenset(
 )
 #: What an article element's own class may say of it: that it is not the article, but a reader's or another one.
 OTHERS = frozenset("comment comments replies respond related promo promoted sponsored".split())
+#: Words of furniture that do not count for an element that holds most of a page's text, as a form around a whole page or
+#: a "share-price-report" does. A discussion may well be longer than what it is about.
+WEAK_WORDS = FURNITURE_WORDS - OTHERS - {"discussion"}
+#: What is not shown.
+HIDDEN = "hidden-element"
+_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])(?!\s*=\s*[\"']?until)|display\s*:\s*none", re.IGNORECASE)
 #: Furniture unless it stands inside the article.
 HEADS = frozenset("header".split())
 MAIN = frozenset("article main".split())
@@ -73,7 +79,34 @@ def read(page: str) -> Iterator[tuple[str, str, str]]:
                 yield "close", f"/{tag}", tag
             else:
                 names = {w for found in _NAMES.findall(m["rest"]) for w in re.split(r"[^a-z0-9]+|[0-9]{3,}", "".join(found).lower()) if w} if "=" in m["rest"] else ()
-                yield "open", ".".join([tag, *sorted(names)]), tag
+                hidden = [HIDDEN] if ("idden" in m["rest"] or "none" in m["rest"]) and tag != "input" and _HIDDEN.search(_NAMES.sub("", m["rest"])) else []
+                yield "open", ".".join([tag, *sorted(names), *hidden]), tag
+
+
+def weighed(tokens: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    """read() tokens in which forms and elements of weak words that hold most of the text are plain elements."""
+    doubtful = {i for i, (kind, symbol, tag) in enumerate(tokens) if kind == "open" and (tag == "form" or not WEAK_WORDS.isdisjoint(symbol.split(".")[1:]))}
+    if not doubtful:
+        return tokens
+    opened: dict[str, list[int]] = {}
+    weight, starts, out = 0, {}, list(tokens)
+    spans: list[tuple[int, int]] = []
+    for i, (kind, _, value) in enumerate(tokens):
+        if kind == "text":
+            weight += len(value.strip())
+        elif kind == "open" and value not in VOID:
+            opened.setdefault(value, []).append(i)
+            starts[i] = weight
+        elif kind == "close" and opened.get(value):
+            first = opened[value].pop()
+            if first in doubtful:
+                spans.append((first, weight - starts[first]))
+    spans += [(i, weight - starts[i]) for own in opened.values() for i in own if i in doubtful]
+    for i, own in spans:
+        if 2 * own > weight:
+            tag, *words = tokens[i][1].split(".")
+            out[i] = "open", ".".join(["div" if tag == "form" else tag, *(w for w in words if w not in WEAK_WORDS)]), tokens[i][2]
+    return out
 
 
 #: What a text is: furniture or template, outside the article element, or inside it.
@@ -96,7 +129,9 @@ class Place:
         if found is None:
             tag, *words = symbol.split(".")
             names, gone, inside = set(words), self.gone, self.inside
-            if tag in MAIN and not names & OTHERS:
+            if HIDDEN in names or tag == "article" and self.article:
+                gone = True  # an article inside an article is what a reader says of it
+            elif tag in MAIN and not names & OTHERS:
                 inside = True
             elif tag not in ("html", "body"):
                 gone = gone or tag in FURNITURE or bool(names & FURNITURE_WORDS) or not inside and (tag in HEADS or bool(names & HEADS))
@@ -127,7 +162,7 @@ def placed(page: str) -> Iterator[tuple[str, str, str]]:
             if tag in BLOCK:
                 blocks.pop()
 
-    for kind, symbol, value in read(page):
+    for kind, symbol, value in weighed(list(read(page))):
         if kind == "open":
             if value in BLOCK and blocks:
                 top = stack[blocks[-1]][0]
@@ -414,7 +449,9 @@ def text_of(page: str, automaton: Automaton | None = None, found: list[int] | No
             if symbol == SLOT:
                 kind = kind_of(place) if state is None else found[state]
         marked.append(kind)
-    wanted = max(FREE, max(marked, default=FREE))
+    # The article element's text, unless it is but a teaser beside what the page says.
+    weight = {kind: sum(len(v.strip()) for (s, _, v), k in zip(tokens, marked, strict=True) if k == kind and s == SLOT) for kind in (FREE, ARTICLE)}
+    wanted = ARTICLE if weight[ARTICLE] and 3 * weight[ARTICLE] >= weight[FREE] else FREE
     blocks: list[str] = []
     run: list[str] = []
 

@@ -131,3 +131,17 @@ def test_bad_pages_take_linear_time():
 def test_long_repeats_are_folded():
     unit = [f"t{i}" for i in range(50)]
     assert h.folded(unit * 3) == (("+", tuple(unit)),)
+
+
+def test_what_holds_most_of_a_page_is_the_article():
+    """Teasers below the text, misleading class words, a form around the page, and what is not shown."""
+    text = "A sentence of the article. " * 8
+    said = " ".join(text.split())
+    assert h.text_of(f"<div class=content><p>{text}</p></div><article><a>tease one</a></article><article>tease two</article>") == said
+    for name in ("notice-of-award post", "share-price-report", "banner-story"):
+        assert h.text_of(f'<div class="{name}"><p>{text}</p></div><nav>menu</nav><div class=share>share</div>') == said
+    assert h.text_of(f"<form id=aspnetForm><p>{text}</p><input value=x></form>") == said
+    assert h.text_of(f"<p>{text}</p><div hidden>a</div><div style='color:red; display: none'>b</div><p class='hidden-gem'>c</p>") == f"{said}\nc"
+    assert h.text_of(f"<article><p>{text}</p><section><article><p>reader</p></article></section></article>") == said
+    # Furniture stays furniture: a short form, a long discussion, a share box.
+    assert h.text_of(f"<p>{text}</p><form>sign up</form><div class=comments>{f'<p>{text}</p>' * 5}</div><div class=share>share</div>") == said
