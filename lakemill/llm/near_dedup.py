@@ -14,9 +14,9 @@ inside is missed, by less than about half of the node, so children shrink, and t
 A pair of similarity s survives a level with probability s, so one tree of depth d brings it together with probability
 s^d and all trees miss it with (1 - s^d)^trees: with ten trees a pair of 0.8 in small nodes is missed once in ten million.
 One whose nodes are large at all three levels, which branch on in five of the trees, is missed once in 36 (0.85: once in
-115, 0.9: once in 660). So it is for a pair without a head; a head meets its members at every level. In a node of n members that are each a share of a away from the pivot, a pair that differs in d agrees
-in (2a - d) / (2a + d) of its differences; a dozen draws in each of the trees' nodes find it. Candidates are confirmed on
-the full sets.
+115, 0.9: once in 660). So it is for a pair without a head; a head meets its members at every level. Of documents that
+are each a share of a away from the pivot, a pair that differs in d agrees in (2a - d) / (2a + d) of its differences; a
+dozen draws in each of the trees' nodes find it. Candidates are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -186,12 +186,14 @@ def _contracted(links: DataFrame) -> DataFrame:
 
 
 def _pairs(nodes: DataFrame, bits: int) -> DataFrame:
-    """The pairs (a, b, x, y) of small nodes(node, id, sketch, component) whose components x and y differ and whose
-    sketches are alike."""
-    groups = nodes.groupBy("node").agg(F.collect_list(F.struct("id", "sketch", "component")).alias("m")).where("size(m) > 1")
-    left = groups.select("m", F.explode("m").alias("p"))
-    met = left.select("p", F.explode(F.filter("m", lambda q: (q["id"] > F.col("p.id")) & (q["component"] != F.col("p.component")) & _alike(F.col("p.sketch"), q["sketch"], bits))).alias("q"))
-    return met.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.col("p.component").alias("x"), F.col("q.component").alias("y")).distinct()
+    """The pairs (a, b, x, y) of nodes(node, id, sketch, component, main) whose components x and y differ and whose
+    sketches are alike. Where main names a node's largest component, only the others' documents look for partners."""
+    groups = nodes.groupBy("node").agg(F.collect_list(F.struct("id", "sketch", "component")).alias("m"), F.first("main").alias("main")).where("size(m) > 1")
+    asks = groups.select("m", "main", F.explode(F.filter("m", lambda p: ~p["component"].eqNullSafe(F.col("main")))).alias("p"))
+    other = lambda q: (q["component"] != F.col("p.component")) & (q["component"].eqNullSafe(F.col("main")) | (q["id"] > F.col("p.id")))
+    met = asks.select("p", F.explode(F.filter("m", lambda q: other(q) & _alike(F.col("p.sketch"), q["sketch"], bits))).alias("q"))
+    first, second = F.when(F.col("p.id") < F.col("q.id"), F.col("p")).otherwise(F.col("q")), F.when(F.col("p.id") < F.col("q.id"), F.col("q")).otherwise(F.col("p"))
+    return met.select(first["id"].alias("a"), second["id"].alias("b"), first["component"].alias("x"), second["component"].alias("y")).distinct()
 
 
 def _with_middles(large: DataFrame, classes: DataFrame) -> DataFrame:
@@ -299,17 +301,16 @@ def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
     return found.select(F.xxhash64("node", "draws", "tokens").alias("node"), "id", "sketch", "component")
 
 
-def _branched(many: DataFrame, sets: DataFrame, small: int, rounds: int = 40) -> list[DataFrame]:
-    """The small nodes that large nodes(node, id, sketch, component) end in, see the module. Nodes of one component need
-    no comparison and end there."""
-    rows = cut(_mixed(many))
-    if rows.isEmpty():
-        return []
-    found = []
+def _branched(many: DataFrame, sets: DataFrame, pairs: int = 512, rounds: int = 40) -> list[DataFrame]:
+    """The nodes (node, id, sketch, component, main) that large nodes(node, id, sketch, component) end in, see the module:
+    those where the documents outside the main component have so few pairs with all. Nodes of one component need no
+    comparison and end there."""
+    found, rows = [], many
     for turn in range(rounds):
-        rows = cut(_mixed(_children(rows, sets, turn)))
-        found.append(rows.where(F.col("members") <= small).select("node", "id", "sketch", "component"))
-        rows = rows.where(F.col("members") > small)
+        rows = cut(_mixed(rows if turn == 0 else _children(rows, sets, turn)))
+        small = F.col("rest") * F.col("members") <= pairs
+        found.append(rows.where(small).select("node", "id", "sketch", "component", "main"))
+        rows = rows.where(~small)
         if rows.isEmpty():
             return found
     raise RuntimeError(f"nodes are still large after {rounds} rounds")
@@ -394,7 +395,8 @@ def near_groups(
     first = components(_contracted(cut(confirmed(stars, sets, texts, width, percent)))).withColumnRenamed("node", "id")
     labelled = lambda nodes: nodes.join(first, "id", "left").select("node", "id", "sketch", F.coalesce("component", "id").alias("component"))
     # Exhaustively, but only between documents that the links so far leave apart.
-    nodes = [labelled(few), *(_branched(labelled(many), sets, small) if many else [])]
+    alone = labelled(few).withColumn("main", F.lit(None).cast(classes.schema["id"].dataType))
+    nodes = [alone, *(_branched(labelled(many), sets) if many else [])]
     links = cut(confirmed(cut(reduce(DataFrame.union, [_pairs(n, bits) for n in nodes]).distinct()), sets, texts, width, percent))
     # These join whole components, so the second run is over components.
     second = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
