@@ -226,8 +226,8 @@ def _mixed(rows: DataFrame) -> DataFrame:
     component, and rest, how many rows are of others."""
     parts = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
     shape = parts.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("main")).where("main.n < members")
-    told = shape.select("node", "members", F.col("main.component").alias("main"), (F.col("members") - F.col("main.n")).alias("rest"), every_salt())
-    return rows.withColumn("salt", salt_of("id")).join(told, ["node", "salt"]).drop("salt")
+    # Nodes are many and most of them small, so what is told is not dealt by salt; adaptive execution splits a hot one.
+    return rows.join(shape.select("node", "members", F.col("main.component").alias("main"), (F.col("members") - F.col("main.n")).alias("rest")), "node")
 
 
 #: How many drawn members say what a node has in common, and how many children a document has.
@@ -288,8 +288,7 @@ def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
     short = sets.select("id", "short")
 
     def met(some: DataFrame, told: DataFrame) -> DataFrame:
-        dealt = told.select("node", "pivot", "wanted", every_salt())
-        return some.select("node", "id", "sketch", "component").join(short, "id").withColumn("salt", salt_of("id")).join(dealt, ["node", "salt"])
+        return some.select("node", "id", "sketch", "component").join(short, "id").join(told.select("node", "pivot", "wanted"), "node")
 
     inside = F.col("component") == F.col("main")
     every = F.lit(None).cast("array<bigint>")
@@ -301,7 +300,7 @@ def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
     return found.select(F.xxhash64("node", "draws", "tokens").alias("node"), "id", "sketch", "component")
 
 
-def _branched(many: DataFrame, sets: DataFrame, pairs: int = 512, rounds: int = 40) -> list[DataFrame]:
+def _branched(many: DataFrame, sets: DataFrame, pairs: int = 2048, rounds: int = 40) -> list[DataFrame]:
     """The nodes (node, id, sketch, component, main) that large nodes(node, id, sketch, component) end in, see the module:
     those where the documents outside the main component have so few pairs with all. Nodes of one component need no
     comparison and end there."""
