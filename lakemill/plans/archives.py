@@ -127,7 +127,7 @@ def archived_amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
  s AS (SELECT ps.l_partkey AS k, min(CAST(ps.l_shipdate AS DATE)) AS first, max(CAST(ps.l_shipdate AS DATE)) AS last, (list(l_returnflag ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_returnflag))[1] AS flag, list_sort(list(DISTINCT l_suppkey)) AS who FROM lineitem ps GROUP BY 1),
  f AS (SELECT 'DLR' || p_partkey AS uid, p_name AS title, leg::VARCHAR AS legislature, strftime(first, '%Y-%m-%d') AS deposited, strftime(last, '%Y-%m-%d') AS last_act,
  CASE WHEN p_size % 5 = 0 THEN 'Senat' ELSE 'AN' END AS chamber, CASE WHEN p_size % 7 > 0 THEN array_to_string(list_transform(who, lambda x: 'PA' || x), ',') END AS initiators,
- CASE WHEN p_size % 11 = 0 THEN 'promulgue' WHEN leg < 17 THEN CASE flag WHEN 'A' THEN 'navette_en_cours' WHEN 'R' THEN 'rejete' END ELSE CASE flag WHEN 'A' THEN 'adopte' WHEN 'R' THEN 'rejete' END END AS status,
+ CASE WHEN leg = 17 AND flag = 'A' THEN 'adopte' WHEN p_size % 11 = 0 THEN 'promulgue' WHEN leg < 17 THEN CASE flag WHEN 'A' THEN 'navette_en_cours' WHEN 'R' THEN 'rejete' END ELSE CASE flag WHEN 'A' THEN 'adopte' WHEN 'R' THEN 'rejete' END END AS status,
  CASE WHEN flag = 'N' AND p_size % 11 > 0 THEN 'TSORTF99' END AS unmapped FROM p JOIN s ON k = p_partkey WHERE p_size % 4 > 0 OR p_type LIKE 'STANDARD%')
  SELECT * FROM f"""
 )
