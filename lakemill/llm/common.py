@@ -8,6 +8,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.session import small_batches as small_batches
+
 #: A word: anything but the blank and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -48,14 +50,6 @@ def cut(df: DataFrame) -> DataFrame:
     return done
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Texts reach Python in small Arrow batches, so that workers stay small. The session's setting changes for good, as
-    frames are planned later; one that is not Spark's default is kept."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(rows))
-
-
 def fold(id_col: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds: the split between learning and held-out rows."""
     return F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")) % folds

@@ -33,7 +33,8 @@ def text_at(node: Column, *names: str) -> Column:
 
 
 def is_object(node: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(node), F.lit("OBJECT")), F.lit(False))
+    """Only an object becomes a struct; its fields are not looked into, as for its schema they would be, at any depth."""
+    return F.try_variant_get(node, "$", "struct<none: variant>").isNotNull()
 
 
 def listed(node: Column) -> Column:

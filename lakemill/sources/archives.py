@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from lakemill.session import ship
+from lakemill.session import ship, small_batches
 
 #: What a task reads at least, in compressed bytes, unless the option partition_bytes says otherwise.
 PARTITION_BYTES = 16 << 20
@@ -30,6 +30,9 @@ PARTITION_BYTES = 16 << 20
 #: What a batch of rows holds at most, in bytes and rows.
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
 
+#: What a file that is written holds at most, in entries, and how many archives a task writes side by side.
+FILE_ENTRIES, OPEN_ARCHIVES = 16_384, 8
+
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path, and the path there."""
@@ -147,7 +150,8 @@ class ZipReader(DataSourceReader):
             except (zipfile.BadZipFile, OSError) as e:
                 found.append(Range(file, 0, 0, str(e)))
                 continue
-            step = max(1, n) if self.names_only else max(1, n * self.bytes // max(size, 1))
+            # Parts of equal size: a file of little more than one part is not read twice for the rest.
+            step = max(1, n) if self.names_only else max(1, -(-n // max(1, round(size / self.bytes))))
             found += [Range(file, k, min(k + step, n)) for k in range(0, n, step)]
         return found or [Range("", 0, 0)]
 
@@ -182,28 +186,44 @@ def entry_of(archive: zipfile.ZipFile, name: str) -> tuple[str, bytes | None, st
 
 
 class ZipWriter(StagedWriter):
-    """Rows of (archive, entry, content): each task writes its own part of every archive that it has rows of, so an
-    archive of many rows is several files, {archive}-{task}-{attempt}.zip. Rows should come sorted by archive."""
+    """Rows of (archive, entry, content), in any order: each task writes its own part of every archive that it has rows of,
+    so an archive of many rows is several files, {archive}-{task}-{attempt}.zip.
+
+    A file ends at block_bytes or FILE_ENTRIES: whoever reads a range of entries needs the file's whole directory, so
+    that directories which grew with the input would make ranges times entries. Of more than OPEN_ARCHIVES archives at
+    once the one that was written to least lately ends its file.
+    """
 
     suffix = ".zip"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, _, staging = self.folder()
         system.create_dir(staging, recursive=True)
-        names, now, out = [], None, None
+        names: list[str] = []
+        held: dict[str | None, zipfile.ZipFile] = {}
+
+        def end(archive: str | None) -> None:
+            out = held.pop(archive)
+            stream = out.fp
+            out.close()
+            stream.close()
+
         try:
             for batch in iterator:
                 for archive, entry, content in zip(*(batch[c].to_pylist() for c in ("archive", "entry", "content")), strict=True):
-                    if out is None or archive != now:
-                        if out:
-                            out.close()
+                    if archive in held:
+                        out = held[archive] = held.pop(archive)
+                    else:
+                        if len(held) == OPEN_ARCHIVES:
+                            end(next(iter(held)))
                         names.append(self.staged(re.sub(r"[^\w.-]", "_", archive or "none")))
-                        now, out = archive, zipfile.ZipFile(system.open_output_stream(posixpath.join(staging, names[-1])), "w", zipfile.ZIP_DEFLATED)
+                        out = held[archive] = zipfile.ZipFile(system.open_output_stream(posixpath.join(staging, names[-1])), "w", zipfile.ZIP_DEFLATED)
                     out.writestr(entry, content if content is not None else b"")
+                    if out.start_dir >= self.bytes or len(out.filelist) >= FILE_ENTRIES:
+                        end(archive)
         finally:
-            if out:
-                out.close()
-                out.fp and out.fp.close()
+            for archive in list(held):
+                end(archive)
         return Written(names)
 
 
@@ -440,8 +460,9 @@ class Files(DataSource):
 # ---------------------------------------------------------------- for callers
 
 def register(spark: SparkSession) -> None:
-    """Make the sources known to a session, and the package to its workers."""
+    """Make the sources known to a session, and the package to its workers; entries may be large, so batches are small."""
     ship(spark)
+    small_batches(spark)
     for source in (Zip, Xz, Files):
         spark.dataSource.register(source)
 
@@ -462,8 +483,11 @@ def contents_of(entries: DataFrame, path: str) -> DataFrame:
     """(archive, entry, content, error) of entries(archive, entry), which are read and no others.
 
     For lists of names_only that a query has narrowed. Entries are dealt by archive and name, so that a large archive is
-    shared by several tasks and a task opens few archives.
+    shared by several tasks and a task opens few archives. Their number follows the bytes of the archives and is told, as
+    adaptive execution would deal names by their own few bytes, all of them to one task.
     """
+    context = entries.sparkSession.sparkContext
+    parts = max(context.defaultParallelism, -(-sum(size for _, size in files_below(path, ".zip")) // PARTITION_BYTES))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = opened(path)
@@ -480,5 +504,5 @@ def contents_of(entries: DataFrame, path: str) -> DataFrame:
 
         yield from batches(read(), ENTRIES)
 
-    dealt = entries.select("archive", "entry").repartitionByRange("archive", "entry").sortWithinPartitions("archive", "entry")
+    dealt = entries.select("archive", "entry").repartitionByRange(parts, "archive", "entry").sortWithinPartitions("archive", "entry")
     return dealt.mapInArrow(run, "archive string, entry string, content binary, error string")

@@ -41,8 +41,9 @@ NO_DECISION, OVERRIDDEN = "TSORTFnull", ("depose", "navette_en_cours", "rejete",
 
 
 def documents(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents, broken): entries that are JSON, with the VARIANT column v, and those that cannot be read."""
-    rows = entries.withColumn("v", parsed(F.col("content"))).drop("content")
+    """(documents, broken): entries that are JSON, with their text content and the VARIANT column v, and those that cannot
+    be read."""
+    rows = entries.withColumns({"v": parsed(F.col("content")), "content": F.make_valid_utf8(F.col("content").cast("string"))})
     broken = F.col("v").isNull()
     return rows.where(~broken).drop("error"), rows.where(broken).select("archive", "entry", F.coalesce("error", F.lit("no JSON")).alias("error"))
 
@@ -92,8 +93,8 @@ def amendments(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     amendments: (uid, text_ref, date, number, author, cosigners). Those without an author give no row.
     """
-    keys = F.coalesce(F.json_object_keys(F.to_json("v")), F.array().cast("array<string>"))
-    rows = docs.withColumn("root", F.when(F.array_contains(keys, "amendement"), "amendement").when(F.array_contains(keys, "textesEtAmendements"), "textesEtAmendements"))
+    has = lambda name: at(F.col("v"), name).isNotNull()
+    rows = docs.withColumn("root", F.when(has("amendement"), "amendement").when(has("textesEtAmendements"), "textesEtAmendements"))
     unknown = rows.where("root is null").select("archive", "entry")
     modern = rows.where("root = 'amendement'").select(at(F.col("v"), "amendement").alias("a")).where(is_object(F.col("a")))
     modern = modern.select("a", text_at(F.col("a"), "texteLegislatifRef").alias("text_ref"), text_at(F.col("a"), "cycleDeVie", "dateDepot").alias("date"), text_at(F.col("a"), "identification", "numeroLong").alias("number"))
@@ -120,11 +121,12 @@ def newest(entries: DataFrame, rank: Column) -> DataFrame:
 _ACTS = "array<struct<code: string, date: string, text: string, decision: string>>"
 
 
-def acts(node: Column) -> Column:
-    """All acts of a dossier's tree, at any depth, in its order: their code, date, text and the code of their decision.
+def acts(content: Column, *names: str) -> Column:
+    """All acts of a dossier's tree, at any depth, in its order: their code, date, text and the code of their decision. The
+    tree is below names in a JSON text; names in an object count in order, as VARIANT has them.
 
     A tree has no depth that a projection could name, so one dossier at a time is walked; what hangs below a decision's
-    conclusion is no act.
+    conclusion is no act. The text is taken as it was read: VARIANT would be written as JSON again, sign by sign.
     """
 
     @F.pandas_udf(_ACTS)
@@ -132,19 +134,22 @@ def acts(node: Column) -> Column:
         plain = lambda v: v if isinstance(v, str) else None
         out = []
         for text in texts:
-            found, waiting = [], [json.loads(text)] if text else []
+            node = json.loads(text) if text else None
+            for name in names:
+                node = node.get(name) if isinstance(node, dict) else None
+            found, waiting = [], [node]
             while waiting:
                 now = waiting.pop()
                 if isinstance(now, dict):
                     end = now.get("statutConclusion")
                     found.append({"code": plain(now.get("codeActe")), "date": plain(now.get("dateActe")), "text": plain(now.get("texteAssocie")), "decision": plain(end.get("fam_code")) if isinstance(end, dict) else None})
-                    waiting += [v for k, v in reversed(now.items()) if k != "statutConclusion"]
+                    waiting += [now[k] for k in sorted(now, reverse=True) if k != "statutConclusion" and isinstance(now[k], (dict, list))]
                 elif isinstance(now, list):
                     waiting += reversed(now)
             out.append(found)
         return pd.Series(out)
 
-    return run(F.to_json(node))
+    return run(content)
 
 
 def dossiers(docs: DataFrame) -> DataFrame:
@@ -155,8 +160,8 @@ def dossiers(docs: DataFrame) -> DataFrame:
     the procedure. deposited is the first deposit, else the first act. chamber is that of the first deposit whose code
     names one. initiators are the actors' ids, null (not empty) if none is named.
     """
-    rows = docs.select(at(F.col("v"), "dossierParlementaire").alias("d")).where(is_object(F.col("d")))
-    rows = rows.select("d", acts(at(F.col("d"), "actesLegislatifs")).alias("acts"))
+    rows = docs.select("content", at(F.col("v"), "dossierParlementaire").alias("d")).where(is_object(F.col("d")))
+    rows = rows.select("d", acts(F.col("content"), "dossierParlementaire", "actesLegislatifs").alias("acts"))
     deposit = lambda a: F.coalesce(F.endswith(a["code"], F.lit(DEPOSIT)), F.lit(False))
     dated = F.filter("acts", lambda a: a["date"] != "")
     days = lambda c: F.transform(c, lambda a: F.substring(a["date"], 1, 10))

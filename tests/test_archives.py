@@ -183,3 +183,23 @@ def test_end_record_of_a_large_archive(tmp_path):
             z.writestr(f"{i}", b"")
     with pa.OSFile(str(tmp_path / "a.zip")) as f:
         assert a.count_of_entries(f, f.size()) == 66_000
+
+
+def test_files_that_are_written_have_bounded_directories(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(a, "FILE_ENTRIES", 10)
+    monkeypatch.setattr(a, "OPEN_ARCHIVES", 2)
+    folder = str(tmp_path / "out")
+    writer = a.ZipWriter({"path": folder}, False)
+    rows = [(f"a{i % 3}", f"{i}.json", f"[{i}]".encode()) for i in range(90)]
+    writer.commit([writer.write(iter([pa.RecordBatch.from_pylist([dict(zip(("archive", "entry", "content"), r, strict=True)) for r in rows])]))])
+    files = [zipfile.ZipFile(f) for f in (tmp_path / "out").glob("*.zip")]
+    assert max(len(f.namelist()) for f in files) <= 10
+    found = a.zip_entries(spark, folder).select(F.regexp_extract("archive", r"/(a\d)-", 1), "entry", "content").collect()
+    assert sorted((r[0], r[1], bytes(r[2])) for r in found) == sorted(rows)
+
+
+def test_contents_are_read_by_several_tasks(spark, tmp_path):
+    zipped(tmp_path / "1.zip", {f"{i}.json": f"[{i}]" for i in range(200)})
+    found = a.contents_of(a.zip_entries(spark, str(tmp_path), names_only="true"), str(tmp_path))
+    counts = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 200 and len(counts) > 1
