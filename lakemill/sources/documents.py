@@ -11,14 +11,20 @@ import json
 import lzma
 import zipfile
 from collections.abc import Iterator
+from fnmatch import fnmatchcase
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.operators.lineage import settled
 from lakemill.operators.nodes import at, is_object, listed, parsed
+from lakemill.sources import archives
 
 CORRUPT = "_corrupt"
 
@@ -37,11 +43,61 @@ def json_documents(spark: SparkSession, path: str, schema: T.StructType, pattern
     return rows.where(~broken).select(*[f"d.{f.name}" for f in schema.fields], "file"), rows.where(broken).select("file", "raw")
 
 
+#: How many files a task reads.
+FILES_OF_TASK = 5000
+
+
+def listed_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """(path) of the files below a folder whose names match the pattern (*, ? and [ ]), or of the file itself; names of
+    files and folders that begin with "_" or "." are skipped.
+
+    Tasks list the folders, a level at a time, so that no process holds all names, as the driver does where Spark lists.
+    """
+    archives.register(spark)
+    tasks = spark.sparkContext.defaultParallelism
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = archives.opened(path)
+        for batch in batches:
+            for folder in batch["folder"].to_pylist():
+                own = system.get_file_info(root if folder is None else folder)
+                found = [own] if own.type == fs.FileType.File else system.get_file_info(fs.FileSelector(own.path))
+                rows = [(f.path, f.type == fs.FileType.Directory) for f in found if f is own or f.base_name[0] not in "_."]
+                rows = [r for r in rows if r[1] or fnmatchcase(r[0].rsplit("/", 1)[-1], pattern)]
+                for k in range(0, len(rows), 10_000):
+                    names, folders = zip(*rows[k : k + 10_000], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(folders, pa.bool_())], ["path", "is_folder"])
+
+    level, found = spark.range(1).select(F.lit(None).cast("string").alias("folder")), []
+    while True:
+        seen = settled(level.mapInArrow(run, "path string, is_folder boolean"))
+        found.append(seen.where(~F.col("is_folder")).select("path"))
+        level = seen.where("is_folder").select(F.col("path").alias("folder"))
+        if level.isEmpty():
+            return reduce(DataFrame.union, found)
+        level = level.repartition(tasks, "folder")
+
+
 def document_files(spark: SparkSession, path: str, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """(documents, unreadable) of files below a folder, whatever form the documents have: (file, v) with v as VARIANT, and
-    (file, reason) of files that are no JSON or no object. Names that begin with a dot are skipped."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
-    rows = files.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), parsed(F.col("value")).alias("v")).where(~F.startswith("file", F.lit(".")))
+    (file, reason) of files that are no JSON or no object. Names are matched and skipped as by listed_files()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, _ = archives.opened(path)
+
+        def read() -> Iterator[tuple]:
+            for batch in batches:
+                for name in batch["path"].to_pylist():
+                    with system.open_input_stream(name) as f:
+                        yield name.rsplit("/", 1)[-1], f.read()
+
+        yield from archives.batches(read(), pa.schema([("file", pa.string()), ("content", pa.binary())]))
+
+    names = listed_files(spark, path, pattern)
+    # The number of tasks is told, as names have few bytes and adaptive execution would deal them to one.
+    parts = max(spark.sparkContext.defaultParallelism, -(-names.count() // FILES_OF_TASK))
+    files = names.repartition(parts, "path").mapInArrow(run, "file string, content binary")
+    rows = files.select("file", parsed(F.col("content")).alias("v"))
     good = is_object(F.col("v"))
     return rows.where(good), rows.where(~good).select("file", F.when(F.col("v").isNull(), "no JSON").otherwise("no object").alias("reason"))
 

@@ -105,3 +105,20 @@ def test_freshness_states(spark):
     df = spark.createDataFrame(rows, "part string, frozen boolean, synced string, failed boolean").withColumn("synced", F.col("synced").cast("timestamp"))
     found = incremental.freshness(df, F.lit("2024-02-01").cast("timestamp"), 10)
     assert {r.part: r.state for r in found.collect()} == {"a": "frozen", "b": "never_built", "c": "failed", "d": "stale", "e": "fresh"}
+
+
+def test_files_of_documents_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    for i in range(60):
+        folder = tmp_path / f"n{i % 3}" / f"m{i % 2}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i} é.pivot.json").write_text(f'{{"id": {i}}}')
+        (folder / f".{i}.pivot.json").write_text("{}")
+        (folder / f"{i}.txt").write_text("{}")
+    (tmp_path / "_staging").mkdir()
+    (tmp_path / "_staging" / "x.pivot.json").write_text("{}")
+    (tmp_path / "list.pivot.json").write_text("[1]")
+    monkeypatch.setattr(d, "FILES_OF_TASK", 10)
+    good, bad = d.document_files(spark, str(tmp_path), "*.pivot.json")
+    assert sorted(r.file for r in good.collect()) == sorted(f"{i} é.pivot.json" for i in range(60))
+    assert [tuple(r) for r in bad.collect()] == [("list.pivot.json", "no object")]
+    assert not good.inputFiles() and good.groupBy(F.spark_partition_id()).count().count() > 4
