@@ -40,5 +40,7 @@ def session_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cloud = F.concat(F.lit("<p class='nuage_de_tags'>Mots cl&eacute;s : Energie, les "), F.lower("c_mktsegment"), F.lit("</p>"))
     html = F.concat(F.lit("<html>"), first, F.lit("<div class='a intervention'><p><a name='here'></a>x</p>"), own, F.lit("</div>"), cloud)
     anchor = F.when(F.col("c_nationkey") % 5 == 0, "gone").otherwise("here")
-    found = table(spark, sf_dir, "customer").select("c_custkey", pages.session_facts(html, anchor).alias("f"))
+    # A table of few bytes is read by few tasks, however many pages its rows become.
+    rows = table(spark, sf_dir, "customer").repartition(spark.sparkContext.defaultParallelism, "c_custkey")
+    found = rows.select("c_custkey", pages.session_facts(html, anchor).alias("f"))
     return found.select("c_custkey", "f.speaker", "f.address", F.array_join("f.keywords", ",").alias("keywords"))

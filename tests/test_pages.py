@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from lakemill.plans.pages import session_speakers
 from lakemill.sources.pages import keywords, listed, speaker
 
 
@@ -30,3 +33,8 @@ def test_keywords():
 
 def test_deep_pages():
     assert speaker("<div>" * 5000 + "<div class=perso>Low</div>", None) == ("Low", None)
+
+
+def test_pages_of_a_small_table_are_dealt_to_all_cores(spark):
+    found = session_speakers(spark, "/root/testdata/sf0.001")
+    assert found.groupBy(F.spark_partition_id()).count().count() == spark.sparkContext.defaultParallelism
