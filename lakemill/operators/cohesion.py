@@ -43,11 +43,13 @@ def last_votes(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots:
     eligible at its date.
 
     votes(member, ballot, position, pos); pos orders a member's votes on a ballot and tells them apart. A member's spans
-    are gathered beforehand, so a vote meets one row.
+    are gathered beforehand, so a vote meets one row. Votes are the many; so the other sides, a row for each ballot and
+    member, are hashed, and votes are not sorted for the joins.
     """
     own = spans.groupBy("member").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    placed = members.join(own, "member", "left")
-    last = latest(votes, ["member", "ballot"], ["position"], "pos").join(ballots.select("ballot", "date"), "ballot").join(placed, "member")
+    placed = members.join(own, "member", "left").hint("shuffle_hash")
+    dated = ballots.select("ballot", "date").hint("shuffle_hash")
+    last = latest(votes, ["member", "ballot"], ["position"], "pos").join(dated, "ballot").join(placed, "member")
     return last.select("grp", "member", "ballot", "date", "position", eligible(F.col("date"), F.col("spans")).alias("allowed"))
 
 

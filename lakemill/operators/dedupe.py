@@ -17,10 +17,11 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 def latest(df: DataFrame, keys: Sequence[str], fields: Sequence[str], position: str) -> DataFrame:
     """Of each key the fields of the row with the greatest position, which must tell all rows of a key apart.
 
-    As keep_one(), but an aggregation: rows of a key are merged before the shuffle, and nothing is sorted.
+    As keep_one(), but an aggregation. Spark aggregates structs by sorting, so rows are dealt by key first: merged before
+    the shuffle, all of a task's input would be sorted at once, and most keys have one row.
     """
     best = F.max_by(F.struct(*fields), position)
-    return df.groupBy(*keys).agg(best.alias("__best")).select(*keys, *[F.col(f"__best.{f}").alias(f) for f in fields])
+    return df.repartition(*keys).groupBy(*keys).agg(best.alias("__best")).select(*keys, *[F.col(f"__best.{f}").alias(f) for f in fields])
 
 
 def field_wise(df: DataFrame, keys: Sequence[str], fields: Sequence[str], position: Column, last: bool = False) -> DataFrame:

@@ -190,6 +190,26 @@ def test_latest_keeps_null_fields_and_null_keys(spark):
     assert sorted(map(tuple, latest(rows, ["k"], ["v"], "at").collect()), key=str) == [(1, None), (None, "c")]
 
 
+def test_latest_deals_rows_before_it_sorts_them(spark):
+    rows = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").cast("string").alias("v"), F.struct("id").alias("pos"))
+    found = dedupe.latest(rows, ["k"], ["v"], "pos")
+    # The plan is printed from its end: what sorts or aggregates stands above the only shuffle.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning") :] and "Sort" not in plan[plan.index("Exchange hashpartitioning") :]
+    assert got(found) == sorted([(k, str(max(x for x in range(100) if x % 7 == k))) for k in range(7)], key=repr)
+
+
+def test_votes_are_not_sorted_to_meet_members_and_ballots(spark):
+    members = spark.createDataFrame([(1, "g")], "member long, grp string")
+    spans = spark.createDataFrame([(1, D(2020, 1, 1), None)], "member long, first date, last date")
+    votes = spark.createDataFrame([(1, 5, "for", 1), (1, 5, "against", 2), (2, 5, "for", 1), (1, 6, "for", 1)], "member long, ballot long, position string, pos long")
+    ballots = spark.createDataFrame([(5, D(2020, 1, 2))], "ballot long, date date")
+    last = cohesion.last_votes(members, spans, votes, ballots)
+    assert last._jdf.queryExecution().executedPlan().toString().count("ShuffledHashJoin") == 2
+    assert got(last) == [("g", 1, 5, D(2020, 1, 2), "against", True)]
+
+
 def test_backfill_takes_null_keys(spark):
     old = spark.createDataFrame([(None, None), (1, "x"), (2, None)], "k int, v string")
     new = spark.createDataFrame([(None, "n"), (1, "y"), (3, "z")], "k int, v string")
