@@ -21,15 +21,18 @@ def parsed(content: Column) -> Column:
     return F.try_parse_json(F.make_valid_utf8(content.cast("string")))
 
 
+def _path(names: Sequence[str]) -> str:
+    return "$" + "".join(f"['{n}']" for n in names)
+
+
 def at(node: Column, *names: str) -> Column:
     """The node below, null where a name is missing or what stands there has no names."""
-    return F.try_variant_get(node, "$" + "".join(f"['{n}']" for n in names), "variant")
+    return F.try_variant_get(node, _path(names), "variant")
 
 
 def text_at(node: Column, *names: str) -> Column:
     """A text below, null where there is none or something else."""
-    found = at(node, *names)
-    return F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(found, "$", "string"))
+    return F.when(F.schema_of_variant(at(node, *names)) == "STRING", F.try_variant_get(node, _path(names), "string"))
 
 
 def is_object(node: Column) -> Column:

@@ -309,8 +309,7 @@ _PERSONS_SQL = """o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDE
  UNION ALL SELECT key, path || '.scrutin_id', 'unknown' FROM w WHERE q NOT IN ('5-LOW', '1-URGENT') AND t <= 50000 UNION ALL SELECT key, path || '.position', 'forced_has_position' FROM w WHERE q = '2-HIGH' AND t > 300000 AND s <> 'O'"""
 )
 def document_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every rule of a person's document, read as JSON of any form, its references resolved by one join for each
-    dimension."""
+    """Every rule of a person's document, read as JSON of any form, once, its references resolved by one join."""
     urgent = F.when(F.col("o_orderpriority") == "5-LOW", None).when(F.col("o_orderpriority") == "1-URGENT", "x:1").otherwise(F.concat(F.lit("an:"), F.year("o_orderdate"), F.lit(":"), "o_orderkey"))
     position = F.when(F.col("o_orderstatus") == "F", "pour").when(F.col("o_orderstatus") == "P", "maybe")
     orders = table(spark, sf_dir, "orders").withColumns({"ref": urgent, "position": position})
@@ -323,12 +322,15 @@ def document_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").join(votes, F.col("c") == F.col("c_custkey"), "left").select(
         F.col("c_custkey").alias("key"), version.alias("schema_version"), F.concat(F.lit("p"), "c_custkey").alias("id"), F.when(n == 3, "").otherwise(F.col("c_name")).alias("nom"), F.when(m == "BUILDING", "House").otherwise("AN").alias("chambre"), chambers.alias("chambres"),
         F.when(n == 4, F.parse_json(F.lit("{}"))).otherwise(F.parse_json(F.lit("[]"))).alias("tags_thematiques"), F.coalesce("votes", F.array().cast(votes.schema["votes"].dataType)).alias("votes"),
-        *[empty.alias(c) for c in ("mandats", "textes_portes", "interventions", "amendements")], F.when(n == 6, F.parse_json(F.lit("[]"))).otherwise(F.parse_json(F.to_json(meta))).alias("meta"), empty.alias("sources"),
+        *[empty.alias(c) for c in ("mandats", "textes_portes", "interventions", "amendements")], F.when(n == 6, F.parse_json(F.lit("[]"))).otherwise(F.parse_json(F.to_json(meta))).alias("meta"), empty.alias("sources"), n.alias("__n"),
     )
-    parts = [c for c in rows.columns if c not in ("key", "sources")]
+    # What a document is made of is few bytes, in as few tasks, and testing it is dear: it is dealt by number.
+    dealt = max(4 * spark.sparkContext.defaultParallelism, table(spark, sf_dir, "customer").count() // 10_000)
+    rows = rows.repartition(dealt, "key")
+    parts = [c for c in rows.columns if c not in ("key", "sources", "__n")]
     # Null parts stay in the document, as null is not absence; one kind of document lacks its sources.
     text = F.when(F.col("key").isNotNull() & (F.col("__n") == 5), F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})).otherwise(F.to_json(F.struct(*parts, "sources"), {"ignoreNullFields": "false"}))
-    docs = rows.join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), n.alias("__n")), "key").select("key", F.try_parse_json(text).alias("v"))
+    docs = rows.where("key is not null").select("key", F.try_parse_json(text).alias("v"))
     outcome = F.when((F.col("o_orderpriority") == "2-HIGH") & (F.col("o_totalprice") > 300_000), pivot_rules.FORCED)
     ballots = orders.where("o_totalprice > 50000").select(F.concat(F.lit("an:"), F.year("o_orderdate"), F.lit(":"), "o_orderkey").alias("id"), outcome.alias("outcome"))
     return pivot_rules.findings(docs, "key", "v", {"votes": ballots})

@@ -58,6 +58,18 @@ def test_every_rule(spark):
     assert pivot_rules.findings(rows.limit(0), "key", "v", dims).isEmpty()
 
 
+def test_a_document_is_read_once_and_documents_are_dealt_to_all_tasks(spark):
+    from lakemill.plans.validators import document_findings
+
+    rows = spark.range(3).select("id", F.parse_json(F.lit("{}")).alias("v"))
+    ballots = spark.createDataFrame([("an:17:1", "x")], "id string, outcome string")
+    plan = pivot_rules.findings(rows, "id", "v", {"votes": ballots})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1
+    sf_dir = "/root/testdata/sf0.001"
+    plan = document_findings(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert f"{4 * spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in plan
+
+
 @pytest.mark.parametrize("days", [1, 30, 366, 5000])
 def test_overlaps_against_all_pairs(spark, days):
     """One key has most of the intervals; open ends, single days, ends before starts and repeats are among them."""
