@@ -42,8 +42,9 @@ def is_object(node: Column) -> Column:
 
 def listed(node: Column) -> Column:
     """A node that is a list, or one thing that should be in a list, as array; a missing one and JSON's null are empty."""
-    alone = F.when(node.isNotNull() & ~F.is_variant_null(node), F.array(node))
-    return F.coalesce(F.try_variant_get(node, "$", "array<variant>"), alone, F.array().cast("array<variant>"))
+    # An array of one is gone through, so that the node, often a path, is looked up once.
+    one = lambda n: F.coalesce(F.try_variant_get(n, "$", "array<variant>"), F.when(n.isNotNull() & ~F.is_variant_null(n), F.array(n)), F.array().cast("array<variant>"))
+    return F.transform(F.array(node), one)[0]
 
 
 def objects(node: Column) -> Column:

@@ -10,7 +10,9 @@ from __future__ import annotations
 import lzma
 import posixpath
 import re
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from uuid import uuid4
@@ -176,15 +178,60 @@ class ZipReader(DataSourceReader):
 def entry_of(archive: zipfile.ZipFile, name: str) -> tuple[str, bytes | None, str | None]:
     """(name, content, error) of an entry; one that cannot be read does not end the rest."""
     try:
-        return name, archive.read(name), None
-    except (zipfile.BadZipFile, OSError, KeyError, NotImplementedError, EOFError, RuntimeError, ValueError, lzma.LZMAError) as e:
-        return name, None, str(e)
-    except Exception as e:  # zlib.error has no base class of its own
-        if type(e).__module__ != "zlib":
-            raise
+        content = plain_content(archive, archive.getinfo(name))
+        return name, archive.read(name) if content is None else content, None
+    except (zipfile.BadZipFile, OSError, KeyError, NotImplementedError, EOFError, RuntimeError, ValueError, lzma.LZMAError, zlib.error) as e:
         return name, None, str(e)
 
 
+def plain_content(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> bytes | None:
+    """The content of an entry that is deflated and whole, in one read; None for what zipfile has to look at. It opens a
+    stream for each entry, which takes longer than what small entries hold."""
+    if info.compress_type != zipfile.ZIP_DEFLATED or info.flag_bits & ~(0x800 | 0x8 | 0x6):
+        return None
+    name = info.orig_filename.encode("utf-8" if info.flag_bits & 0x800 else "cp437")
+    archive.fp.seek(info.header_offset)
+    raw = archive.fp.read(30 + len(name) + info.compress_size + 64)  # with what may stand between them
+    at = 30 + len(name) + int.from_bytes(raw[28:30], "little")
+    if raw[:4] != b"PK\x03\x04" or raw[30 : 30 + len(name)] != name or int.from_bytes(raw[26:28], "little") != len(name) or len(raw) < at + info.compress_size:
+        return None
+    try:
+        content = zlib.decompress(memoryview(raw)[at : at + info.compress_size], -15)
+    except zlib.error:
+        return None
+    return content if len(content) == info.file_size and zlib.crc32(content) == info.CRC else None
+
+
+class Archive:
+    """A ZIP file of less than 65,536 entries and 4 GB as it is written, entry after entry. zipfile opens a stream for
+    each entry and writes it in several small parts."""
+
+    def __init__(self, stream: pa.NativeFile) -> None:
+        self.stream, self.held, self.directory, self.size = stream, bytearray(), [], 0
+
+    def add(self, name: str, content: bytes) -> None:
+        packer, own = zlib.compressobj(-1, zlib.DEFLATED, -15), name.encode("utf-8", "surrogatepass")
+        data = packer.compress(content) + packer.flush()
+        # Version, names in UTF-8, deflated, the first of January 1980, what the entry holds.
+        about = struct.pack("<HHHHHLLLHH", 20, 0x800, zipfile.ZIP_DEFLATED, 0, 0x21, zlib.crc32(content), len(data), len(content), len(own), 0)
+        self.directory.append(b"".join((b"PK\x01\x02\x14\x00", about, struct.pack("<HHHLL", 0, 0, 0, 0o600 << 16, self.size), own)))
+        for part in (b"PK\x03\x04", about, own, data):
+            self.held += part
+            self.size += len(part)
+        if len(self.held) >= 1 << 20:
+            self.flush()
+
+    def flush(self) -> None:
+        self.stream.write(bytes(self.held))
+        self.held = bytearray()
+
+    def close(self) -> None:
+        directory, n = b"".join(self.directory), len(self.directory)
+        self.held += directory + b"PK\x05\x06" + struct.pack("<HHHHLLH", 0, 0, n, n, len(directory), self.size, 0)
+        self.flush()
+        self.stream.close()
+
+
 class ZipWriter(StagedWriter):
     """Rows of (archive, entry, content), in any order: each task writes its own part of every archive that it has rows of,
     so an archive of many rows is several files, {archive}-{task}-{attempt}.zip.
@@ -200,13 +247,11 @@ class ZipWriter(StagedWriter):
         system, _, staging = self.folder()
         system.create_dir(staging, recursive=True)
         names: list[str] = []
-        held: dict[str | None, zipfile.ZipFile] = {}
+        held: dict[str | None, Archive] = {}
+        most = min(self.bytes, 1 << 31)
 
         def end(archive: str | None) -> None:
-            out = held.pop(archive)
-            stream = out.fp
-            out.close()
-            stream.close()
+            held.pop(archive).close()
 
         try:
             for batch in iterator:
@@ -217,9 +262,9 @@ class ZipWriter(StagedWriter):
                         if len(held) == OPEN_ARCHIVES:
                             end(next(iter(held)))
                         names.append(self.staged(re.sub(r"[^\w.-]", "_", archive or "none")))
-                        out = held[archive] = zipfile.ZipFile(system.open_output_stream(posixpath.join(staging, names[-1])), "w", zipfile.ZIP_DEFLATED)
-                    out.writestr(entry, content if content is not None else b"")
-                    if out.start_dir >= self.bytes or len(out.filelist) >= FILE_ENTRIES:
+                        out = held[archive] = Archive(system.open_output_stream(posixpath.join(staging, names[-1])))
+                    out.add(entry, content if content is not None else b"")
+                    if out.size >= most or len(out.directory) >= FILE_ENTRIES:
                         end(archive)
         finally:
             for archive in list(held):

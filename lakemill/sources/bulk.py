@@ -43,7 +43,8 @@ NO_DECISION, OVERRIDDEN = "TSORTFnull", ("depose", "navette_en_cours", "rejete",
 def documents(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, broken): entries that are JSON, with their text content and the VARIANT column v, and those that cannot
     be read."""
-    rows = entries.withColumns({"v": parsed(F.col("content")), "content": F.make_valid_utf8(F.col("content").cast("string"))})
+    # As a generator's value: a condition on it stays above and does not parse a second time.
+    rows = entries.select("archive", "entry", F.make_valid_utf8(F.col("content").cast("string")).alias("content"), "error", F.explode(F.array(parsed(F.col("content")))).alias("v"))
     broken = F.col("v").isNull()
     return rows.where(~broken).drop("error"), rows.where(broken).select("archive", "entry", F.coalesce("error", F.lit("no JSON")).alias("error"))
 

@@ -203,3 +203,35 @@ def test_contents_are_read_by_several_tasks(spark, tmp_path):
     found = a.contents_of(a.zip_entries(spark, str(tmp_path), names_only="true"), str(tmp_path))
     counts = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(counts) == 200 and len(counts) > 1
+
+
+def test_entries_are_written_and_read_without_a_stream_for_each(tmp_path, monkeypatch):
+    rows = [("é/ü.json", "é".encode()), ("b.json", b""), ("c.json", random.Random(1).randbytes(3_000_000))]
+    opens = []
+    own = zipfile.ZipFile.open
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, *args, **more: opens.append(args) or own(self, *args, **more))
+    writer = a.ZipWriter({"path": str(tmp_path / "out")}, False)
+    writer.commit([writer.write(iter([pa.RecordBatch.from_pylist([{"archive": "x", "entry": n, "content": c} for n, c in rows])]))])
+    (file,) = (tmp_path / "out").glob("*.zip")
+    with zipfile.ZipFile(file) as z:
+        assert [a.entry_of(z, n) for n, _ in rows] == [(n, c, None) for n, c in rows] and not opens
+        assert z.testzip() is None and z.namelist() == [n for n, _ in rows]
+    # What is not plainly deflated is left to zipfile.
+    with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+        z.writestr("stored.json", b"s")
+    with zipfile.ZipFile(tmp_path / "s.zip") as z:
+        assert a.plain_content(z, z.infolist()[0]) is None and a.entry_of(z, "stored.json") == ("stored.json", b"s", None)
+    # A damaged content is never taken for whole.
+    raw = bytearray(file.read_bytes())
+    raw[raw.index(b"c.json") + 100] ^= 0xFF
+    file.write_bytes(bytes(raw))
+    with zipfile.ZipFile(file) as z:
+        assert a.entry_of(z, "c.json")[1] is None and a.entry_of(z, "c.json")[2]
+
+
+def test_an_entry_is_parsed_once(spark):
+    entries = spark.createDataFrame([("a", "1.json", b'{"x": 1}', None), ("a", "2.json", b"{", None), ("a", "3.json", None, "cut")], "archive string, entry string, content binary, error string")
+    docs, broken = bulk.documents(entries)
+    assert [(r[0], r[1]) for r in docs.select("entry", F.try_variant_get("v", "$.x", "long")).collect()] == [("1.json", 1)]
+    assert sorted((r.entry, r.error) for r in broken.collect()) == [("2.json", "no JSON"), ("3.json", "cut")]
+    assert docs.select("v")._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
