@@ -97,14 +97,19 @@ def amendments(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     has = lambda name: at(F.col("v"), name).isNotNull()
     rows = docs.withColumn("root", F.when(has("amendement"), "amendement").when(has("textesEtAmendements"), "textesEtAmendements"))
     unknown = rows.where("root is null").select("archive", "entry")
-    modern = rows.where("root = 'amendement'").select(at(F.col("v"), "amendement").alias("a")).where(is_object(F.col("a")))
-    modern = modern.select("a", text_at(F.col("a"), "texteLegislatifRef").alias("text_ref"), text_at(F.col("a"), "cycleDeVie", "dateDepot").alias("date"), text_at(F.col("a"), "identification", "numeroLong").alias("number"))
-    texts = rows.where("root = 'textesEtAmendements'").select(F.explode(objects(at(F.col("v"), "textesEtAmendements", "texteleg"))).alias("t"))
-    older = texts.select(text_at(F.col("t"), "refTexteLegislatif").alias("text_ref"), F.explode(objects(at(F.col("t"), "amendements", "amendement"))).alias("a"))
-    number = F.coalesce(F.nullif(text_at(F.col("a"), "numeroLong"), F.lit("")), text_at(F.col("a"), "identifiant", "numero"))
-    older = older.select("a", "text_ref", text_at(F.col("a"), "dateDepot").alias("date"), number.alias("number"))
+    # Both forms leave an entry together, so that it is read and parsed once.
+    held = lambda modern, ref, a: F.struct(F.lit(modern).alias("modern"), ref.alias("ref"), a.alias("a"))
+    modern = F.transform(F.filter(F.array(at(F.col("v"), "amendement")), is_object), lambda a: held(True, F.lit(None).cast("string"), a))
+    of_text = lambda t: F.transform(objects(at(t, "amendements", "amendement")), lambda a: held(False, text_at(t, "refTexteLegislatif"), a))
+    older = F.flatten(F.transform(objects(at(F.col("v"), "textesEtAmendements", "texteleg")), of_text))
+    every = rows.select(F.inline(F.when(F.col("root") == "amendement", modern).when(F.col("root") == "textesEtAmendements", older)))
+    a, own = F.col("a"), lambda new, old: F.when(F.col("modern"), new).otherwise(old)
+    every = every.select(
+        "a", own(text_at(a, "texteLegislatifRef"), F.col("ref")).alias("text_ref"), own(text_at(a, "cycleDeVie", "dateDepot"), text_at(a, "dateDepot")).alias("date"),
+        own(text_at(a, "identification", "numeroLong"), F.coalesce(F.nullif(text_at(a, "numeroLong"), F.lit("")), text_at(a, "identifiant", "numero"))).alias("number"),
+    )
     signed = at(F.col("a"), "signataires")
-    found = modern.union(older).select(text_at(F.col("a"), "uid").alias("uid"), "text_ref", "date", "number", text_at(signed, "auteur", "acteurRef").alias("author"), _cosigners(signed).alias("cosigners"))
+    found = every.select(text_at(F.col("a"), "uid").alias("uid"), "text_ref", "date", "number", text_at(signed, "auteur", "acteurRef").alias("author"), _cosigners(signed).alias("cosigners"))
     return found.where("author <> ''"), unknown
 
 

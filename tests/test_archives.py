@@ -235,3 +235,10 @@ def test_an_entry_is_parsed_once(spark):
     assert [(r[0], r[1]) for r in docs.select("entry", F.try_variant_get("v", "$.x", "long")).collect()] == [("1.json", 1)]
     assert sorted((r.entry, r.error) for r in broken.collect()) == [("2.json", "no JSON"), ("3.json", "cut")]
     assert docs.select("v")._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_amendments_of_both_forms_are_read_together(spark):
+    entries = spark.createDataFrame([("a", "1.json", b'{"amendement": {"uid": "1", "signataires": {"auteur": {"acteurRef": "PA1"}}}}', None)], "archive string, entry string, content binary, error string")
+    found, _ = bulk.amendments(bulk.documents(entries)[0])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert [(r.uid, r.text_ref, r.author) for r in found.collect()] == [("1", None, "PA1")]
