@@ -1,22 +1,21 @@
-"""Near-duplicate detection: a chosen-path set similarity join on word shingles.
+"""Near-duplicate detection: an exact set similarity join on word shingles, behind a chosen-path join that does most of it.
 
 Each document is the set of its distinct word shingles. In every one of several independent trees a document walks
-down a path: at each level it is sent to the child that the tree's minwise token at that level names. A node with few
-documents ends the path, and its documents are compared exhaustively; a node with many compares its documents with two
-heads, one drawn anew in every node and the one in its middle, and branches again.
-
-What stands together at the last level in large numbers has most shingles in common: a template and what was put into
-it. Such a node goes on branching by what its documents have of their own: the pivot is what most of some drawn members
-hold, a document counts as its symmetric difference to the pivot (two documents differ in as many shingles as their
-differences do), and the minwise tokens of the difference name its children. A token outside the pivot is held, and one
-inside is missed, by less than about half of the node, so children shrink, and those of unrelated documents are empty.
-
-A pair of similarity s survives a level with probability s, so one tree of depth d brings it together with probability
-s^d and all trees miss it with (1 - s^d)^trees: with ten trees a pair of 0.8 in small nodes is missed once in ten million.
-One whose nodes are large at all three levels, which branch on in five of the trees, is missed once in 36 (0.85: once in
-115, 0.9: once in 660). So it is for a pair without a head; a head meets its members at every level. Of documents that
-are each a share of a away from the pivot, a pair that differs in d agrees in (2a - d) / (2a + d) of its differences; a
-dozen draws in each of the trees' nodes find it. Candidates are confirmed on the full sets.
+down a path: at each level it is sent to the child that the tree's minwise token at that level names. A node compares
+its documents with heads, the smallest id in a small node, one drawn anew and the one in its middle in a large one, and
+large nodes branch again. These links join most copies, a hub and its thousands of edited copies among them, without
+comparing the copies with one another; they need not find all, as what follows is exact.
+
+All shingles have one order, common ones last. Of two sets A and B, B no larger, that have a similarity of t or more, the
+first common shingle in this order is among the first |B| - 2t / (1 + t) |B| + 1 of B and the first |A| - t |A| + 1 of A:
+before it stand only shingles that the other lacks. So documents meet in the lists of their first shingles, and every
+pair of a list that the links so far leave apart is tried, unless sizes, places in the list's order or bitmaps show that
+it cannot reach the limit. A bitmap holds the parity of how many shingles fall on each bit, so two differ in at most as
+many bits as the sets differ in shingles. No pair is lost, and no list or partner is capped. Documents of one template
+whose own parts set them further apart than the limit have their own shingles first, and do not meet.
+
+Candidates are confirmed on the full sets. What is quadratic is a list of many documents that no head links: it is
+compared block against block, in bounded memory and by all tasks, by bitmaps.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import cut, every_salt, salt_of, small_batches
@@ -109,11 +108,16 @@ def with_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, shingles array<bigint>")
 
 
+#: Bits of a set's bitmap.
+PARITY = 1024
+
+
 def with_paths(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame:
-    """(id, n_shingles, digest, sketch, tokens, short) of docs(id, text).
+    """(id, n_shingles, digest, sketch, tokens, parity, short) of docs(id, text).
 
     digest names the set, sketch holds a bit of each of 64 minwise tokens, tokens the minwise token for each tree and
-    level (tree by tree), short the distinct lower halves of the shingles, as arrays of 32-bit numbers.
+    level (tree by tree), parity the bitmap of the set, short the distinct lower halves of the shingles, as arrays of
+    32-bit numbers.
     """
     draws = max(64, trees * depth)
 
@@ -121,20 +125,21 @@ def with_paths(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame
         odd = _mix(np.arange(SEED, SEED + draws, dtype=np.uint64)) | np.uint64(1)
         bit = np.uint64(1) << np.arange(64, dtype=np.uint64)
         for part in _pieces(batches):
-            digest, sketch, tokens, sizes, short = [], [], [], [], []
+            digest, sketch, tokens, sizes, parity, short = [], [], [], [], [], []
             for x in shingle_sets(part["text"].tolist(), width):
                 least = np.full(draws, np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(x), 2048):  # what fits the cache
                     np.minimum(least, (odd[:, None] * x[None, at : at + 2048]).min(axis=1), out=least)
                 least = _mix(least)
                 sizes.append(len(x))
+                parity.append(_signed(np.packbits((np.bincount((x >> np.uint64(32)) % np.uint64(PARITY), minlength=PARITY) & 1).astype(np.uint8)).view(np.uint64)))
                 short.append(np.unique(x.astype(np.uint32)).view(np.int32))
                 digest.append(blake2b(x.tobytes(), digest_size=16).digest())
                 sketch.append((bit[(least[:64] & np.uint64(1)) == 1]).sum(dtype=np.uint64))
                 tokens.append((least[: trees * depth] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            yield pd.DataFrame({"id": part["id"], "n_shingles": sizes, "digest": digest, "sketch": _signed(np.array(sketch, np.uint64)), "tokens": tokens, "short": short})
+            yield pd.DataFrame({"id": part["id"], "n_shingles": sizes, "digest": digest, "sketch": _signed(np.array(sketch, np.uint64)), "tokens": tokens, "parity": parity, "short": short})
 
-    return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n_shingles bigint, digest binary, sketch bigint, tokens array<int>, short array<int>")
+    return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n_shingles bigint, digest binary, sketch bigint, tokens array<int>, parity array<bigint>, short array<int>")
 
 
 def _alike(a: Column, b: Column, most: int) -> Column:
@@ -142,32 +147,28 @@ def _alike(a: Column, b: Column, most: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= most
 
 
-def candidates(classes: DataFrame, trees: int, depth: int, small: int, bits: int, branched: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """What to compare: (stars, few, many). stars(member, head) pairs documents with a node's heads; few(node, id, sketch)
-    are small nodes, many those of the first `branched` trees that are large at the last level, None without any.
+def candidates(classes: DataFrame, trees: int, depth: int, small: int, bits: int) -> DataFrame:
+    """The pairs (member, head) of documents with the heads of their nodes.
 
     classes: (id, sketch, tokens), one row for each distinct set.
     """
     token = lambda level: F.element_at("tokens", F.col("tree") * depth + level + 1)
     walkers = classes.select("id", "sketch", "tokens", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     walkers = walkers.select("id", "sketch", "tree", F.xxhash64("tree", token(0)).alias("node"))
-    stars, few, many = [], [], None
+    stars = []
     for level in range(depth):
         # A node's rows are merged before the shuffle; what a node tells its rows is dealt by salt.
         told = cut(_with_heads(walkers, small))
         stars.append(_star(told, bits))
-        few.append(told.where(F.col("members") <= small).select("node", "id", "sketch"))
         large = told.where(F.col("members") > small)
         if large.isEmpty():
             break
         stars.append(cut(_star(_with_middles(large, classes), bits).distinct()))
-        if level + 1 == depth:
-            many = large.where(F.col("tree") < branched).select("node", "id", "sketch")
-        else:
+        if level + 1 < depth:
             walkers = large.select("id", "sketch", "tree", "node").join(classes.select("id", "tokens"), "id")
             walkers = walkers.select("id", "sketch", "tree", F.xxhash64("node", token(level + 1)).alias("node"))
     none = classes.select(F.col("id").alias("member"), F.col("id").alias("head")).limit(0)
-    return reduce(DataFrame.union, stars, none).distinct(), reduce(DataFrame.union, few), many
+    return reduce(DataFrame.union, stars, none).distinct()
 
 
 def _star(told: DataFrame, bits: int) -> DataFrame:
@@ -185,15 +186,128 @@ def _contracted(links: DataFrame) -> DataFrame:
     return rows.select(F.inline(pairs)).distinct()
 
 
-def _pairs(nodes: DataFrame, bits: int) -> DataFrame:
-    """The pairs (a, b, x, y) of nodes(node, id, sketch, component, main) whose components x and y differ and whose
-    sketches are alike. Where main names a node's largest component, only the others' documents look for partners."""
-    groups = nodes.groupBy("node").agg(F.collect_list(F.struct("id", "sketch", "component")).alias("m"), F.first("main").alias("main")).where("size(m) > 1")
-    asks = groups.select("m", "main", F.explode(F.filter("m", lambda p: ~p["component"].eqNullSafe(F.col("main")))).alias("p"))
-    other = lambda q: (q["component"] != F.col("p.component")) & (q["component"].eqNullSafe(F.col("main")) | (q["id"] > F.col("p.id")))
-    met = asks.select("p", F.explode(F.filter("m", lambda q: other(q) & _alike(F.col("p.sketch"), q["sketch"], bits))).alias("q"))
-    first, second = F.when(F.col("p.id") < F.col("q.id"), F.col("p")).otherwise(F.col("q")), F.when(F.col("p.id") < F.col("q.id"), F.col("q")).otherwise(F.col("p"))
-    return met.select(first["id"].alias("a"), second["id"].alias("b"), first["component"].alias("x"), second["component"].alias("y")).distinct()
+def _possible(n: Column, m: Column, x: Column, y: Column, percent: int) -> Column:
+    """Whether sets of n and m shingles and of the bitmaps x and y may reach the limit: they differ in no fewer shingles
+    than the bitmaps differ in bits, and may differ in (100 - percent) / (100 + percent) of their sizes' sum. Exact: a
+    pair that reaches the limit always may."""
+    apart = reduce(Column.__add__, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(PARITY // 64)])
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
+
+
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs, named by their first two columns, whose bitmaps in classes(id, n_shingles, parity) let them be near."""
+    a, b = pairs.columns[:2]
+    side = lambda own, n: classes.select(F.col("id").alias(own), F.col("n_shingles").alias(f"__n{n}"), F.col("parity").alias(f"__{n}"))
+    met = pairs.join(side(a, "p"), a).join(side(b, "q"), b)
+    return met.where(_possible(F.col("__np"), F.col("__nq"), F.col("__p"), F.col("__q"), percent)).select(*pairs.columns).distinct()
+
+
+#: From about how many documents the order of shingles is learned, and how many shingles it names at most. Any order is
+#: exact; this one keeps lists short.
+ORDER_DOCS, ORDER_SHINGLES = 8192, 100_000
+
+
+def common_shingles(texts: DataFrame, n: int, width: int) -> np.ndarray:
+    """The shingles that three or more of some drawn documents hold, the rarest first; texts(id, text) has n rows."""
+    drawn = texts.where(F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(max(n, 1))) < ORDER_DOCS)
+    held = with_sets(drawn, width).select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+    most = held.where("n > 2").orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).select("shingle")
+    return most.toPandas()["shingle"].to_numpy(np.int64)[::-1].view(np.uint64)
+
+
+def with_prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
+    """(id, n, prefix) of docs(id, text): how many shingles its set has and the first of them, n - percent / 100 * n + 1,
+    in the order of all: by their values, and those that are common after these, in the order of common."""
+    place = np.argsort(common)
+    known = common[place]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _pieces(batches):
+            ids, sizes, prefixes = [], [], []
+            for own, x in zip(part["id"], shingle_sets(part["text"].tolist(), width), strict=True):
+                if n := len(x):
+                    at = np.minimum(np.searchsorted(known, x), max(0, len(known) - 1))
+                    late = known[at] == x if len(known) else np.zeros(n, bool)
+                    ordered = np.concatenate((x[~late], common[np.sort(place[at[late]])]))
+                    ids.append(own)
+                    sizes.append(n)
+                    prefixes.append(_signed(ordered[: n + (-percent * n) // 100 + 1]))
+            yield pd.DataFrame({"id": pd.Series(ids, dtype=part["id"].dtype), "n": np.array(sizes, np.int32), "prefix": prefixes})
+
+    return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n int, prefix array<bigint>")
+
+
+def _lists(prefixes: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """The lists (node, id, component, n, pos, early) of prefixes(id, n, prefix) that name documents of more than one
+    component of placed(id, component), with members, main and rest as in _mixed. early: whether the shingle is among
+    the document's first n - 2 * percent / (100 + percent) * n + 1, as the smaller document of a near pair has it."""
+    rows = prefixes.join(placed, "id").select("id", "component", "n", F.posexplode("prefix").alias("pos", "node"))
+    rows = rows.withColumn("early", (100 + percent) * F.col("pos") <= (100 - percent) * F.col("n"))
+    own = Window.partitionBy("node")
+    seen = rows.withColumns({"least": F.min("component").over(own), "most": F.max("component").over(own), "some": F.max("early").over(own)})
+    return cut(_mixed(cut(seen.where("least < most and some").select("node", "id", "component", "n", "pos", "early"))))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """rows(node, ...) of nodes that hold more than one component, with members, the size of the node, main, its largest
+    component, and rest, how many rows are of others."""
+    parts = rows.groupBy("node", "component").agg(F.count("*").alias("n_own"))
+    shape = parts.groupBy("node").agg(F.sum("n_own").alias("members"), F.max(F.struct("n_own", "component")).alias("main")).where("main.n_own < members")
+    # Nodes are many and most of them small, so what is told is not dealt by salt; adaptive execution splits a hot one.
+    return rows.join(shape.select("node", "members", F.col("main.component").alias("main"), (F.col("members") - F.col("main.n_own")).alias("rest")), "node")
+
+
+#: Lists with more pairs to try than this are compared block against block, and how many documents a block has.
+MANY_PAIRS, BLOCK = 4096, 512
+
+
+def _pairs(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, x, y) of _lists() whose components x and y differ and that may reach the limit: those of small
+    lists and those of large ones. Only documents outside a list's main component look for partners."""
+    told = lists.join(classes.select("id", "parity"), "id")
+    many = F.col("rest") * F.col("members") > MANY_PAIRS
+    row = F.struct("id", "component", "n", "pos", "early", "parity")
+    groups = told.where(~many).groupBy("node").agg(F.collect_list(row).alias("m"), F.first("main").alias("main"))
+    asks = groups.select("m", "main", F.explode(F.filter("m", lambda p: p["component"] != F.col("main"))).alias("p"))
+    p = F.col("p")
+    other = lambda q: (q["component"] != p["component"]) & ((q["component"] == F.col("main")) | (q["id"] > p["id"]))
+    # The smaller set has the shingle early. If it is their first common one, what follows it must hold all they share.
+    early = lambda q: F.when(p["n"] < q["n"], p["early"]).when(p["n"] > q["n"], q["early"]).otherwise(p["early"] & q["early"])
+    after = lambda q: (100 + percent) * F.least(p["n"] - p["pos"], q["n"] - q["pos"]) >= percent * (p["n"] + q["n"])
+    met = asks.select("p", F.explode(F.filter("m", lambda q: other(q) & early(q) & after(q) & _possible(p["n"], q["n"], p["parity"], q["parity"], percent))).alias("q"))
+    few = met.select(p["id"].alias("p"), F.col("q.id").alias("q"), p["component"].alias("pc"), F.col("q.component").alias("qc"))
+    # Askers meet all members, block by block.
+    large, blocks = told.where(many), lambda of: F.ceil(F.col(of) / BLOCK).cast("long")
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), blocks(of) - 1))
+    part = lambda of: F.pmod(F.xxhash64("id"), blocks(of))
+    inside = (F.col("component") == F.col("main")).alias("inside")
+    kept = ["node", "id", "component", "n", "pos", "early", "parity", inside]
+    askers = large.where(~inside).select(*kept, F.lit(True).alias("asks"), part("rest").alias("i"), every("members").alias("j"))
+    others = large.select(*kept, F.lit(False).alias("asks"), every("rest").alias("i"), part("members").alias("j"))
+
+    def compared(group: pa.Table) -> pa.Table:
+        asks = group["asks"].to_numpy()
+        p, q = group.filter(pa.array(asks)), group.filter(pa.array(~asks))
+        bits = lambda t: t["parity"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(t), -1)
+        col = lambda t, c: t[c].to_numpy()
+        left, right, most = [], [], 100 + percent
+        mine, n, pos, early = bits(q), col(q, "n").astype(np.int64), col(q, "pos"), col(q, "early")
+        comp, own, inner = col(q, "component"), col(q, "id"), col(q, "inside")
+        for k, (c, d, m, at, first, x) in enumerate(zip(col(p, "component"), col(p, "id"), col(p, "n").tolist(), col(p, "pos").tolist(), col(p, "early"), bits(p), strict=True)):
+            may = (comp != c) & (inner | (own > d)) & np.where(n > m, first, np.where(n < m, early, early & first))
+            may &= (most * np.minimum(n - pos, m - at) >= percent * (n + m)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            found = np.flatnonzero(may)
+            found = found[most * np.bitwise_count(mine[found] ^ x).sum(axis=1, dtype=np.int64) <= (100 - percent) * (n[found] + m)]
+            left.append(np.full(len(found), k))
+            right.append(found)
+        a, b = (p.take(pa.array(np.concatenate([*left, np.empty(0, int)]).astype(np.int64))), q.take(pa.array(np.concatenate([*right, np.empty(0, int)]).astype(np.int64))))
+        return pa.table({"p": a["id"], "q": b["id"], "pc": a["component"], "qc": b["component"]})
+
+    kind = classes.schema["id"].dataType.simpleString()
+    blocked = askers.union(others).groupBy("node", "i", "j").applyInArrow(compared, f"p {kind}, q {kind}, pc {kind}, qc {kind}")
+    turned = F.col("p") < F.col("q")
+    pick = lambda x, y: F.when(turned, F.col(x)).otherwise(F.col(y))
+    return few.union(blocked).select(pick("p", "q").alias("a"), pick("q", "p").alias("b"), pick("pc", "qc").alias("x"), pick("qc", "pc").alias("y")).distinct()
 
 
 def _with_middles(large: DataFrame, classes: DataFrame) -> DataFrame:
@@ -221,100 +335,6 @@ def _with_middles(large: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.join(heads.select("node", "head", every_salt()), ["node", "salt"]).select("id", "sketch", "head")
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """rows(node, ...) of nodes that hold more than one component, with members, the size of the node, main, its largest
-    component, and rest, how many rows are of others."""
-    parts = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
-    shape = parts.groupBy("node").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("main")).where("main.n < members")
-    # Nodes are many and most of them small, so what is told is not dealt by salt; adaptive execution splits a hot one.
-    return rows.join(shape.select("node", "members", F.col("main.component").alias("main"), (F.col("members") - F.col("main.n")).alias("rest")), "node")
-
-
-#: How many drawn members say what a node has in common, and how many children a document has.
-VOTERS, DRAWS = 15, 12
-
-#: Where no more documents than this are outside a node's main component, those inside go to the others' children only.
-FEW_OTHERS = 2000
-
-
-def _pivots(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, pivot): the shingles that more than half of some members of each node hold, one drawn from each part.
-
-    The pivot decides what is compared sooner, never what is linked.
-    """
-    drawn = rows.groupBy("node", F.pmod(F.xxhash64("id", "node"), F.lit(VOTERS)).alias("part")).agg(F.min(F.struct(F.xxhash64("node", "id").alias("draw"), "id")).alias("c"))
-
-    def run(group: pa.Table) -> pa.Table:
-        values, counts = np.unique(group["short"].combine_chunks().flatten().to_numpy(), return_counts=True)
-        return pa.table({"node": group["node"][:1], "pivot": pa.array([values[2 * counts > len(group)]], pa.list_(pa.int32()))})
-
-    members = drawn.select("node", F.col("c.id").alias("id")).join(sets, "id").select("node", "short")
-    return members.groupBy("node").applyInArrow(run, "node bigint, pivot array<int>")
-
-
-def _tokens(met: DataFrame, turn: int) -> DataFrame:
-    """met(node, id, sketch, component, short, pivot, wanted) with draws and tokens, the minwise tokens of each document's
-    difference to the pivot, all of them or those that are wanted."""
-    kept = ["node", "id", "sketch", "component"]
-    odd = _mix(np.arange(SEED + 1000 * (turn + 1), SEED + 1000 * (turn + 1) + DRAWS, dtype=np.uint64)) | np.uint64(1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            draws, tokens = [], []
-            for own, pivot, wanted in zip(batch["short"], batch["pivot"], batch["wanted"], strict=True):
-                x = own.values.to_numpy()
-                apart = np.setxor1d(x, pivot.values.to_numpy(), assume_unique=True)
-                apart = (apart if len(apart) else x).view(np.uint32).astype(np.uint64)
-                least = np.full(DRAWS, np.iinfo(np.uint64).max, np.uint64)
-                for at in range(0, len(apart), 2048):
-                    np.minimum(least, (odd[:, None] * apart[None, at : at + 2048]).min(axis=1), out=least)
-                least = _signed(least)
-                chosen = np.arange(DRAWS, dtype=np.int32) if wanted.values is None else np.flatnonzero(np.isin(least, wanted.values.to_numpy())).astype(np.int32)
-                draws.append(chosen)
-                tokens.append(least[chosen])
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(draws, pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int64()))], [*kept, "draws", "tokens"])
-
-    schema = ", ".join(f"{c} {met.schema[c].dataType.simpleString()}" for c in kept)
-    return met.select(*kept, "short", "pivot", "wanted").mapInArrow(run, f"{schema}, draws array<int>, tokens array<bigint>")
-
-
-def _children(rows: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
-    """rows of the children that large nodes branch into, by the minwise tokens of each document's difference.
-
-    What a node's main component holds is linked already. So its documents go only to children that others of the node
-    have, unless these are very many.
-    """
-    pivots = cut(_pivots(rows, sets))
-    short = sets.select("id", "short")
-
-    def met(some: DataFrame, told: DataFrame) -> DataFrame:
-        return some.select("node", "id", "sketch", "component").join(short, "id").join(told.select("node", "pivot", "wanted"), "node")
-
-    inside = F.col("component") == F.col("main")
-    every = F.lit(None).cast("array<bigint>")
-    others = cut(_tokens(met(rows.where(~inside), pivots.withColumn("wanted", every)), turn))
-    asked = rows.where(F.col("rest") <= FEW_OTHERS).select("node").distinct()
-    wanted = others.join(asked, "node", "left_semi").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("wanted"))
-    found = others.union(_tokens(met(rows.where(inside), pivots.join(wanted, "node", "left")), turn))
-    found = found.select("node", "id", "sketch", "component", F.inline(F.arrays_zip("draws", "tokens")))
-    return found.select(F.xxhash64("node", "draws", "tokens").alias("node"), "id", "sketch", "component")
-
-
-def _branched(many: DataFrame, sets: DataFrame, pairs: int = 2048, rounds: int = 40) -> list[DataFrame]:
-    """The nodes (node, id, sketch, component, main) that large nodes(node, id, sketch, component) end in, see the module:
-    those where the documents outside the main component have so few pairs with all. Nodes of one component need no
-    comparison and end there."""
-    found, rows = [], many
-    for turn in range(rounds):
-        rows = cut(_mixed(rows if turn == 0 else _children(rows, sets, turn)))
-        small = F.col("rest") * F.col("members") <= pairs
-        found.append(rows.where(small).select("node", "id", "sketch", "component", "main"))
-        rows = rows.where(~small)
-        if rows.isEmpty():
-            return found
-    raise RuntimeError(f"nodes are still large after {rounds} rounds")
-
-
 def _with_heads(walkers: DataFrame, small: int) -> DataFrame:
     """walkers of nodes of two or more, with the node's head and number of members.
 
@@ -361,7 +381,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, pe
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, trees: int = 10, depth: int = 3, small: int = 16, bits: int = 22, branched: int = 5
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, trees: int = 10, depth: int = 3, small: int = 16, bits: int = 22
 ) -> DataFrame:
     """Groups of near copies: (doc_id, n_shingles, component_id, kept), one row for each row of docs.
 
@@ -373,30 +393,28 @@ def near_groups(
     columns of docs, whatever their names, are not read. Pairs inside one component are only compared as far as its
     connection needs.
 
-    small: most documents of a node that is compared exhaustively. bits: in how many of 64 sketch bits a candidate
-    pair may differ; at similarity 0.8 one pair in a million differs in more than 22. branched: in how many trees large
-    last nodes branch on.
+    trees, depth, small and bits decide how much the heads link beforehand, never what is linked in the end. small: most
+    documents of a node that does not branch. bits: in how many of 64 sketch bits a document and a head may differ.
     """
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.make_valid_utf8(F.col(text_col)).alias("text"))
     wide = cut(with_paths(texts, width, trees, depth))
     # One class for each distinct set, named by its smallest id; a class of thousands of copies walks once.
     worded = wide.where("id is not null and n_shingles > 0")
-    classes = worded.groupBy("digest").agg(F.min(F.struct("id", "sketch", "tokens")).alias("head"), F.count("*").alias("copies"))
-    classes = cut(classes.select("digest", "copies", "head.id", "head.sketch", "head.tokens"))
+    classes = worded.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "sketch", "tokens", "parity")).alias("head"), F.count("*").alias("copies"))
+    classes = cut(classes.select("digest", "copies", "head.*"))
     # The short sets of the classes, each once.
     own = worded.join(classes.select("digest", "id"), ["digest", "id"], "left_semi")
     sets = cut(own.groupBy("digest", "id").agg(F.first("n_shingles").alias("n_shingles"), F.first("short").alias("short")).select("id", "n_shingles", "short"))
     rows = cut(wide.select("id", "n_shingles", "digest"))
     del wide, worded, own
-    stars, few, many = candidates(classes, trees, depth, small, bits, branched)
+    stars = candidates(classes, trees, depth, small, bits)
     texts = texts.where("id is not null")
-    first = components(_contracted(cut(confirmed(stars, sets, texts, width, percent)))).withColumnRenamed("node", "id")
-    labelled = lambda nodes: nodes.join(first, "id", "left").select("node", "id", "sketch", F.coalesce("component", "id").alias("component"))
-    # Exhaustively, but only between documents that the links so far leave apart.
-    alone = labelled(few).withColumn("main", F.lit(None).cast(classes.schema["id"].dataType))
-    nodes = [alone, *(_branched(labelled(many), sets) if many else [])]
-    links = cut(confirmed(cut(reduce(DataFrame.union, [_pairs(n, bits) for n in nodes]).distinct()), sets, texts, width, percent))
+    first = components(_contracted(cut(confirmed(cut(possible(stars, classes, percent)), sets, texts, width, percent)))).withColumnRenamed("node", "id")
+    # Exactly, but only between documents that the links so far leave apart.
+    apart = classes.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("component")).distinct()
+    lists = _lists(with_prefixes(texts, width, percent, common_shingles(texts, rows.count(), width)), apart, percent)
+    links = cut(confirmed(cut(_pairs(lists, classes, percent)), sets, texts, width, percent))
     # These join whole components, so the second run is over components.
     second = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     placed = classes.join(first, "id", "left").select("digest", "id", "copies", F.coalesce("component", "id").alias("component"))
