@@ -237,15 +237,22 @@ def with_prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray)
     return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n int, prefix array<bigint>")
 
 
+#: In how many turns documents are dealt to the lists, so that only such a part of all prefixes is on disk at once.
+TURNS = 4
+
+
 def _lists(prefixes: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
     """The lists (node, id, component, n, pos, early) of prefixes(id, n, prefix) that name documents of more than one
     component of placed(id, component), with members, main and rest as in _mixed. early: whether the shingle is among
     the document's first n - 2 * percent / (100 + percent) * n + 1, as the smaller document of a near pair has it."""
-    rows = prefixes.join(placed, "id").select("id", "component", "n", F.posexplode("prefix").alias("pos", "node"))
-    rows = rows.withColumn("early", (100 + percent) * F.col("pos") <= (100 - percent) * F.col("n"))
-    own = Window.partitionBy("node")
-    seen = rows.withColumns({"least": F.min("component").over(own), "most": F.max("component").over(own), "some": F.max("early").over(own)})
-    return cut(_mixed(cut(seen.where("least < most and some").select("node", "id", "component", "n", "pos", "early"))))
+    held = cut(prefixes.join(placed, "id").select("id", "component", "n", "prefix"))
+    own, met = Window.partitionBy("node"), []
+    for turn in range(TURNS):
+        rows = held.select("id", "component", "n", F.posexplode("prefix").alias("pos", "node")).where(F.pmod("node", F.lit(TURNS)) == turn)
+        rows = rows.withColumn("early", (100 + percent) * F.col("pos") <= (100 - percent) * F.col("n"))
+        seen = rows.withColumns({"least": F.min("component").over(own), "most": F.max("component").over(own), "some": F.max("early").over(own)})
+        met.append(cut(seen.where("least < most and some").select("node", "id", "component", "n", "pos", "early")))
+    return cut(_mixed(reduce(DataFrame.union, met)))
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -348,7 +355,7 @@ def _with_heads(walkers: DataFrame, small: int) -> DataFrame:
     return walkers.withColumn("salt", salt_of("id")).join(heads, ["node", "salt"]).select("id", "sketch", "tree", "node", "head", "members")
 
 
-#: Ids that are broadcast to find their texts; more are joined by shuffle.
+#: Ids that are broadcast to find their sets and texts; more are joined by shuffle.
 BROADCAST_IDS = 50_000
 
 
@@ -361,6 +368,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, pe
     pair of short texts that is each; they are few bytes.
     """
     a, b = pairs.columns[:2]
+    # Only the sets that pairs name move for the two joins.
+    named = cut(pairs.select(F.explode(F.array(a, b)).alias("id")).distinct())
+    named = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+    sets = cut(sets.join(named, "id", "left_semi"))
     side = lambda own, n: sets.select(F.col("id").alias(own), F.col("short").alias(f"__{n}"), F.col("n_shingles").alias(f"__n{n}"))
     both = F.size(F.array_intersect("__p", "__q"))
     above = 100 * both - percent * (F.col("__np") + F.col("__nq") - both)
@@ -408,12 +419,14 @@ def near_groups(
     sets = cut(own.groupBy("digest", "id").agg(F.first("n_shingles").alias("n_shingles"), F.first("short").alias("short")).select("id", "n_shingles", "short"))
     rows = cut(wide.select("id", "n_shingles", "digest"))
     del wide, worded, own
-    stars = candidates(classes, trees, depth, small, bits)
     texts = texts.where("id is not null")
-    first = components(_contracted(cut(confirmed(cut(possible(stars, classes, percent)), sets, texts, width, percent)))).withColumnRenamed("node", "id")
+    common = common_shingles(texts, rows.count(), width)
+    stars = cut(possible(candidates(classes, trees, depth, small, bits), classes, percent))
+    first = components(_contracted(cut(confirmed(stars, sets, texts, width, percent)))).withColumnRenamed("node", "id")
+    del stars
     # Exactly, but only between documents that the links so far leave apart.
     apart = classes.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("component")).distinct()
-    lists = _lists(with_prefixes(texts, width, percent, common_shingles(texts, rows.count(), width)), apart, percent)
+    lists = _lists(with_prefixes(texts, width, percent, common), apart, percent)
     links = cut(confirmed(cut(_pairs(lists, classes, percent)), sets, texts, width, percent))
     # These join whole components, so the second run is over components.
     second = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
