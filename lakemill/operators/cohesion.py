@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.functions.values import rate
-from lakemill.operators.dedupe import latest
+from lakemill.operators.dedupe import latest, tasks_for
 from lakemill.operators.intervals import eligible, islands
 from lakemill.operators.lineage import settled
 
@@ -38,7 +38,7 @@ def eligible_counts(members: DataFrame, spans: DataFrame, ballots: DataFrame) ->
     return counted.select(*ballots.columns, F.when(F.col("date").isNull(), F.col("n_members")).otherwise(F.coalesce("n_dated", F.lit(0))).cast("long").alias("n_eligible"))
 
 
-def last_votes(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots: DataFrame) -> DataFrame:
+def last_votes(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots: DataFrame, tasks: int | None = None) -> DataFrame:
     """(grp, member, ballot, date, position, allowed): each member's last vote on a ballot, and whether they were
     eligible at its date.
 
@@ -49,7 +49,7 @@ def last_votes(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots:
     own = spans.groupBy("member").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     placed = members.join(own, "member", "left").hint("shuffle_hash")
     dated = ballots.select("ballot", "date").hint("shuffle_hash")
-    last = latest(votes, ["member", "ballot"], ["position"], "pos").join(dated, "ballot").join(placed, "member")
+    last = latest(votes, ["member", "ballot"], ["position"], "pos", tasks).join(dated, "ballot").join(placed, "member")
     return last.select("grp", "member", "ballot", "date", "position", eligible(F.col("date"), F.col("spans")).alias("allowed"))
 
 
@@ -59,13 +59,18 @@ def cohesion(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots: Da
     ballots(ballot, date): votes on other ballots are left out. A null position counts as absent; positions outside the
     known six count as present only.
     """
-    return _cohesion(members, spans, last_votes(members, spans, votes, ballots), quorum)
+    tasks = tasks_for(votes)
+    return _cohesion(members, spans, last_votes(members, spans, votes, ballots, tasks), quorum, tasks)
 
 
-def _cohesion(members: DataFrame, spans: DataFrame, last: DataFrame, quorum: float) -> DataFrame:
-    """cohesion() of last_votes(). The counts by group and ballot are written once, as their dates are needed as well."""
+def _cohesion(members: DataFrame, spans: DataFrame, last: DataFrame, quorum: float, tasks: int) -> DataFrame:
+    """cohesion() of last_votes(). The counts by group and ballot are written once, as their dates are needed as well.
+
+    Votes come by member, so those of a group on a ballot are apart and hardly fewer if counted where they are; they are
+    dealt to so many tasks and counted there, as a task keeps a row for each group and ballot it meets.
+    """
     n, allowed = F.col("n_eligible"), F.col("allowed")
-    counts = last.groupBy("grp", "ballot", "date").agg(
+    counts = last.repartition(tasks, "grp", "ballot").groupBy("grp", "ballot", "date").agg(
         *[F.count_if(allowed & (F.col("position") == p)).alias(f"n_{p}") for p in (*CHOICES, "nonvoting", "excused")],
         F.count_if(allowed & F.col("position").isNotNull() & (F.col("position") != "absent")).alias("n_stated"),
     )
@@ -91,8 +96,9 @@ def member_gaps(members: DataFrame, spans: DataFrame, votes: DataFrame, ballots:
 
     A member counts on the ballots of the group at whose date they are eligible; present means one of CHOICES here.
     """
-    last = settled(last_votes(members, spans, votes, ballots))
-    group = settled(_cohesion(members, spans, last, quorum).select("grp", "ballot", "date", "participation", "coherence", "majority"))
+    tasks = tasks_for(votes)
+    last = settled(last_votes(members, spans, votes, ballots, tasks))
+    group = settled(_cohesion(members, spans, last, quorum, tasks).select("grp", "ballot", "date", "participation", "coherence", "majority"))
     means = group.groupBy("grp").agg(F.avg("participation").alias("mean_participation"), F.avg("coherence").alias("mean_coherence"))
     days = group.where("date is not null").groupBy("grp", "date").agg(F.count("*").alias("n"))
     order = Window.partitionBy("grp").orderBy("date")

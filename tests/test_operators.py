@@ -200,6 +200,29 @@ def test_latest_deals_rows_before_it_sorts_them(spark):
     assert got(found) == sorted([(k, str(max(x for x in range(100) if x % 7 == k))) for k in range(7)], key=repr)
 
 
+def test_rows_of_a_task_do_not_grow_with_the_input(spark, monkeypatch):
+    # More rows than a task's share, all small as written, so adaptive execution would bring them to few tasks.
+    monkeypatch.setattr(dedupe, "ROWS_OF_TASK", 100)
+    rows = spark.range(3000).select("id", F.lit("v").alias("v"), F.struct("id").alias("pos"))
+    assert dedupe.tasks_for(rows) == 30 and dedupe.tasks_for(rows.limit(0)) == spark.sparkContext.defaultParallelism
+    assert dedupe.tasks_for(spark.range(30_000)) == 200
+    found = dedupe.latest(rows, ["id"], ["v"], "pos").withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert len(found) == 30 and sum(r["count"] for r in found) == 3000 and max(r["count"] for r in found) < 200
+
+
+def test_counts_of_groups_are_kept_by_tasks_of_equal_shares(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "ROWS_OF_TASK", 100)
+    members = spark.range(30).select(F.col("id").alias("member"), (F.col("id") % 3).alias("grp"))
+    spans = members.select("member", F.lit(D(2020, 1, 1)).alias("first"), F.lit(None).cast("date").alias("last"))
+    ballots = spark.range(100).select(F.col("id").alias("ballot"), F.lit(D(2020, 1, 2)).alias("date"))
+    votes = members.crossJoin(ballots).select("member", "ballot", F.lit("for").alias("position"), F.struct("member").alias("pos"))
+    settled, written = cohesion.settled, []
+    monkeypatch.setattr(cohesion, "settled", lambda df: written.append(settled(df)) or written[-1])
+    rows = cohesion.cohesion(members, spans, votes, ballots)
+    assert rows.count() == 300 and rows.where("n_for = 10 and n_eligible = 10").count() == 300
+    assert written[0].rdd.getNumPartitions() == 30
+
+
 def test_votes_are_not_sorted_to_meet_members_and_ballots(spark):
     members = spark.createDataFrame([(1, "g")], "member long, grp string")
     spans = spark.createDataFrame([(1, D(2020, 1, 1), None)], "member long, first date, last date")
