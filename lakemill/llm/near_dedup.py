@@ -14,8 +14,11 @@ it cannot reach the limit. A bitmap holds the parity of how many shingles fall o
 many bits as the sets differ in shingles. No pair is lost, and no list or partner is capped. Documents of one template
 whose own parts set them further apart than the limit have their own shingles first, and do not meet.
 
+Long sets fill such a bitmap, so pairs of them are tried again on bitmaps that grow with the sets, and only then move.
+
 Candidates are confirmed on the full sets. What is quadratic is a list of many documents that no head links: it is
-compared block against block, in bounded memory and by all tasks, by bitmaps.
+compared block against block, in bounded memory and by all tasks, by bitmaps. What moves at once, of lists, bitmaps and
+sets, is a share of all sets; what is more goes in further turns, none of it is left out.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from hashlib import blake2b
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -108,16 +112,21 @@ def with_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, shingles array<bigint>")
 
 
-#: Bits of a set's bitmap.
+#: Bits of a set's bitmap. A set of more shingles has a broad one beside it, of as many bits as it has shingles or more.
 PARITY = 1024
 
 
+def _parity(x: np.ndarray, bits: int) -> np.ndarray:
+    """The bitmap of a set; that of half as many bits is its first half XOR its second."""
+    return _signed(np.packbits((np.bincount((x >> np.uint64(32)) % np.uint64(bits), minlength=bits) & 1).astype(np.uint8)).view(np.uint64))
+
+
 def with_paths(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame:
-    """(id, n_shingles, digest, sketch, tokens, parity, short) of docs(id, text).
+    """(id, n_shingles, digest, sketch, tokens, parity, broad, short) of docs(id, text).
 
     digest names the set, sketch holds a bit of each of 64 minwise tokens, tokens the minwise token for each tree and
-    level (tree by tree), parity the bitmap of the set, short the distinct lower halves of the shingles, as arrays of
-    32-bit numbers.
+    level (tree by tree), parity the bitmap of the set, broad the one of a set of more than PARITY shingles, short the
+    distinct lower halves of the shingles, as arrays of 32-bit numbers.
     """
     draws = max(64, trees * depth)
 
@@ -125,21 +134,22 @@ def with_paths(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame
         odd = _mix(np.arange(SEED, SEED + draws, dtype=np.uint64)) | np.uint64(1)
         bit = np.uint64(1) << np.arange(64, dtype=np.uint64)
         for part in _pieces(batches):
-            digest, sketch, tokens, sizes, parity, short = [], [], [], [], [], []
+            digest, sketch, tokens, sizes, parity, broad, short = [], [], [], [], [], [], []
             for x in shingle_sets(part["text"].tolist(), width):
                 least = np.full(draws, np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(x), 2048):  # what fits the cache
                     np.minimum(least, (odd[:, None] * x[None, at : at + 2048]).min(axis=1), out=least)
                 least = _mix(least)
                 sizes.append(len(x))
-                parity.append(_signed(np.packbits((np.bincount((x >> np.uint64(32)) % np.uint64(PARITY), minlength=PARITY) & 1).astype(np.uint8)).view(np.uint64)))
+                parity.append(_parity(x, PARITY))
+                broad.append(_parity(x, 1 << (len(x) - 1).bit_length()) if len(x) > PARITY else None)
                 short.append(np.unique(x.astype(np.uint32)).view(np.int32))
                 digest.append(blake2b(x.tobytes(), digest_size=16).digest())
                 sketch.append((bit[(least[:64] & np.uint64(1)) == 1]).sum(dtype=np.uint64))
                 tokens.append((least[: trees * depth] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            yield pd.DataFrame({"id": part["id"], "n_shingles": sizes, "digest": digest, "sketch": _signed(np.array(sketch, np.uint64)), "tokens": tokens, "parity": parity, "short": short})
+            yield pd.DataFrame({"id": part["id"], "n_shingles": sizes, "digest": digest, "sketch": _signed(np.array(sketch, np.uint64)), "tokens": tokens, "parity": parity, "broad": pd.Series(broad, dtype=object), "short": short})
 
-    return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n_shingles bigint, digest binary, sketch bigint, tokens array<int>, parity array<bigint>, short array<int>")
+    return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n_shingles bigint, digest binary, sketch bigint, tokens array<int>, parity array<bigint>, broad array<bigint>, short array<int>")
 
 
 def _alike(a: Column, b: Column, most: int) -> Column:
@@ -232,27 +242,43 @@ def with_prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray)
                     ids.append(own)
                     sizes.append(n)
                     prefixes.append(_signed(ordered[: n + (-percent * n) // 100 + 1]))
-            yield pd.DataFrame({"id": pd.Series(ids, dtype=part["id"].dtype), "n": np.array(sizes, np.int32), "prefix": prefixes})
+            yield pd.DataFrame({"id": pd.Series(ids, dtype=part["id"].dtype), "n": np.array(sizes, np.int32), "prefix": pd.Series(prefixes, dtype=object)})
 
     return docs.mapInPandas(run, f"id {docs.schema['id'].dataType.simpleString()}, n int, prefix array<bigint>")
 
 
 #: In how many turns documents are dealt to the lists, so that only such a part of all prefixes is on disk at once.
 TURNS = 4
+#: Rows of lists that meet at once, if they are more than a share of all shingles.
+LIST_ROWS, LIST_SHARE = 1 << 19, 1 / 128
+
 
+def _list_pairs(prefixes: DataFrame, placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, x, y) that meet in the lists of prefixes(id, n, prefix), as _pairs() gives them.
 
-def _lists(prefixes: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """The lists (node, id, component, n, pos, early) of prefixes(id, n, prefix) that name documents of more than one
-    component of placed(id, component), with members, main and rest as in _mixed. early: whether the shingle is among
-    the document's first n - 2 * percent / (100 + percent) * n + 1, as the smaller document of a near pair has it."""
+    Lists hold (node, id, component, n, pos, early) and name documents of more than one component of placed(id,
+    component), with members, main and rest as in _mixed. early: whether the shingle is among the document's first
+    n - 2 * percent / (100 + percent) * n + 1, as the smaller document of a near pair has it. Lists are made, met and
+    forgotten turn by turn, large ones in more turns.
+    """
     held = cut(prefixes.join(placed, "id").select("id", "component", "n", "prefix"))
+    most = max(LIST_ROWS, LIST_SHARE * (classes.agg(F.sum("n_shingles")).first()[0] or 0))
     own, met = Window.partitionBy("node"), []
     for turn in range(TURNS):
         rows = held.select("id", "component", "n", F.posexplode("prefix").alias("pos", "node")).where(F.pmod("node", F.lit(TURNS)) == turn)
         rows = rows.withColumn("early", (100 + percent) * F.col("pos") <= (100 - percent) * F.col("n"))
         seen = rows.withColumns({"least": F.min("component").over(own), "most": F.max("component").over(own), "some": F.max("early").over(own)})
-        met.append(cut(seen.where("least < most and some").select("node", "id", "component", "n", "pos", "early")))
-    return cut(_mixed(reduce(DataFrame.union, met)))
+        seen = cut(seen.where("least < most and some").select("node", "id", "component", "n", "pos", "early"))
+        lists = cut(_mixed(seen))
+        del seen
+        # A row of a large list goes to as many blocks as the others have.
+        copies = _blocks("rest") + F.when(F.col("component") != F.col("main"), _blocks("members")).otherwise(0)
+        moved = lists.agg(F.sum(F.when(_many(), copies).otherwise(1))).first()[0] or 0
+        parts = max(1, ceil(moved / most))
+        for part in range(parts):
+            met.append(cut(_pairs(lists.where(F.pmod(F.xxhash64(F.lit(SEED), "node"), F.lit(parts)) == part), classes, percent)))
+        del lists
+    return cut(reduce(DataFrame.union, met).distinct())
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -268,11 +294,19 @@ def _mixed(rows: DataFrame) -> DataFrame:
 MANY_PAIRS, BLOCK = 4096, 512
 
 
+def _many() -> Column:
+    return F.col("rest") * F.col("members") > MANY_PAIRS
+
+
+def _blocks(of: str) -> Column:
+    return F.ceil(F.col(of) / BLOCK).cast("long")
+
+
 def _pairs(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, x, y) of _lists() whose components x and y differ and that may reach the limit: those of small
-    lists and those of large ones. Only documents outside a list's main component look for partners."""
+    """The pairs (a, b, x, y) of lists whose components x and y differ and that may reach the limit: those of small lists
+    and those of large ones. Only documents outside a list's main component look for partners."""
     told = lists.join(classes.select("id", "parity"), "id")
-    many = F.col("rest") * F.col("members") > MANY_PAIRS
+    many = _many()
     row = F.struct("id", "component", "n", "pos", "early", "parity")
     groups = told.where(~many).groupBy("node").agg(F.collect_list(row).alias("m"), F.first("main").alias("main"))
     asks = groups.select("m", "main", F.explode(F.filter("m", lambda p: p["component"] != F.col("main"))).alias("p"))
@@ -284,9 +318,9 @@ def _pairs(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     met = asks.select("p", F.explode(F.filter("m", lambda q: other(q) & early(q) & after(q) & _possible(p["n"], q["n"], p["parity"], q["parity"], percent))).alias("q"))
     few = met.select(p["id"].alias("p"), F.col("q.id").alias("q"), p["component"].alias("pc"), F.col("q.component").alias("qc"))
     # Askers meet all members, block by block.
-    large, blocks = told.where(many), lambda of: F.ceil(F.col(of) / BLOCK).cast("long")
-    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), blocks(of) - 1))
-    part = lambda of: F.pmod(F.xxhash64("id"), blocks(of))
+    large = told.where(many)
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), _blocks(of) - 1))
+    part = lambda of: F.pmod(F.xxhash64("id"), _blocks(of))
     inside = (F.col("component") == F.col("main")).alias("inside")
     kept = ["node", "id", "component", "n", "pos", "early", "parity", inside]
     askers = large.where(~inside).select(*kept, F.lit(True).alias("asks"), part("rest").alias("i"), every("members").alias("j"))
@@ -356,28 +390,63 @@ def _with_heads(walkers: DataFrame, small: int) -> DataFrame:
 
 
 #: Ids that are broadcast to find their sets and texts; more are joined by shuffle.
-BROADCAST_IDS = 50_000
+BROADCAST_IDS = 200_000
+#: Shingles that move at once for pairs, if they are more than a share of all.
+MOVED, MOVED_SHARE = 1 << 24, 1 / 2
+
+
+def _dealt(pairs: DataFrame, classes: DataFrame, bytes_: float, ids: int | None = None) -> list[DataFrame]:
+    """The pairs in as many parts as keep what moves for one, so many bytes for a shingle, within 4 bytes for each of
+    MOVED shingles or their share, and the ids that one names within ids."""
+    a, b = pairs.columns[:2]
+    side = lambda own: classes.select(F.col("id").alias(own), F.col("n_shingles").alias(f"__n_{own}"))
+    n, moved = pairs.join(side(a), a).join(side(b), b).agg(F.count("*"), F.sum(F.col(f"__n_{a}") + F.col(f"__n_{b}"))).first()
+    most = max(MOVED, MOVED_SHARE * (classes.agg(F.sum("n_shingles")).first()[0] or 0))
+    parts = max(1, ceil((moved or 0) * bytes_ / 4 / most), ceil(2 * n / ids) if ids else 1)
+    return [pairs.where(F.pmod(F.xxhash64(F.lit(SEED), a, b), F.lit(parts)) == part) for part in range(parts)]
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def narrowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs, named by their first two columns, but for those whose broad bitmaps in classes(id, n_shingles, broad)
+    differ in too many bits. Exact, as _possible is: of two the longer bitmap is folded to the bits of the other."""
+    a, b = pairs.columns[:2]
+    side = lambda own, n: classes.where("broad is not null").select(F.col("id").alias(own), F.col("n_shingles").alias(f"__n{n}"), F.col("broad").alias(f"__{n}"))
+    n = F.least(F.size("__p"), F.size("__q"))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    folded = lambda c: F.when(F.size(c) > n, F.zip_with(F.slice(c, F.lit(1), n), F.slice(c, n + 1, n), xor)).otherwise(F.col(c))
+    apart = F.aggregate(F.zip_with(folded("__p"), folded("__q"), lambda x, y: F.bit_count(xor(x, y))), F.lit(0), lambda sum_, bits: sum_ + bits)
+    may = (F.greatest(F.size("__p"), F.size("__q")) > 2 * n) | ((100 + percent) * apart <= (100 - percent) * (F.col("__np") + F.col("__nq")))
+    told = lambda part: part.join(side(a, "p"), a, "left").join(side(b, "q"), b, "left").where(F.col("__p").isNull() | F.col("__q").isNull() | may)
+    # A bitmap has one or two bits for each shingle, and that of one side moves with the pair.
+    return reduce(DataFrame.union, [cut(told(part).select(*pairs.columns).distinct()) for part in _dealt(pairs, classes, 1 / 8)])
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union. The first two columns of pairs name
-    the documents of sets(id, n_shingles, short) and docs(id, text).
+    the documents of classes(id, n_shingles), sets(id, digest, n_shingles, short) and docs(id, text). They are dealt to
+    as many turns as they need, and what moves for one is gone before the next."""
+    return reduce(DataFrame.union, [cut(_confirmed(part, sets, docs, width, percent)) for part in _dealt(pairs, classes, 4, BROADCAST_IDS)])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """One turn of confirmed().
 
     Halves of shingles decide where they must be right: they may agree where shingles do not about n * m / 2 ** 32
     times, so a pair that is nearer to the limit than four times that and four more is decided on whole shingles. Of a
     pair of short texts that is each; they are few bytes.
     """
     a, b = pairs.columns[:2]
-    # Only the sets that pairs name move for the two joins.
+    # Only the sets that pairs name move for the two joins, each once, however often rows repeat it.
     named = cut(pairs.select(F.explode(F.array(a, b)).alias("id")).distinct())
     named = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
-    sets = cut(sets.join(named, "id", "left_semi"))
+    sets = cut(sets.join(named, "id", "left_semi").dropDuplicates(["id", "digest"]))
     side = lambda own, n: sets.select(F.col("id").alias(own), F.col("short").alias(f"__{n}"), F.col("n_shingles").alias(f"__n{n}"))
     both = F.size(F.array_intersect("__p", "__q"))
     above = 100 * both - percent * (F.col("__np") + F.col("__nq") - both)
     doubt = (100 + percent) * (4 + F.floor(F.col("__np") * F.col("__nq") / F.lit(1 << 30)))
     told = pairs.join(side(a, "p"), a).join(side(b, "q"), b).select(*pairs.columns, above.alias("__above"), doubt.alias("__doubt"))
     told = cut(told.where("__above >= -__doubt").select(*pairs.columns, (F.col("__above") >= F.col("__doubt")).alias("__sure")).distinct())
+    del sets
     open_ = told.where(~F.col("__sure")).select(*pairs.columns)
     ids = cut(open_.select(F.explode(F.array(a, b)).alias("id")).distinct())
     few = ids.count()
@@ -412,22 +481,21 @@ def near_groups(
     wide = cut(with_paths(texts, width, trees, depth))
     # One class for each distinct set, named by its smallest id; a class of thousands of copies walks once.
     worded = wide.where("id is not null and n_shingles > 0")
-    classes = worded.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "sketch", "tokens", "parity")).alias("head"), F.count("*").alias("copies"))
+    classes = worded.groupBy("digest").agg(F.min(F.struct("id", "n_shingles", "sketch", "tokens", "parity", "broad")).alias("head"), F.count("*").alias("copies"))
     classes = cut(classes.select("digest", "copies", "head.*"))
-    # The short sets of the classes, each once.
-    own = worded.join(classes.select("digest", "id"), ["digest", "id"], "left_semi")
-    sets = cut(own.groupBy("digest", "id").agg(F.first("n_shingles").alias("n_shingles"), F.first("short").alias("short")).select("id", "n_shingles", "short"))
+    # Written once: what pairs need of the short sets is read from here.
+    sets = worded.select("id", "digest", "n_shingles", "short")
     rows = cut(wide.select("id", "n_shingles", "digest"))
-    del wide, worded, own
+    del wide, worded
     texts = texts.where("id is not null")
     common = common_shingles(texts, rows.count(), width)
     stars = cut(possible(candidates(classes, trees, depth, small, bits), classes, percent))
-    first = components(_contracted(cut(confirmed(stars, sets, texts, width, percent)))).withColumnRenamed("node", "id")
+    first = components(_contracted(confirmed(stars, classes, sets, texts, width, percent))).withColumnRenamed("node", "id")
     del stars
     # Exactly, but only between documents that the links so far leave apart.
     apart = classes.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("component")).distinct()
-    lists = _lists(with_prefixes(texts, width, percent, common), apart, percent)
-    links = cut(confirmed(cut(_pairs(lists, classes, percent)), sets, texts, width, percent))
+    pairs = narrowed(_list_pairs(with_prefixes(texts, width, percent, common), apart, classes, percent), classes, percent)
+    links = confirmed(pairs, classes, sets, texts, width, percent)
     # These join whole components, so the second run is over components.
     second = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     placed = classes.join(first, "id", "left").select("digest", "id", "copies", F.coalesce("component", "id").alias("component"))
